@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import spread, table
-from . import bpe, mix
+from . import bpe, lookalike, mix
 
 
 def p8_ids(spark, d):
@@ -29,8 +29,16 @@ def p9_shares_whole_corpus(spark, d):
     return mix.mix(spread(table(spark, d, "documents").select("doc_id", "text", "lang", "source")), table(spark, d, "mix_targets"), share_of_corpus=1.0)[1]
 
 
+def p10_found(spark, d):
+    return lookalike.pairs(table(spark, d, "documents").select("doc_id", "text"))
+
+
+def p10_normalized(spark, d):
+    return lookalike.normalize(table(spark, d, "documents").select("doc_id", "text"))
+
+
 def queries():
-    return {f.__name__: f for f in (p8_ids, p8_round_trip, p9_mix, p9_shares, p9_shares_whole_corpus)}
+    return {f.__name__: f for f in (p8_ids, p8_round_trip, p9_mix, p9_shares, p9_shares_whole_corpus, p10_found, p10_normalized)}
 
 
 def oracle_sql():
