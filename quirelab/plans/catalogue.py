@@ -1,8 +1,26 @@
 """All queries of the core, with the SQL they are held against."""
 
+from __future__ import annotations
+
+from ..operators import shred
+from ..session import spread, table
+
+
+def p2_found(spark, d):
+    return shred.found(spread(table(spark, d, "page_records").select("record_id", "payload")))
+
+
+def _p2(child):
+    def query(spark, d):
+        return shred.flat(spread(table(spark, d, "page_records").select("record_id", "payload")), child)
+
+    return query
+
 
 def queries():
-    return {}
+    own = {"p2_found": p2_found}
+    own |= {f"p2_{name}": _p2(child) for name, child in (("pages", "page"), ("regions", "region"), ("entities", "entity"), ("locations", "location"), ("cells", "table_cell"), ("gt_entities", "gt_entity"))}
+    return own
 
 
 def oracle_sql():
