@@ -2,8 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..session import spread, table
-from . import bpe, lookalike, mix
+from . import bpe, canonical, lookalike, mix
+
+
+def p1_found(spark, d):
+    return canonical.map_mentions(table(spark, d, "mentions"), table(spark, d, "register")).select("mention_id", "ehd_id")
+
+
+def p1_unmatched(spark, d):
+    """How often each value without an entry stands in the mentions."""
+    m = table(spark, d, "mentions")
+    none = canonical.map_mentions(m, table(spark, d, "register")).filter("ehd_id = 'none'").select("mention_id")
+    return m.dropDuplicates(["mention_id"]).join(none, "mention_id").groupBy("entity_type", "text").agg(F.count("*").alias("mentions"))
 
 
 def p8_ids(spark, d):
@@ -38,7 +51,7 @@ def p10_normalized(spark, d):
 
 
 def queries():
-    return {f.__name__: f for f in (p8_ids, p8_round_trip, p9_mix, p9_shares, p9_shares_whole_corpus, p10_found, p10_normalized)}
+    return {f.__name__: f for f in (p1_found, p1_unmatched, p8_ids, p8_round_trip, p9_mix, p9_shares, p9_shares_whole_corpus, p10_found, p10_normalized)}
 
 
 def oracle_sql():
