@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import spread, table
-from . import bpe, canonical, lookalike, mix
+from . import bpe, canonical, lookalike, mix, spans
 
 
 def p1_found(spark, d):
@@ -19,6 +19,18 @@ def p1_unmatched(spark, d):
     return m.dropDuplicates(["mention_id"]).join(none, "mention_id").groupBy("entity_type", "text").agg(F.count("*").alias("mentions"))
 
 
+def _spans(spark, d):
+    return table(spark, d, "regions").select("region_id", "content", "content_pre_consistency")
+
+
+def p5_found(spark, d):
+    return spans.pairs(_spans(spark, d))
+
+
+def p5_shares(spark, d):
+    return spans.shares(_spans(spark, d))
+
+
 def p8_ids(spark, d):
     return bpe.encode(spread(table(spark, d, "documents").select("doc_id", "text")))
 
@@ -51,7 +63,7 @@ def p10_normalized(spark, d):
 
 
 def queries():
-    return {f.__name__: f for f in (p1_found, p1_unmatched, p8_ids, p8_round_trip, p9_mix, p9_shares, p9_shares_whole_corpus, p10_found, p10_normalized)}
+    return {f.__name__: f for f in (p1_found, p1_unmatched, p5_found, p5_shares, p8_ids, p8_round_trip, p9_mix, p9_shares, p9_shares_whole_corpus, p10_found, p10_normalized)}
 
 
 def oracle_sql():
