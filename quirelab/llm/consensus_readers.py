@@ -3,7 +3,9 @@
 A reading is explained character by character: each true character is read as some character, dropped, or
 one is put in. Annotators belong to types (communities) that share one confusion table; tables, memberships
 and the true reading of each item are inferred together by variational updates under Dirichlet priors, so
-an annotator with few labels takes over the table of the type it resembles.
+an annotator with few labels takes over the table of the type it resembles. Annotators who make the same
+mistakes on the same items more often than others do are not independent: where they agree, their labels
+count as less than two (the excess is measured on the posterior, pair by pair).
 
 Alignments of each reading with each candidate are worked out once and written to the checkpoint folder;
 an update is one pass over them with partial sums per task. What reaches the driver is counts by annotator
@@ -31,7 +33,9 @@ _SHIFT = 21
 
 @lru_cache(200_000)
 def events(truth: str, reading: str) -> tuple[int, ...]:
-    """Pairs (true character, read character) of the cheapest alignment; 0 stands for nothing."""
+    """Pairs (true character, read character) of the cheapest alignment; 0 stands for nothing.
+
+    A gap between characters where nothing was put in is the pair (0, 0)."""
     n, m = len(truth), len(reading)
     i = 0
     while i < min(n, m) and truth[i] == reading[i]:
@@ -56,7 +60,8 @@ def events(truth: str, reading: str) -> tuple[int, ...]:
         else:
             y -= 1
             out.append(ord(b[y]))
-    return tuple(out)
+    put_in = sum(e < 1 << _SHIFT for e in out)
+    return (*out, *[0] * max(0, n + 1 - put_in))
 
 
 def _digamma(x: np.ndarray) -> np.ndarray:
@@ -79,12 +84,12 @@ class Communities:
         self.right = self.true == (self.events & ((1 << _SHIFT) - 1))
         self.set_counts(counts)
         wrong = np.where(self.right, 0, self.n)
-        profile = wrong / np.maximum(wrong.sum(1, keepdims=True), 1)
-        seeds = [int(np.argmax(wrong.sum(1)))]
+        profile = wrong / np.maximum(self.n.sum(1, keepdims=True), 1)
+        seeds = [int(np.argmax(profile.sum(1)))]
         while len(seeds) < self.k:
             seeds.append(int(np.argmax(np.min([np.abs(profile - profile[s]).sum(1) for s in seeds], axis=0))))
         near = np.array([np.abs(profile - profile[s]).sum(1) for s in seeds]).T
-        self.q = np.exp(-8 * near)
+        self.q = np.exp(-200 * near) + 1e-9
         self.q /= self.q.sum(1, keepdims=True)
 
     def set_counts(self, counts: dict[tuple[str, int], float]) -> None:
@@ -113,6 +118,13 @@ class Communities:
         """Expected log-probability of each event by annotator."""
         return {r: self.q[i] @ self.log for i, r in enumerate(self.readers)}
 
+    def spelling(self) -> dict[int, float]:
+        """Log-probability of each true character: a longer reading explains more and is less likely before any label."""
+        true = self.n.sum(0) * (self.true > 0)
+        codes, at = np.unique(self.true, return_inverse=True)
+        sums = np.bincount(at, true) + 0.5
+        return dict(zip(codes.tolist(), np.log(sums / sums.sum()).tolist(), strict=True))
+
     def reliability(self) -> list[tuple[str, float, float, int, float]]:
         """(annotator, share of characters read right, smoothed by the type's table, type, its probability)."""
         out = []
@@ -144,6 +156,7 @@ def _aligned(labels: DataFrame) -> DataFrame:
             rows = []
             for names, readings in zip(b["names"], b["readings"], strict=True):
                 candidates = sorted(set(readings), key=lambda x: (-list(readings).count(x), -len(x), x))
+                place = {c: i for i, c in enumerate(candidates)}
                 cand, who, what = [], [], []
                 for c, truth in enumerate(candidates):
                     for i, reading in enumerate(readings):
@@ -151,13 +164,52 @@ def _aligned(labels: DataFrame) -> DataFrame:
                         cand += [c] * len(e)
                         who += [i] * len(e)
                         what += e
-                rows.append((candidates, [list(readings).count(c) for c in candidates], cand, who, what))
-            out = pd.DataFrame(rows, columns=["candidates", "votes", "cand", "who", "what"])
+                rows.append((candidates, [list(readings).count(c) for c in candidates], [place[x] for x in readings], cand, who, what))
+            out = pd.DataFrame(rows, columns=["candidates", "votes", "chose", "cand", "who", "what"])
             out.insert(0, "region_id", b["region_id"].to_numpy())
             out.insert(1, "names", b["names"].to_list())
             yield out
 
-    return labels.mapInPandas(run, "region_id long, names array<string>, candidates array<string>, votes array<int>, cand array<int>, who array<int>, what array<long>")
+    return labels.mapInPandas(run, "region_id long, names array<string>, candidates array<string>, votes array<int>, chose array<int>, cand array<int>, who array<int>, what array<long>")
+
+
+def _weights(b: pd.DataFrame, twins: dict[str, dict[str, float]]) -> list[float]:
+    """Weight of each label: less than 1 where dependent annotators agree."""
+    out = []
+    for names, chose in zip(b["names"], b["chose"], strict=True):
+        for i, n in enumerate(names):
+            near = twins.get(n)
+            out.append(1.0 / (1.0 + sum(near.get(m, 0.0) for j, m in enumerate(names) if j != i and chose[j] == chose[i])) if near else 1.0)
+    return out
+
+
+def _dependence(aligned: DataFrame, state: dict) -> dict[str, dict[str, float]]:
+    """For pairs of annotators, how much more often than usual two wrong labels are the same one (0 to 1)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            *_, first, p = _posterior(b, state)
+            seen: dict[tuple[str, str], list[int]] = {}
+            for i, (names, chose) in enumerate(zip(b["names"], b["chose"], strict=True)):
+                best = int(p[first[i] : first[i + 1]].argmax())
+                wrong = [(n, c) for n, c in zip(names, chose, strict=True) if c != best]
+                for x, (n, c) in enumerate(wrong):
+                    for m, e in wrong[x + 1 :]:
+                        if n != m:
+                            cell = seen.setdefault((min(n, m), max(n, m)), [0, 0])
+                            cell[0] += 1
+                            cell[1] += c == e
+            yield pd.DataFrame([(*k, *v) for k, v in seen.items()], columns=["a", "b", "both", "same"])
+
+    rows = aligned.mapInPandas(run, "a string, b string, both long, same long").groupBy("a", "b").agg(F.sum("both").alias("both"), F.sum("same").alias("same")).collect()
+    rates = [(r["same"] + 2) / (r["both"] + 6) for r in rows]
+    usual = float(np.median(rates)) if rates else 0.0
+    out: dict[str, dict[str, float]] = {}
+    for r, rate in zip(rows, rates, strict=True):
+        if (rho := (rate - usual) / max(1 - usual, 1e-9)) > 0.25 and r["both"] >= 10:
+            out.setdefault(r["a"], {})[r["b"]] = rho
+            out.setdefault(r["b"], {})[r["a"]] = rho
+    return out
 
 
 def _posterior(b: pd.DataFrame, model: dict | None):
@@ -171,7 +223,8 @@ def _posterior(b: pd.DataFrame, model: dict | None):
     names = sorted({n for x in b["names"] for n in x})
     code = {n: i for i, n in enumerate(names)}
     start = np.concatenate([[0], np.cumsum(b["names"].str.len().to_numpy())])
-    reader = np.array([code[n] for x in b["names"] for n in x] or [0])[start[item] + np.concatenate([*b["who"], np.empty(0, np.int32)]).astype(np.int64)]
+    label = start[item] + np.concatenate([*b["who"], np.empty(0, np.int32)]).astype(np.int64)
+    reader = np.array([code[n] for x in b["names"] for n in x] or [0])[label]
     owner = np.repeat(np.arange(len(b)), sizes)
     if model is None:
         score = 2.0 * np.concatenate([*b["votes"], np.empty(0)]).astype(float)
@@ -179,7 +232,10 @@ def _posterior(b: pd.DataFrame, model: dict | None):
         at = np.minimum(np.searchsorted(model["events"], what), len(model["events"]) - 1)
         known = model["events"][at] == what
         table = np.array([model["scores"].get(n, model["mean"]) for n in names]) if names else np.empty((0, len(model["events"])))
-        score = np.bincount(slot, np.where(known, table[reader, at], -8.0), minlength=first[-1])
+        weight = np.array(_weights(b, model["twins"]))[label] if len(label) else np.empty(0)
+        rare = model["rare"]
+        prior = np.array([sum(model["prior"].get(ord(x), rare) for x in c) for cs in b["candidates"] for c in cs])
+        score = prior + np.bincount(slot, weight * np.where(known, table[reader, at], -8.0), minlength=first[-1])
     top = np.full(len(b), -np.inf)
     np.maximum.at(top, owner, score)
     p = np.exp(score - top[owner])
@@ -187,11 +243,11 @@ def _posterior(b: pd.DataFrame, model: dict | None):
     return names, reader, what, slot, owner, first, p
 
 
-def fit(aligned: DataFrame, communities: int = 3, rounds: int = 6) -> Communities:
+def fit(aligned: DataFrame, communities: int = 8, rounds: int = 6) -> Communities:
     """The model after `rounds` passes over all items; the first is weighted by votes."""
     counts_of = lambda rows: {(r["name"], r["event"]): r["x"] for r in rows}
-    model, state = None, None
-    for _ in range(rounds):
+    model, state, twins = None, None, {}
+    for turn in range(rounds):
 
         def run(batches: Iterator[pd.DataFrame], model=state) -> Iterator[pd.DataFrame]:
             for b in batches:
@@ -209,12 +265,15 @@ def fit(aligned: DataFrame, communities: int = 3, rounds: int = 6) -> Communitie
             model.set_counts(counts)
         model.update()
         s = model.scores()
-        state = {"events": model.events, "scores": s, "mean": np.mean(list(s.values()), axis=0)}
+        state = {"events": model.events, "scores": s, "mean": np.mean(list(s.values()), axis=0), "twins": twins, "prior": model.spelling()}
+        state["rare"] = min(state["prior"].values())
+        if turn in (1, rounds - 2):
+            state["twins"] = twins = _dependence(aligned, state)
     model.state = state
     return model
 
 
-def consensus(regions: DataFrame, communities: int = 3, rounds: int = 6) -> tuple[DataFrame, Communities]:
+def consensus(regions: DataFrame, communities: int = 8, rounds: int = 6) -> tuple[DataFrame, Communities]:
     """region_id, reading, confidence, agreement (share of label pairs that agree; null for one label), readings (labels), kinds (different labels)."""
     aligned = cut(_aligned(_labels(regions)))
     model = fit(aligned, communities, rounds)
@@ -236,7 +295,7 @@ def consensus(regions: DataFrame, communities: int = 3, rounds: int = 6) -> tupl
     return aligned.mapInPandas(run, "region_id long, reading string, confidence double, agreement double, readings int, kinds int"), model
 
 
-def reader_reliability(regions: DataFrame, communities: int = 3, rounds: int = 6) -> DataFrame:
+def reader_reliability(regions: DataFrame, communities: int = 8, rounds: int = 6) -> DataFrame:
     """reader_id, accuracy (characters), reliability (smoothed by its type), community, membership."""
     spark = regions.sparkSession
     model = fit(cut(_aligned(_labels(regions))), communities, rounds)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import spread, table
-from . import bpe, canonical, lookalike, mix, spans
+from . import bpe, canonical, consensus_readers, lookalike, mix, spans
 
 
 def p1_found(spark, d):
@@ -19,6 +19,22 @@ def p1_unmatched(spark, d):
     return m.dropDuplicates(["mention_id"]).join(none, "mention_id").groupBy("entity_type", "text").agg(F.count("*").alias("mentions"))
 
 
+def _readings(spark, d):
+    return table(spark, d, "regions").select("region_id", "region_type", "ensemble_readings", "reader_ids")
+
+
+def p4_found(spark, d):
+    return consensus_readers.consensus(_readings(spark, d))[0].filter("kinds > 1").select("region_id", "reading")
+
+
+def p4_consensus(spark, d):
+    return consensus_readers.consensus(_readings(spark, d))[0]
+
+
+def p4_readers(spark, d):
+    return consensus_readers.reader_reliability(_readings(spark, d))
+
+
 def _spans(spark, d):
     return table(spark, d, "regions").select("region_id", "content", "content_pre_consistency")
 
@@ -63,7 +79,7 @@ def p10_normalized(spark, d):
 
 
 def queries():
-    return {f.__name__: f for f in (p1_found, p1_unmatched, p5_found, p5_shares, p8_ids, p8_round_trip, p9_mix, p9_shares, p9_shares_whole_corpus, p10_found, p10_normalized)}
+    return {f.__name__: f for f in (p1_found, p1_unmatched, p4_found, p4_consensus, p4_readers, p5_found, p5_shares, p8_ids, p8_round_trip, p9_mix, p9_shares, p9_shares_whole_corpus, p10_found, p10_normalized)}
 
 
 def oracle_sql():
