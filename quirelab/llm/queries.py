@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import spread, table
-from . import bpe, canonical, consensus_readers, lookalike, mix, spans
+from . import bpe, canonical, consensus_readers, languages, lookalike, mix, spans
 
 
 def p1_found(spark, d):
@@ -19,6 +19,18 @@ def p1_unmatched(spark, d):
     return m.dropDuplicates(["mention_id"]).join(none, "mention_id").groupBy("entity_type", "text").agg(F.count("*").alias("mentions"))
 
 
+def _text_regions(spark, d):
+    return table(spark, d, "regions").select("region_id", "page_id", "region_type", "content", "languages")
+
+
+def p3_found(spark, d):
+    return languages.wrong_labels(_text_regions(spark, d), table(spark, d, "pages").select("page_id", "page_languages"))
+
+
+def p3_segments(spark, d):
+    return languages.segments(_text_regions(spark, d))
+
+
 def _readings(spark, d):
     return table(spark, d, "regions").select("region_id", "region_type", "ensemble_readings", "reader_ids")
 
@@ -79,7 +91,7 @@ def p10_normalized(spark, d):
 
 
 def queries():
-    return {f.__name__: f for f in (p1_found, p1_unmatched, p4_found, p4_consensus, p4_readers, p5_found, p5_shares, p8_ids, p8_round_trip, p9_mix, p9_shares, p9_shares_whole_corpus, p10_found, p10_normalized)}
+    return {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_segments, p4_found, p4_consensus, p4_readers, p5_found, p5_shares, p8_ids, p8_round_trip, p9_mix, p9_shares, p9_shares_whole_corpus, p10_found, p10_normalized)}
 
 
 def oracle_sql():
