@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import spread, table
-from . import bpe, canonical, consensus_readers, languages, lookalike, mix, spans
+from . import bpe, canonical, consensus_readers, languages, lookalike, mix, repair, spans
 
 
 def p1_found(spark, d):
@@ -59,6 +59,19 @@ def p5_shares(spark, d):
     return spans.shares(_spans(spark, d))
 
 
+def _scanned(spark, d):
+    regions = table(spark, d, "regions").select("region_id", "region_type", "journal_id", "content")
+    return regions, table(spark, d, "pages").select("page_id", "journal_id", "full_text"), table(spark, d, "journals")
+
+
+def p6_found(spark, d):
+    return repair.find(*_scanned(spark, d))
+
+
+def p6_repaired(spark, d):
+    return repair.repair(*_scanned(spark, d))
+
+
 def p8_ids(spark, d):
     return bpe.encode(spread(table(spark, d, "documents").select("doc_id", "text")))
 
@@ -91,7 +104,7 @@ def p10_normalized(spark, d):
 
 
 def queries():
-    return {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_segments, p4_found, p4_consensus, p4_readers, p5_found, p5_shares, p8_ids, p8_round_trip, p9_mix, p9_shares, p9_shares_whole_corpus, p10_found, p10_normalized)}
+    return {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_segments, p4_found, p4_consensus, p4_readers, p5_found, p5_shares, p6_found, p6_repaired, p8_ids, p8_round_trip, p9_mix, p9_shares, p9_shares_whole_corpus, p10_found, p10_normalized)}
 
 
 def oracle_sql():
