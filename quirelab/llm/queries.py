@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import spread, table
-from . import bpe, canonical, consensus_readers, languages, lookalike, mix, repair, spans
+from . import bpe, canonical, consensus_readers, languages, lookalike, mix, repair, resolve, spans
 
 
 def p1_found(spark, d):
@@ -72,6 +72,14 @@ def p6_repaired(spark, d):
     return repair.repair(*_scanned(spark, d))
 
 
+def p7_found(spark, d):
+    return resolve.pairs(table(spark, d, "person_names"))
+
+
+def p7_clusters(spark, d):
+    return resolve.resolve(table(spark, d, "person_names"))
+
+
 def p8_ids(spark, d):
     return bpe.encode(spread(table(spark, d, "documents").select("doc_id", "text")))
 
@@ -104,7 +112,7 @@ def p10_normalized(spark, d):
 
 
 def queries():
-    return {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_segments, p4_found, p4_consensus, p4_readers, p5_found, p5_shares, p6_found, p6_repaired, p8_ids, p8_round_trip, p9_mix, p9_shares, p9_shares_whole_corpus, p10_found, p10_normalized)}
+    return {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_segments, p4_found, p4_consensus, p4_readers, p5_found, p5_shares, p6_found, p6_repaired, p7_found, p7_clusters, p8_ids, p8_round_trip, p9_mix, p9_shares, p9_shares_whole_corpus, p10_found, p10_normalized)}
 
 
 def oracle_sql():
