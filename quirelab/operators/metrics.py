@@ -63,7 +63,7 @@ def precision_recall(ours: DataFrame, theirs: DataFrame, *by: str) -> DataFrame:
     """tp, fp, fn, precision, recall, f1 over distinct (by, name, entity_type) rows; empty denominators count as 1."""
     keys = [*by, "name", "entity_type"]
     a, b = ours.select(*keys).distinct().withColumn("a", F.lit(1)), theirs.select(*keys).distinct().withColumn("b", F.lit(1))
-    both = a.join(b, keys, "full").groupBy(*by).agg(F.count_if("a = 1 and b = 1").alias("tp"), F.count_if("a = 1 and b is null").alias("fp"), F.count_if("a is null and b = 1").alias("fn"))
+    both = a.join(b, keys, "full").groupBy(*by).agg(F.count_if(F.expr("a = 1 and b = 1")).alias("tp"), F.count_if(F.expr("a = 1 and b is null")).alias("fp"), F.count_if(F.expr("a is null and b = 1")).alias("fn"))
     p, r = F.col("tp") / F.greatest(F.col("tp") + F.col("fp"), F.lit(1)), F.col("tp") / F.greatest(F.col("tp") + F.col("fn"), F.lit(1))
     return both.withColumn("precision", F.round(p, 6)).withColumn("recall", F.round(r, 6)).withColumn("f1", F.round(F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0), 6))
 

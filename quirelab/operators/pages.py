@@ -103,7 +103,7 @@ def gt_coverage(pages: DataFrame, regions: DataFrame) -> DataFrame:
     """journal_id, pages, with_gt, regions_with_gt, empty: pages that have ground truth in any region."""
     g = regions.groupBy("page_id").agg(F.count_if(F.trim("ground_truth_content") != "").alias("n"))
     j = pages.join(g, "page_id", "left")
-    return j.groupBy("journal_id").agg(F.count("*").alias("pages"), F.count_if("n > 0").alias("with_gt"), F.coalesce(F.sum("n"), F.lit(0)).alias("regions_with_gt"), F.count_if("n is null").alias("empty"))
+    return j.groupBy("journal_id").agg(F.count("*").alias("pages"), F.count_if(F.expr("n > 0")).alias("with_gt"), F.coalesce(F.sum("n"), F.lit(0)).alias("regions_with_gt"), F.count_if(F.expr("n is null")).alias("empty"))
 
 
 def unprocessed(pages: DataFrame, regions: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ def totals(pages: DataFrame, regions: DataFrame, mentions: DataFrame) -> DataFra
     """pages, regions, entities, locations in one row, each from its own scan."""
     a = pages.agg(F.count("*").alias("pages"))
     b = regions.agg(F.count("*").alias("regions"))
-    c = mentions.agg(F.count("*").alias("entities"), F.count_if("entity_type = 'Location'").alias("locations"))
+    c = mentions.agg(F.count("*").alias("entities"), F.count_if(F.expr("entity_type = 'Location'")).alias("locations"))
     return a.withColumn("k", F.lit(1)).join(b.withColumn("k", F.lit(1)), "k").join(c.withColumn("k", F.lit(1)), "k").drop("k")  # one row each
 
 

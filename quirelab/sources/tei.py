@@ -138,9 +138,10 @@ def parse(xml: str | None) -> list[dict]:
     return out
 
 
-_REGION = T.StructType.fromDDL("region_index INT, region_type STRING, content STRING, marginal_position STRING, languages ARRAY<STRING>, is_visual BOOLEAN")
-_ENTITY = T.StructType.fromDDL("text STRING, entity_type STRING, ehd_id STRING, authority_uri STRING, language STRING")
-PAGES = T.ArrayType(T.StructType([T.StructField("page_number", T.IntegerType()), T.StructField("folio_label", T.StringType()), T.StructField("facs", T.StringType()), T.StructField("regions", T.ArrayType(_REGION)), T.StructField("entities", T.ArrayType(_ENTITY))]))
+_S = T.StringType()
+_REGION = T.StructType([T.StructField("region_index", T.IntegerType()), *(T.StructField(n, _S) for n in ("region_type", "content", "marginal_position")), T.StructField("languages", T.ArrayType(_S)), T.StructField("is_visual", T.BooleanType())])
+_ENTITY = T.StructType([T.StructField(n, _S) for n in ("text", "entity_type", "ehd_id", "authority_uri", "language")])
+PAGES = T.ArrayType(T.StructType([T.StructField("page_number", T.IntegerType()), T.StructField("folio_label", _S), T.StructField("facs", _S), T.StructField("regions", T.ArrayType(_REGION)), T.StructField("entities", T.ArrayType(_ENTITY))]))
 _u_parse = F.udf(parse, PAGES, useArrow=True)
 
 
