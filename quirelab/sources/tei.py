@@ -61,11 +61,11 @@ def flow(node: ET.Element):
 
     def inside(n):
         if n.text:
-            yield "text", n.text
+            yield "text", re.sub(r"\s+", " ", n.text)
         for c in n:
             yield from walk(c)
             if c.tail:
-                yield "text", c.tail
+                yield "text", re.sub(r"\s+", " ", c.tail)
 
     yield from inside(node)
 
