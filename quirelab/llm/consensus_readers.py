@@ -129,13 +129,13 @@ class Communities:
         """(annotator, share of characters read right, smoothed by the type's table, type, its probability)."""
         out = []
         for i, r in enumerate(self.readers):
-            own, p = self.n[i], self.q[i]
+            own, p, good = self.n[i], self.q[i], self.right & (self.true > 0)
             shared = p @ np.exp(self.log)
             seen = self.n.sum(0)
-            typed = float((seen * shared)[self.right].sum() / max(seen[self.true > 0].sum(), 1e-9))
+            typed = float((seen * shared)[good].sum() / max(seen[self.true > 0].sum(), 1e-9))
             total = own[self.true > 0].sum()
-            smooth = (own[self.right].sum() + self.match * typed) / (total + self.match)
-            out.append((r, float(own[self.right].sum() / max(total, 1e-9)), float(min(smooth, 1.0)), int(p.argmax()), float(p.max())))
+            smooth = (own[good].sum() + self.match * typed) / (total + self.match)
+            out.append((r, float(own[good].sum() / max(total, 1e-9)), float(min(smooth, 1.0)), int(p.argmax()), float(p.max())))
         return out
 
 

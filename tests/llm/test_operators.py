@@ -1,0 +1,291 @@
+import random
+
+import pytest
+
+from quirelab.llm import bpe, canonical, consensus_readers, languages, lookalike, mix, repair, resolve, spans
+
+NAMES = "name_id long, entity_type string, text string, normalized_form string, surname string, birth string, death string, note string"
+CLASH = ("1 as k", "2 as s", "3 as w", "4 as token", "5 as n", "6 as cid", "7 as h", "8 as tid", "9 as label", "10 as raw", "11 as bucket", "12 as size")
+
+
+def frame(spark, data, schema, clash=True):
+    d = spark.createDataFrame(data, schema)
+    return d.selectExpr("*", *[c for c in CLASH if c.split()[-1] not in d.columns]) if clash else d
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+# -- 1 ---------------------------------------------------------------------------------------------------------
+
+REGISTER = [("P1", "place", "Glasofestedt", ["Glasofestet am See"]), ("P2", "place", "Sankt Olgarode ", None), ("P3", "place", "Ulm", []), ("T1", "plant", "Achillea montana", [None, " "]), ("T2", "plant", "Viola montana", None)]
+MENTIONS = [
+    (1, "Location", "GLASOFESTEDT", None), (2, "Location", "St. Olgarode", ""), (3, "Location", "Glasofset=\nedt", None), (4, "Location", "Glasofesttedt", None), (5, "Location", "Rikalrode", None), (6, "Location", None, None),
+    (7, "Species", "A. montana", None), (8, "Species", "montana, Viola", None), (9, "Species", "Ulm", None), (10, "Person", "Ulm", None), (11, "Location", "x" * 50_000, "Ulm"), (12, "Location", "  ", None), (None, "Location", "Ulm", None), (1, "Location", "GLASOFESTEDT", None),
+]
+
+
+def test_mapping(spark):
+    m = frame(spark, MENTIONS, "mention_id long, entity_type string, text string, normalized_form string")
+    r = frame(spark, REGISTER, "ehd_id string, kind string, label string, alt_labels array<string>")
+    got = dict(rows(canonical.map_mentions(m, r).select("mention_id", "ehd_id")))
+    assert got == {1: "P1", 2: "P2", 3: "P1", 4: "P1", 5: "none", 6: "none", 7: "T1", 8: "T2", 9: "none", 11: "P3", 12: "none"}
+    assert canonical.map_mentions(m.limit(0), r).count() == 0
+    assert {e for _, e in rows(canonical.map_mentions(m, r.limit(0)).select("mention_id", "ehd_id"))} == {"none"}
+
+
+def test_pigeonhole_finds_all_within_tolerance(spark):
+    rng = random.Random(2)
+    words = ["".join(rng.choice("abcde") for _ in range(rng.randint(5, 16))) for _ in range(60)]
+    asked = []
+    for w in words:
+        i = rng.randrange(len(w))
+        asked += [w[:i] + w[i + 1 :], w[:i] + "z" + w[i:], w[:i] + "z" + w[i + 1 :]]
+    keys = spark.createDataFrame([("place", w, w) for w in words], "kind string, k string, ehd_id string")
+    v = spark.createDataFrame([("place", a, a, 0, False) for a in asked], "kind string, raw string, s string, less int, dot boolean")
+    found = {(r["raw"], r["ehd_id"]) for r in canonical._fuzzy(v, keys).collect()}
+    for n, a in enumerate(asked):
+        if len(words[n // 3]) >= 5:
+            assert (a, words[n // 3]) in found
+
+
+# -- 3 ---------------------------------------------------------------------------------------------------------
+
+DE, FR = "Der Fluss war sehr kalt und die Brücke stand im Wasser.", "La rivière était très froide et le pont restait dans son lit."
+
+
+def corpus():
+    rng, out = random.Random(4), []
+    de, fr = DE[:-1].split(), FR[:-1].split()
+    for i in range(160):
+        words, lang = (de, "de") if i % 2 else (fr, "fr")
+        out.append((" ".join(rng.sample(words, len(words))) + ".", [lang] if i % 7 else ["fr" if lang == "de" else "de"]))
+    return out
+
+
+def test_languages(spark):
+    field = languages.train(corpus())
+    data = [
+        (1, 1, "main_text", DE, ["de"]), (2, 1, "main_text", DE + " " + FR, ["de"]), (3, 1, "main_text", None, None), (4, 1, "main_text", " ", []), (5, 2, "main_text", FR, ["FR"]), (6, 2, "main_text", "Zokidel Rikalrode 12", ["de"]),
+        (7, 2, "sketch", DE, None), (2, 1, "main_text", DE + " " + FR, ["de"]), (None, 1, "main_text", DE, None), (8, None, "main_text", (DE + " ") * 500, None),
+    ]
+    r = frame(spark, data, "region_id long, page_id long, region_type string, content string, languages array<string>")
+    got = {x["region_id"]: x["langs"] for x in languages.detect(r, field).collect()}
+    assert got == {1: ["de"], 2: ["de", "fr"], 5: ["fr"], 6: [], 8: ["de"]}
+    assert [(x["segment"], x["lang"]) for x in languages.segments(r, field).filter("region_id = 2").orderBy("segment").collect()] == [(0, "de"), (1, "fr")]
+    assert languages.detect(r.limit(0), field).count() == 0
+    p = spark.createDataFrame([(1, ["de"]), (2, None), (3, None)], "page_id long, page_languages array<string>")
+    assert languages.wrong_labels(r.limit(0), p).count() == 0
+
+
+def test_field_on_held_out_text():
+    data = corpus()
+    field = languages.train(data[:120])
+    right = [("de" if i % 2 else "fr") for i in range(120, 160)]
+    got = [languages.CODES[s[0][0]] for s in languages.sentences(field, [t for t, _ in data[120:]])]
+    assert got == right
+
+
+# -- 4 ---------------------------------------------------------------------------------------------------------
+
+
+def readings():
+    rng, out = random.Random(5), []
+    for i in range(400):
+        truth = str(rng.randint(100, 999))
+        noisy = lambda p, t=truth: "".join(c if rng.random() > p else "0" for c in t)
+        out.append((i, "page_number", [truth, noisy(0.5), noisy(0.5)] if i % 2 else [noisy(0.5), noisy(0.02)], ["A", "B", "C"] if i % 2 else ["B", "A"], truth))
+    return out
+
+
+def test_consensus_beats_the_majority(spark):
+    data = readings()
+    d = frame(spark, [x[:4] for x in data], "region_id long, region_type string, ensemble_readings array<string>, reader_ids array<string>")
+    got = {r["region_id"]: r["reading"] for r in consensus_readers.consensus(d, 2, 4)[0].collect()}
+    right = sum(got[i] == t for i, _, _, _, t in data)
+    votes = sum(max(set(r), key=lambda x: (r.count(x), len(x), x)) == t for _, _, r, _, t in data)
+    assert right > 0.93 * len(data) and right > votes
+    reliable = {r["reader_id"]: r["reliability"] for r in consensus_readers.reader_reliability(d, 2, 4).collect()}
+    assert reliable["A"] > reliable["B"] and reliable["A"] > reliable["C"]
+
+
+def test_consensus_edges(spark):
+    s = "region_id long, region_type string, ensemble_readings array<string>, reader_ids array<string>"
+    d = frame(spark, [(1, "page_number", [" 7 ", None, "7"], ["A", "B", None]), (2, "page_number", [None, " "], ["A", "B"]), (3, "page_number", None, None), (4, "main_text", ["x", "y"], ["A", "B"]), (5, "calculation", ["1", "2"], None), (1, "page_number", [" 7 ", None, "7"], ["A", "B", None]), (None, "page_number", ["1"], ["A"]), (6, "calculation", ["9" * 400, "9"], ["A", "B"])], s)
+    got = {r["region_id"]: r for r in consensus_readers.consensus(d, 3, 3)[0].collect()}
+    assert set(got) == {1, 5, 6}
+    assert (got[1]["reading"], got[1]["agreement"], got[1]["kinds"]) == ("7", 1.0, 1)
+    assert consensus_readers.consensus(d.limit(0))[0].count() == 0
+    assert consensus_readers.reader_reliability(d.limit(0)).count() == 0
+
+
+# -- 5 ---------------------------------------------------------------------------------------------------------
+
+
+def shared_texts():
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    core, other = word(200), word(150)
+    return [
+        (1, word(90) + core + word(40), None), (2, core[:130] + word(60), "short"), (3, word(50), word(30) + core[60:]), (4, word(300), word(300)), (5, other, None), (6, other, None), (7, core[:119] + word(80), None), (8, None, None), (9, " " * 300, None), (10, " " * 300, None),
+        (11, "x" * 40_000, None), (1, None, None),
+    ]
+
+
+def brute(data, least):
+    held = {}
+    for i, *texts in data:
+        for t in texts:
+            for k in range(len(t or "") - least + 1):
+                held.setdefault(t[k : k + least], set()).add(i)
+    return sorted({(a, b) for s in held.values() for a in s for b in s if a < b})
+
+
+@pytest.mark.parametrize("hot", [5000, 0])
+def test_spans(spark, hot, monkeypatch):
+    monkeypatch.setattr(spans, "HOT", hot)
+    data = [x for x in shared_texts() if x != (1, None, None)]
+    d = frame(spark, data + data[:1], "region_id long, content string, content_pre_consistency string")
+    want = brute(data, 120)
+    assert (1, 2) in want and (1, 7) not in want
+    assert rows(spans.pairs(d)) == want
+    assert spans.pairs(d.limit(0)).count() == 0
+
+
+def test_span_shares(spark):
+    data = [x for x in shared_texts() if x != (1, None, None)]
+    d = frame(spark, data, "region_id long, content string, content_pre_consistency string")
+    got = {r["region_id"]: r for r in spans.shares(d).collect()}
+    assert got[5]["share"] == 1.0 and got[4]["share"] == 0.0 and got[8]["share"] == 0.0
+    assert got[1]["shared_chars"] >= 200 and got[2]["shared_chars"] >= 130
+
+
+def test_index_counts_like_a_scan():
+    rng = random.Random(7)
+    texts = ["".join(rng.choice("abc") for _ in range(60)) for _ in range(8)]
+    index = spans.FMIndex(texts)
+    asked = ["".join(rng.choice("abcd") for _ in range(30)) for _ in range(5)] + [texts[0][5:40]]
+    best = {}
+    for who, step, got, _ in index.statistics(asked):
+        for w, g in zip(who.tolist(), got.tolist(), strict=True):
+            best[w, len(asked[w]) - 1 - step] = g
+    for (w, at), g in best.items():
+        longest = max(n for n in range(len(asked[w]) - at + 1) if any(asked[w][at : at + n] in t for t in texts))
+        assert g == longest
+
+
+# -- 6 ---------------------------------------------------------------------------------------------------------
+
+
+def scans(n=400):
+    rng, out = random.Random(8), []
+    words = "der fluss war sehr kalt und die brücke stand im wasser nach dem regen wurde das gestein dunkler als gestern".split()
+    for i in range(n):
+        t = [rng.choice(words) for _ in range(24)]
+        lines = [" ".join(t[j : j + 6]) for j in range(0, 24, 6)]
+        if i % 5 == 0:
+            k = rng.randrange(3)
+            lines[k] += " gest-"
+            lines[k + 1] = "ein " + lines[k + 1]
+        if i % 33 == 0 and i < 297:
+            lines[1] += " " + ("flnss", "wnrde", "dnnkler")[i // 33 % 3]
+        if i % 6 == 0:
+            lines.insert(0, "Reise von Rikalrode nach Kozartartal")
+        out.append((i, "main_text", f"J{i % 9}", "\n".join(lines)))
+    return out + [(n + i, "page_number", "J1", str(i + 10)) for i in range(60)] + [(n + 60 + i, "entry_heading", "J1", f"N. {i}.") for i in range(30)]
+
+
+def test_repair(spark):
+    r = frame(spark, scans(), "region_id long, region_type string, journal_id string, content string")
+    j = spark.createDataFrame([(f"J{i}", "Reise von Rikalrode nach Kozartartal") for i in range(9)], "journal_id string, title string")
+    e = repair.train(r, j)
+    assert {"fluss", "gestein"} <= e.lexicon and "flnss" not in e.lexicon
+    text = "Reise von Rikalrode nach Kozartartal\nder flnss war kalt und die gest-\n47\nein brücke\nNord-\nund"
+    lines, found, fixed = repair.flaws(e, text, "J1")
+    assert found == [(1, "header"), (2, "hyphen"), (2, "misread"), (3, "page_number")]
+    assert "".join(fixed).split() == "der fluss war kalt und die gestein brücke Nord- und".split()
+    edges = spark.createDataFrame([(1, "main_text", "J1", None), (2, "main_text", None, " \n "), (3, "main_text", None, "der fluss"), (None, "main_text", "J1", "x"), (4, "main_text", "J1", "der fluss " * 20_000)], "region_id long, region_type string, journal_id string, content string")
+    pages = spark.createDataFrame([(1, "J1", None), (2, None, "12")], "page_id long, journal_id string, full_text string")
+    assert {(x["holder"], x["record_id"]) for x in repair.find(edges, pages, j, e).collect()} <= {("page", 2)}
+    assert repair.repair(edges, pages, j, e).count() == 3
+    assert repair.find(edges.limit(0), pages.limit(0), j, e).count() == 0
+
+
+# -- 7 ---------------------------------------------------------------------------------------------------------
+
+
+def test_resolution(spark):
+    data = [
+        (1, "Person", "Thomas Jamavolin", None, None, "1750", None, None), (2, "Person", "Jamavolin, Th.", None, None, None, None, None), (3, "Person", "Tom Jamavolyn", "Thomas Jamavolin", None, None, None, None), (4, "Person", "Dr. Jamavolin", None, None, "um 1750", None, None),
+        (5, "Person", "Beatriz Jamavolin", None, None, "1790", None, None), (6, "Person", "Ulrich Hikedemann", None, None, None, None, None), (7, "Person", "Hikedemann", None, None, None, None, None), (8, "Institution", "Bergamt Zortau", None, None, None, None, None),
+        (9, "Institution", "B.-Amt Zortau", None, None, None, None, None), (10, "Institution", "Jardin des plantes de Zortau", None, None, None, None, None), (11, "Person", None, None, None, None, None, None), (12, "Person", " ", "", "", "", "", ""), (1, "Person", "Thomas Jamavolin", None, None, "1750", None, None),
+        (None, "Person", "Thomas Jamavolin", None, None, None, None, None), (13, None, None, None, None, None, None, None), (14, "Person", "y" * 20_000, None, None, None, None, None),
+    ]
+    d = frame(spark, data, NAMES)
+    assert rows(resolve.pairs(d)) == [(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4), (6, 7), (8, 9)]
+    assert resolve.pairs(d.limit(0)).count() == 0
+
+
+# -- 8, 9 ------------------------------------------------------------------------------------------------------
+
+
+def test_encoding_matches_the_public_library(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    P = pytest.importorskip("public_tokenizers")
+    t = tokenizers.Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    texts = [None, "", " ", "Die Brücke – 5½ ° R.\n\n  <|endoftext|>", "a" * 30_000, "é​ẞ\U0001f600 α", "x" * 7 + "\t\n y"]
+    d = frame(spark, list(enumerate(texts)) + [(None, "Die")], "doc_id long, text string")
+    got = {r["doc_id"]: list(r["ids"]) for r in bpe.encode(d).collect()}
+    for i, x in enumerate(texts):
+        assert got[i] == t.encode(x or "", add_special_tokens=False).ids
+    back = {r["doc_id"]: r["text"] for r in bpe.decode(bpe.encode(d)).collect()}
+    assert all(back[i] == (x or "") for i, x in enumerate(texts))
+    assert bpe.encode(d.limit(0)).count() == 0
+
+
+def test_budget_flows_to_siblings_first():
+    leaves = {("d", "de", "a"): {"weight": 0.4, "room": 10.0}, ("d", "de", "b"): {"weight": 0.2, "room": 100.0}, ("e", "fr", "c"): {"weight": 0.4, "room": 100.0}}
+    mix.allot(leaves, 100.0)
+    assert [round(x["budget"]) for x in leaves.values()] == [10, 50, 40]
+
+
+def test_mixing(spark):
+    data = [(i, "wort " * (5 + i % 7), "de" if i % 2 else None, "letter" if i % 3 else "gazetteer") for i in range(400)] + [(900, None, "de", "letter"), (901, "", "de", "letter"), (902, "x", "de", None), (903, "z " * 30_000, "de", "other")]
+    d = frame(spark, data, "doc_id long, text string, lang string, source string")
+    t = spark.createDataFrame([("letter", 0.5, 1), ("gazetteer", 0.5, 3), ("missing", 0.0, None)], "source string, target_share double, max_repeats int")
+    docs, report = mix.mix(d, t)
+    by = {r["source"]: r for r in report.collect()}
+    assert abs(by["letter"]["actual_share"] - 0.5) < 0.02 and by["gazetteer"]["most_copies"] <= 3
+    assert docs.count() == docs.select("doc_id").distinct().count()
+    again = mix.mix(d, t)[0]
+    assert rows(again) == rows(docs)
+    far = {r["source"]: r for r in mix.mix(d, t, total=1e6)[1].collect()}
+    assert far["letter"]["out_of_reach"] and far["letter"]["most_copies"] == 1
+    assert mix.mix(d.limit(0), t)[0].count() == 0
+
+
+# -- 10 --------------------------------------------------------------------------------------------------------
+
+
+def test_lookalikes(spark):
+    data = [
+        (1, "Der Fluss"), (2, "Dеr Fluss"), (3, "Ｄｅｒ Flu​ss"), (4, "Der Fluss"), (5, "Dér Fluss"), (6, "Dér Fluss"), (7, "Der Fluss"), (8, None), (9, ""), (10, "​"), (11, " "), (12, "ﬁn"), (13, "fin"), (14, "α Orionis"), (15, "a Orionis"), (1, "Der Fluss"),
+        (16, "l" * 30_000), (17, "ǀ" * 10),
+    ]
+    d = frame(spark, data, "doc_id long, text string")
+    assert rows(lookalike.pairs(d)) == [(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (2, 7), (3, 4), (3, 7), (4, 7), (5, 6), (12, 13)]
+    text = {r["doc_id"]: r["text"] for r in lookalike.normalize(d).collect()}
+    assert text[2] == text[3] == text[4] == "Der Fluss" and text[6] == "Dér Fluss" and text[8] is None and text[14] == "α Orionis"
+    assert lookalike.pairs(d.limit(0)).count() == 0
+
+
+def test_automaton_costs():
+    t = lookalike.Trie()
+    for w, n in (("baum", 3), ("raum", 9)):
+        t.add(w, n)
+    assert t.nearest("bаum") == "baum"
+    assert t.nearest("saum") is None
+    assert t.nearest("saum", 1) == "raum"
+    assert t.nearest("baumm", 1) == "baum"
