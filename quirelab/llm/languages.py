@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import spread
+from .sampling import first_by_hash
 
 CODES = ("de", "en", "es", "fr", "la")
 TEXT_TYPES = ("main_text", "marginal_note", "pasted_slip", "crossed_out")
@@ -242,7 +243,7 @@ def sample(regions: DataFrame, size: int = SAMPLE) -> list[tuple[str, list[str]]
     """The training texts: the first `size` text regions by hash of their id, each once."""
     r = regions.filter(F.col("region_type").isin(*TEXT_TYPES) & F.col("content").rlike(r"\p{L}") & F.col("region_id").isNotNull())
     r = r.select("region_id", "content", _label(F.col("languages")).alias("label")).filter("size(label) = 1")
-    rows = r.orderBy(F.xxhash64("region_id"), "region_id").limit(size + size // 50).collect()
+    rows = first_by_hash(r, "region_id", size + size // 50).collect()
     return [(x["content"], x["label"]) for x in {x["region_id"]: x for x in rows}.values()][:size]
 
 
