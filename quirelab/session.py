@@ -2,13 +2,36 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application: their Python workers import it."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="quirelab-code-"), "quirelab.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("quirelab", os.path.relpath(full, root)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table `name` under `sf_dir`; columns and filters reach the scan."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
