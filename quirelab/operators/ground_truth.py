@@ -38,7 +38,10 @@ def align(regions: DataFrame, truth: DataFrame) -> DataFrame:
         rows = [(int(i), kernels.reflow(s, t), ALIGNED) for i, s, t in out]
         return pd.DataFrame(rows, columns=["region_id", "ground_truth_content", "confidence"])
 
-    grouped = regions.select(*keep).groupBy("page_id").cogroup(truth.groupBy("page_id"))
+    # pages without truth never reach Python
+    held = truth.select(F.col("page_id").alias("_held")).distinct()
+    regions = regions.select(*keep).join(held, F.col("page_id") == F.col("_held"), "left_semi").select(*[F.col(c).alias(c) for c in keep])
+    grouped = regions.groupBy("page_id").cogroup(truth.groupBy("page_id"))
     return grouped.applyInPandas(one, "region_id long, ground_truth_content string, confidence double")
 
 
