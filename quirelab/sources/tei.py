@@ -88,7 +88,7 @@ def reference(node: ET.Element) -> tuple[str | None, str | None]:
     """(register id, external authority) that an entity element points to."""
     ref = next((v.strip() for a in ("ref", "key", "corresp", "sameAs") if (v := node.get(a)) and v.strip()), "")
     found = re.search(r"H\d{4,}", ref)
-    outside = "edition-humboldt" not in ref and (ref.startswith(("http://", "https://")) or any(h in ref for h in EXTERNAL))
+    outside = not found and ref.startswith(("http://", "https://")) or any(h in ref for h in EXTERNAL)  # pages of the register itself are not
     return (found[0] if found else None), (ref if ref and outside else None)
 
 
