@@ -7,8 +7,9 @@ an annotator with few labels takes over the table of the type it resembles. Anno
 mistakes on the same items more often than others do are not independent: where they agree, their labels
 count as less than two (the excess is measured on the posterior, pair by pair).
 
-Alignments of each reading with each candidate are worked out once and written to the checkpoint folder;
-an update is one pass over them with partial sums per task. What reaches the driver is counts by annotator
+Alignments of each reading with each candidate are worked out once, inside a band about as wide as their
+distance, and written to the checkpoint folder as counts of events; an update is one pass over them with
+partial sums per task. What reaches the driver is counts by annotator
 and pair of characters: it grows with annotators and alphabet, not with items.
 
 Defined cases: blanks around readings are removed; null and blank readings are no label, an item without
@@ -18,6 +19,7 @@ annotator counts as `?`; ties go to the longer, then the smaller reading; an ite
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,11 +29,35 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut
 
+#: The region types p4_found asks for.
 TYPES = ("entry_heading", "page_number", "calculation")
 _SHIFT = 21
+_FAR = 1 << 30
+#: Items worked on at once, and the longest texts whose alignment is remembered.
+PIECE, SHORT = 500, 40
+
+
+def _costs(a: str, b: str) -> tuple[list[list[int]], int]:
+    """Edit costs of all prefixes no further than `t` from the diagonal, and t: at least the distance, so cheapest paths lie within."""
+    n, m, t = len(a), len(b), max(8, abs(len(a) - len(b)))
+    while True:
+        rows = [list(range(min(m, t) + 1))]
+        for x in range(1, n + 1):
+            above, start, c, left, row = rows[-1], max(0, x - 1 - t), a[x - 1], _FAR, []
+            for y in range(max(0, x - t), min(m, x + t) + 1):
+                i = y - start
+                up = above[i] if i < len(above) else _FAR
+                best = (up if up < left else left) + 1
+                if y and (across := above[i - 1] + (c != b[y - 1])) < best:
+                    best = across
+                row.append(best)
+                left = best
+            rows.append(row)
+        if rows[-1][-1] <= t or t >= max(n, m):
+            return rows, t
+        t *= 2
 
 
-@lru_cache(200_000)
 def events(truth: str, reading: str) -> tuple[int, ...]:
     """Pairs (true character, read character) of the cheapest alignment; 0 stands for nothing.
 
@@ -45,16 +71,18 @@ def events(truth: str, reading: str) -> tuple[int, ...]:
         j += 1
     out = [(ord(c) << _SHIFT) | ord(c) for c in truth[:i] + truth[n - j :]]
     a, b = truth[i : n - j], reading[i : m - j]
-    cost = [[x + y if not x or not y else 0 for y in range(len(b) + 1)] for x in range(len(a) + 1)]
-    for x in range(1, len(a) + 1):
-        for y in range(1, len(b) + 1):
-            cost[x][y] = min(cost[x - 1][y - 1] + (a[x - 1] != b[y - 1]), cost[x - 1][y] + 1, cost[x][y - 1] + 1)
+    rows, t = _costs(a, b)
+
+    def cost(x: int, y: int) -> int:
+        k = y - max(0, x - t)
+        return rows[x][k] if 0 <= k < len(rows[x]) else _FAR
+
     x, y = len(a), len(b)
     while x or y:
-        if x and y and cost[x][y] == cost[x - 1][y - 1] + (a[x - 1] != b[y - 1]):
+        if x and y and cost(x, y) == cost(x - 1, y - 1) + (a[x - 1] != b[y - 1]):
             x, y = x - 1, y - 1
             out.append((ord(a[x]) << _SHIFT) | ord(b[y]))
-        elif x and cost[x][y] == cost[x - 1][y] + 1:
+        elif x and cost(x, y) == cost(x - 1, y) + 1:
             x -= 1
             out.append(ord(a[x]) << _SHIFT)
         else:
@@ -64,6 +92,23 @@ def events(truth: str, reading: str) -> tuple[int, ...]:
     return (*out, *[0] * max(0, n + 1 - put_in))
 
 
+def _counted(truth: str, reading: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
+    """The different events of the alignment and how often each occurs."""
+    found = Counter(events(truth, reading))
+    return tuple(found), tuple(found.values())
+
+
+@lru_cache(200_000)
+def _short(truth: str, reading: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
+    return _counted(truth, reading)
+
+
+def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        for k in range(0, len(b), PIECE):
+            yield b.iloc[k : k + PIECE]
+
+
 def _digamma(x: np.ndarray) -> np.ndarray:
     shift = np.zeros_like(x)
     while (x < 6).any():
@@ -139,9 +184,11 @@ class Communities:
         return out
 
 
-def _labels(regions: DataFrame) -> DataFrame:
-    """region_id, names, readings of items with at least one label."""
-    r = regions.filter(F.col("region_type").isin(*TYPES) & F.col("region_id").isNotNull() & (F.size("ensemble_readings") > 0))
+def _labels(regions: DataFrame, types: tuple[str, ...] | None) -> DataFrame:
+    """region_id, names, readings of items with at least one label; of all region types where `types` is None."""
+    r = regions.filter(F.col("region_id").isNotNull() & (F.size("ensemble_readings") > 0))
+    if types is not None:
+        r = r.filter(F.col("region_type").isin(*types))
     r = r.select(F.col("region_id").cast("long").alias("region_id"), "ensemble_readings", "reader_ids").dropDuplicates(["region_id"])
     zipped = F.transform(F.col("ensemble_readings"), lambda x, i: F.struct(F.coalesce(F.get("reader_ids", i), F.lit("?")).alias("name"), F.regexp_replace(x, r"(?U)^\s+|\s+$", "").alias("reading")))
     r = r.select("region_id", F.filter(zipped, lambda x: x["reading"] != "").alias("z")).filter("size(z) > 0")
@@ -149,28 +196,29 @@ def _labels(regions: DataFrame) -> DataFrame:
 
 
 def _aligned(labels: DataFrame) -> DataFrame:
-    """Per item: candidates, and for each event the candidate and the label it belongs to, flattened."""
+    """Per item: candidates, and for each event the candidate and the label it belongs to and its count, flattened."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in _pieces(batches):
             rows = []
             for names, readings in zip(b["names"], b["readings"], strict=True):
                 candidates = sorted(set(readings), key=lambda x: (-list(readings).count(x), -len(x), x))
                 place = {c: i for i, c in enumerate(candidates)}
-                cand, who, what = [], [], []
+                cand, who, what, times = [], [], [], []
                 for c, truth in enumerate(candidates):
                     for i, reading in enumerate(readings):
-                        e = events(truth, reading)
+                        e, n = (_short if len(truth) <= SHORT and len(reading) <= SHORT else _counted)(truth, reading)
                         cand += [c] * len(e)
                         who += [i] * len(e)
                         what += e
-                rows.append((candidates, [list(readings).count(c) for c in candidates], [place[x] for x in readings], cand, who, what))
-            out = pd.DataFrame(rows, columns=["candidates", "votes", "chose", "cand", "who", "what"])
+                        times += n
+                rows.append((candidates, [list(readings).count(c) for c in candidates], [place[x] for x in readings], cand, who, what, times))
+            out = pd.DataFrame(rows, columns=["candidates", "votes", "chose", "cand", "who", "what", "times"])
             out.insert(0, "region_id", b["region_id"].to_numpy())
             out.insert(1, "names", b["names"].to_list())
             yield out
 
-    return labels.mapInPandas(run, "region_id long, names array<string>, candidates array<string>, votes array<int>, chose array<int>, cand array<int>, who array<int>, what array<long>")
+    return labels.mapInPandas(run, "region_id long, names array<string>, candidates array<string>, votes array<int>, chose array<int>, cand array<int>, who array<int>, what array<long>, times array<int>")
 
 
 def _weights(b: pd.DataFrame, twins: dict[str, dict[str, float]]) -> list[float]:
@@ -187,7 +235,7 @@ def _dependence(aligned: DataFrame, state: dict) -> dict[str, dict[str, float]]:
     """For pairs of annotators, how much more often than usual two wrong labels are the same one (0 to 1)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in _pieces(batches):
             *_, first, p = _posterior(b, state)
             seen: dict[tuple[str, str], list[int]] = {}
             for i, (names, chose) in enumerate(zip(b["names"], b["chose"], strict=True)):
@@ -213,13 +261,14 @@ def _dependence(aligned: DataFrame, state: dict) -> dict[str, dict[str, float]]:
 
 
 def _posterior(b: pd.DataFrame, model: dict | None):
-    """Item and candidate of each event, its annotator, and the probability of each candidate of each item."""
+    """Annotator, event, count and candidate of each entry, and the probability of each candidate of each item."""
     sizes = b["candidates"].str.len().to_numpy()
     first = np.concatenate([[0], np.cumsum(sizes)])
     n_events = b["what"].str.len().to_numpy()
     item = np.repeat(np.arange(len(b)), n_events)
     slot = first[item] + np.concatenate([*b["cand"], np.empty(0, np.int32)]).astype(np.int64)
     what = np.concatenate([*b["what"], np.empty(0, np.int64)]).astype(np.int64)
+    times = np.concatenate([*b["times"], np.empty(0, np.int32)]).astype(np.int64)
     names = sorted({n for x in b["names"] for n in x})
     code = {n: i for i, n in enumerate(names)}
     start = np.concatenate([[0], np.cumsum(b["names"].str.len().to_numpy())])
@@ -235,12 +284,12 @@ def _posterior(b: pd.DataFrame, model: dict | None):
         weight = np.array(_weights(b, model["twins"]))[label] if len(label) else np.empty(0)
         rare = model["rare"]
         prior = np.array([sum(model["prior"].get(ord(x), rare) for x in c) for cs in b["candidates"] for c in cs])
-        score = prior + np.bincount(slot, weight * np.where(known, table[reader, at], -8.0), minlength=first[-1])
+        score = prior + np.bincount(slot, weight * times * np.where(known, table[reader, at], -8.0), minlength=first[-1])
     top = np.full(len(b), -np.inf)
     np.maximum.at(top, owner, score)
     p = np.exp(score - top[owner])
     p /= np.bincount(owner, p, minlength=len(b))[owner]
-    return names, reader, what, slot, owner, first, p
+    return names, reader, what, times, slot, owner, first, p
 
 
 def fit(aligned: DataFrame, communities: int = 8, rounds: int = 6) -> Communities:
@@ -250,11 +299,11 @@ def fit(aligned: DataFrame, communities: int = 8, rounds: int = 6) -> Communitie
     for turn in range(rounds):
 
         def run(batches: Iterator[pd.DataFrame], model=state) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                names, reader, what, slot, _, _, p = _posterior(b, model)
+            for b in _pieces(batches):
+                names, reader, what, times, slot, _, _, p = _posterior(b, model)
                 if len(what):
-                    out = pd.DataFrame({"name": np.array(names, object)[reader], "event": what, "x": p[slot]})
-                    yield out.groupby(["name", "event"], as_index=False)["x"].sum()
+                    out = pd.DataFrame({"name": reader, "event": what, "x": p[slot] * times}).groupby(["name", "event"], as_index=False)["x"].sum()
+                    yield out.assign(name=np.array(names, object)[out["name"].to_numpy()])
 
         counts = counts_of(aligned.mapInPandas(run, "name string, event long, x double").groupBy("name", "event").agg(F.sum("x").alias("x")).collect())
         if not counts:
@@ -273,14 +322,16 @@ def fit(aligned: DataFrame, communities: int = 8, rounds: int = 6) -> Communitie
     return model
 
 
-def consensus(regions: DataFrame, communities: int = 8, rounds: int = 6) -> tuple[DataFrame, Communities]:
-    """region_id, reading, confidence, agreement (share of label pairs that agree; null for one label), readings (labels), kinds (different labels)."""
-    aligned = cut(_aligned(_labels(regions)))
+def consensus(regions: DataFrame, communities: int = 8, rounds: int = 6, types: tuple[str, ...] | None = TYPES) -> tuple[DataFrame, Communities]:
+    """region_id, reading, confidence, agreement (share of label pairs that agree; null for one label), readings (labels), kinds (different labels).
+
+    Items are the regions of `types`; None means all."""
+    aligned = cut(_aligned(_labels(regions, types)))
     model = fit(aligned, communities, rounds)
     state = getattr(model, "state", None)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+        for b in _pieces(batches):
             *_, owner, first, p = _posterior(b, state)
             rows = []
             for i, (c, v) in enumerate(zip(b["candidates"], b["votes"], strict=True)):
@@ -295,9 +346,9 @@ def consensus(regions: DataFrame, communities: int = 8, rounds: int = 6) -> tupl
     return aligned.mapInPandas(run, "region_id long, reading string, confidence double, agreement double, readings int, kinds int"), model
 
 
-def reader_reliability(regions: DataFrame, communities: int = 8, rounds: int = 6) -> DataFrame:
-    """reader_id, accuracy (characters), reliability (smoothed by its type), community, membership."""
+def reader_reliability(regions: DataFrame, communities: int = 8, rounds: int = 6, types: tuple[str, ...] | None = None) -> DataFrame:
+    """reader_id, accuracy (characters), reliability (smoothed by its type), community, membership; from all labels unless `types` are named."""
     spark = regions.sparkSession
-    model = fit(cut(_aligned(_labels(regions))), communities, rounds)
+    model = fit(cut(_aligned(_labels(regions, types))), communities, rounds)
     rows = model.reliability() if hasattr(model, "state") else []
     return spark.createDataFrame(rows, "reader_id string, accuracy double, reliability double, community int, membership double")

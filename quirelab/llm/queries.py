@@ -40,7 +40,7 @@ def p4_found(spark, d):
 
 
 def p4_consensus(spark, d):
-    return consensus_readers.consensus(_readings(spark, d))[0]
+    return consensus_readers.consensus(_readings(spark, d), types=None)[0]
 
 
 def p4_readers(spark, d):

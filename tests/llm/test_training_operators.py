@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from quirelab.llm import bpe, canonical, consensus_readers, languages, lookalike, mix, repair, resolve, spans
+from quirelab.llm import bpe, canonical, consensus_readers, languages, lookalike, mix, queries, repair, resolve, spans
 
 NAMES = "name_id long, entity_type string, text string, normalized_form string, surname string, birth string, death string, note string"
 CLASH = ("1 as k", "2 as s", "3 as w", "4 as token", "5 as n", "6 as cid", "7 as h", "8 as tid", "9 as label", "10 as raw", "11 as bucket", "12 as size")
@@ -120,6 +120,33 @@ def test_consensus_edges(spark):
     assert consensus_readers.reader_reliability(d.limit(0)).count() == 0
 
 
+def test_consensus_of_all_region_types(spark, tmp_path):
+    text = "der Fluss war kalt und das Gestein liegt offen " * 12
+    typed = [("main_text", [text, text, text.replace("Fluss", "Flusz")]), ("marginal_note", ["am Rand", "am Rnad"]), ("crossed_out", ["weg", "weg"]), ("pasted_slip", ["Zettel", None]), ("page_number", ["7", "1", "7"]), (None, ["a", "b"])]
+    s = "region_id long, region_type string, ensemble_readings array<string>, reader_ids array<string>"
+    d = frame(spark, [(i, t, r, ["A", "B", "C"][: len(r)] if t == "page_number" else ["D", "E", "F"][: len(r)]) for i, (t, r) in enumerate(typed)], s)
+    d.write.parquet(str(tmp_path / "regions.parquet"))
+    got = {r["region_id"]: r for r in queries.p4_consensus(spark, str(tmp_path)).collect()}
+    assert set(got) == set(range(6)) and got[0]["reading"] == text.strip() and got[0]["kinds"] == 2
+    assert {r["reader_id"] for r in queries.p4_readers(spark, str(tmp_path)).collect()} == {"A", "B", "C", "D", "E", "F"}
+    assert {r["region_id"] for r in queries.p4_found(spark, str(tmp_path)).collect()} == {4}
+
+
+def test_alignment_within_a_band_is_cheapest():
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abc") for _ in range(n))
+    for _ in range(300):
+        a, b = word(rng.randint(0, 40)), word(rng.randint(0, 40))
+        rows, _ = consensus_readers._costs(a, b)
+        full = list(range(len(b) + 1))
+        for x, c in enumerate(a, 1):
+            last, full = full, [x]
+            for y, e in enumerate(b, 1):
+                full.append(min(last[y - 1] + (c != e), last[y] + 1, full[-1] + 1))
+        paired = [e for e in consensus_readers.events(a, b) if e]
+        assert rows[-1][-1] == full[-1] == sum(e >> 21 != e & ((1 << 21) - 1) for e in paired)
+
+
 # -- 5 ---------------------------------------------------------------------------------------------------------
 
 
