@@ -5,10 +5,12 @@ spelling, initials, years, calling. Profiles that agree are merged; a merged pro
 spellings, initials and years, enters blocking again under all of them, and may now match what its parts
 could not. Rounds go on until none merges.
 
-Blocking: a profile stands in the block of each of its spellings, and of every much more frequent spelling
-one edit away (found by an equality join on strings with one character left out). Within a block, agreement
-of full forenames comes first, then initials that fit one person only, then bare surnames that fit one
-person only; years must not contradict, so relatives stay apart. Rows that say the same are one profile
+Blocking: a profile stands in the block of each of its spellings, and of every more frequent spelling one edit
+away (found by an equality join on strings with one character left out), so any two such spellings meet. Within
+a block, agreement of full forenames comes first, then initials that fit one person only, then bare surnames
+that fit one person only; years must not contradict, so relatives stay apart. Initials and bare surnames go to
+another spelling only if it is much more frequent; where both are about as frequent a full forename must agree,
+and of several such links a profile takes the one to the largest person, if its own spelling gave it none. Rows that say the same are one profile
 with a count from the start, and blocks are split by initial, so a hot name costs its distinct forms.
 Forenames: a fixed table, and nicknames learned from rows that give two forms.
 
@@ -167,6 +169,8 @@ def _profile(kind, text, nf, surname, birth, death, note, alias):
     return (kind or "", sorted(spellings), sorted(firsts), sorted(seconds), sorted(initials), [y] if (y := year(birth)) else [], [y] if (y := year(death)) else [], sorted(callings))
 
 
+#: How many times as frequent a spelling must be to take initials and bare surnames of another that is itself not rare.
+CLEAR = 8
 _FIELDS = "type string, spellings array<string>, firsts array<string>, seconds array<string>, initials array<string>, births array<string>, deaths array<string>, callings array<string>"
 _SETS = ("spellings", "firsts", "seconds", "initials", "births", "deaths", "callings")
 
@@ -213,17 +217,19 @@ def profiles(rows: DataFrame) -> DataFrame:
 
 
 def _blocks(p: DataFrame) -> DataFrame:
-    """cid, block: the spellings of each profile, and much more frequent ones an edit away."""
-    spelled = p.select("cid", "type", "size", F.explode("spellings").alias("s"))
+    """cid, type, block, near: the spellings of each profile and more frequent ones an edit away; near where only full forenames may decide."""
+    spelled = p.select("cid", "type", "size", "firsts", F.explode("spellings").alias("s"))
     counts = spelled.groupBy("type", "s").agg(F.sum("size").alias("n"))
     left_out = F.concat(F.array("s"), F.transform(F.sequence(F.lit(1), F.length("s")), lambda i: F.concat(F.substring("s", F.lit(1), i - 1), F.substring(F.col("s"), i + 1, F.lit(1000)))))
     keyed = cut(counts.filter("length(s) >= 5").select("type", "s", "n", F.explode(F.array_distinct(left_out)).alias("key")))
-    rare, hub = keyed.filter("n <= 3"), keyed.filter("n >= 3").select("type", "key", F.col("s").alias("hub"), F.col("n").alias("m"))
-    near = rare.join(hub, ["type", "key"]).filter("s <> hub and m >= 2 * n + 1").select("type", "s", "hub").distinct()
+    hub = keyed.select("type", "key", F.col("s").alias("hub"), F.col("n").alias("m"))
+    pairs = keyed.join(hub, ["type", "key"]).filter("n < m or n = m and s > hub").select("type", "s", "hub", F.expr(f"m < if(n <= 3, 2 * n + 1, {CLEAR} * n)").alias("near")).distinct()
     # the strings share a remainder; that allows one replacement, insertion, omission or swap, and little else
-    near = near.filter(F.levenshtein("s", "hub") <= 2)
-    own = spelled.select("cid", "type", F.col("s").alias("block"))
-    return own.unionByName(spelled.join(near, ["type", "s"]).select("cid", "type", F.col("hub").alias("block"))).distinct()
+    pairs = pairs.filter(F.levenshtein("s", "hub") <= 2)
+    own = spelled.select("cid", "type", F.col("s").alias("block"), F.lit(False).alias("near"))
+    full = F.exists("firsts", lambda g: F.length(g) > 1)
+    others = spelled.join(pairs, ["type", "s"]).filter(~F.col("near") | full).select("cid", "type", F.col("hub").alias("block"), "near")
+    return own.unionByName(others).groupBy("cid", "type", "block").agg(F.min("near").alias("near"))
 
 
 def _fits(a: dict, b: dict) -> bool:
@@ -247,16 +253,22 @@ def _full(p: dict) -> set[str]:
     return {g for g in p["firsts"] if len(g) > 1}
 
 
-def resolve_block(members: list[dict]) -> list[tuple[int, int]]:
-    """(profile, profile it joins) within one block."""
+def _alike(a: dict, b: dict) -> bool:
+    """A spelling in common, or two that are one edit apart."""
+    return any(one_edit(x, y) for x in a["spellings"] for y in b["spellings"])
+
+
+def resolve_block(members: list[dict]) -> list[tuple[int, int, bool, int]]:
+    """(profile, profile it joins, whether across spellings about as frequent, size of what it joins) within one block."""
     groups: list[dict] = []
-    links: list[tuple[int, int]] = []
+    links: list[tuple[int, int, bool, int]] = []
 
     def join(g: dict, p: dict) -> None:
+        links.append((p["cid"], g["cid"], p["near"] or g["near"], g["size"]))
         for f in _SETS:
             g[f] = g[f] | p[f]
         g["size"] += p["size"]
-        links.append((p["cid"], g["cid"]))
+        g["near"] = g["near"] and p["near"]
 
     members = sorted(members, key=lambda p: (-bool(_full(p)), -len(p["seconds"]), -len(p["firsts"]), -p["size"], p["cid"]))
     by_first: dict[str, list[dict]] = defaultdict(list)
@@ -266,7 +278,7 @@ def resolve_block(members: list[dict]) -> list[tuple[int, int]]:
         if not full:
             late.append(p)
             continue
-        near = [g for g in {id(g): g for f in sorted(full) for g in by_first[f]}.values() if _fits(g, p)]
+        near = [g for g in {id(g): g for f in sorted(full) for g in by_first[f]}.values() if _fits(g, p) and (not (g["near"] or p["near"]) or _alike(g, p))]
         strong = [g for g in near if g["seconds"] & p["seconds"] or g["births"] & p["births"] or g["deaths"] & p["deaths"]]
         near = strong or near
         # without a second forename to tell, namesakes stay apart
@@ -283,7 +295,7 @@ def resolve_block(members: list[dict]) -> list[tuple[int, int]]:
             if bool(p["firsts"]) != weak:
                 rest.append(p)
                 continue
-            near = [g for g in groups if _fits(g, p)]
+            near = [g for g in groups if not g["near"] and _fits(g, p)]
             if len(near) > 1:
                 dated = [g for g in near if g["births"] & p["births"] or g["deaths"] & p["deaths"]]
                 near = dated or near
@@ -305,6 +317,7 @@ def _round(p: DataFrame) -> DataFrame:
     b = cut(_blocks(p))
     several = b.groupBy("type", "block").agg(F.count("*").alias("n")).filter("n > 1").select("type", "block")
     rows = b.join(several, ["type", "block"], "left_semi").join(p.drop("type"), "cid").repartition("type", "block").sortWithinPartitions("type", "block", "cid")
+    shape = ["cid", "into", "near", "size"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, members = None, []
@@ -315,11 +328,14 @@ def _round(p: DataFrame) -> DataFrame:
                 if key != at:
                     out += resolve_block(members)
                     at, members = key, []
-                members.append({"cid": r["cid"], "type": r["type"], "size": r["size"], **{f: set(r[f]) for f in _SETS}})
-            yield pd.DataFrame(out, columns=["cid", "into"])
-        yield pd.DataFrame(resolve_block(members), columns=["cid", "into"])
-
-    links = rows.mapInPandas(run, "cid long, into long").filter("cid <> into")
+                members.append({"cid": r["cid"], "type": r["type"], "size": r["size"], "near": r["near"], **{f: set(r[f]) for f in _SETS}})
+            yield pd.DataFrame(out, columns=shape)
+        yield pd.DataFrame(resolve_block(members), columns=shape)
+
+    links = cut(rows.mapInPandas(run, "cid long, into long, near boolean, size long").filter("cid <> into"))
+    sure = links.filter("not near").select("cid", "into")
+    best = links.filter("near").groupBy("cid").agg(F.max_by("into", F.struct("size", -F.col("into"))).alias("into"))
+    links = sure.unionByName(best.join(sure, "cid", "left_anti"))
     # each profile moves to the smallest it was linked with, in either direction; the next round goes on
     both = links.unionByName(links.select(F.col("into").alias("cid"), F.col("cid").alias("into")))
     return both.groupBy("cid").agg(F.min("into").alias("into")).filter("into < cid")

@@ -254,6 +254,18 @@ def test_resolution(spark):
     assert resolve.pairs(d.limit(0)).count() == 0
 
 
+def test_spellings_one_edit_apart_meet(spark):
+    some = lambda text, n, at, birth=None: [(at + i, "Person", text, None, None, birth, None, None) for i in range(n)]
+    data = some("Joseph Jovigewig", 1, 1) + some("Joseph Jovygewig", 1, 2)  # once each
+    data += some("Ulrich Hikedemann", 6, 11) + some("Ulrich Hikademann", 5, 21)  # neither rare nor much rarer
+    data += some("Robert Prolmartig", 4, 31, "1701") + some("Robert Prolmertig", 4, 41, "1790")  # years contradict
+    data += some("Sabrilon", 4, 51) + some("Quirin Sabrylon", 5, 61)  # a bare surname, about as frequent
+    found = set(rows(resolve.pairs(frame(spark, data, NAMES))))
+    apart = lambda a, b: not any((x, y) in found for x in a for y in b)
+    assert (1, 2) in found and all((a, b) in found for a in range(11, 17) for b in range(21, 26))
+    assert apart(range(31, 35), range(41, 45)) and apart(range(51, 55), range(61, 66))
+
+
 # -- 8, 9 ------------------------------------------------------------------------------------------------------
 
 
