@@ -341,16 +341,15 @@ def _round(p: DataFrame) -> DataFrame:
     return both.groupBy("cid").agg(F.min("into").alias("into")).filter("into < cid")
 
 
-def resolve(rows: DataFrame, rounds: int = 12) -> DataFrame:
-    """name_id, cid: rows of one person or institution share a cid."""
+def resolve(rows: DataFrame) -> DataFrame:
+    """name_id, cid: rows of one person or institution share a cid.
+
+    Each round with a merge leaves fewer profiles, so the rounds end."""
     own = cut(profiles(rows))
     same = own.groupBy("type", *_SETS).agg(F.min("name_id").alias("cid"), F.count("*").alias("size"))
     members = cut(own.join(same.withColumnRenamed("type", "t").select("t", *(F.col(f).alias("_" + f) for f in _SETS), "cid"), [F.col("type") == F.col("t"), *(F.col(f) == F.col("_" + f) for f in _SETS)]).filter("size(spellings) > 0").select("name_id", "cid"))
     p = cut(same.filter("size(spellings) > 0").select("cid", "type", "size", *_SETS))
-    for _ in range(rounds):
-        moves = cut(_round(p))
-        if moves.isEmpty():
-            break
+    while not (moves := cut(_round(p))).isEmpty():
         # chains within a round are followed once more, so long ones need few rounds
         step = moves.alias("a").join(moves.alias("b"), F.col("a.into") == F.col("b.cid"), "left").select("a.cid", F.coalesce("b.into", "a.into").alias("into"))
         step = cut(step)

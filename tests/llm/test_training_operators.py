@@ -266,6 +266,19 @@ def test_spellings_one_edit_apart_meet(spark):
     assert apart(range(31, 35), range(41, 45)) and apart(range(51, 55), range(61, 66))
 
 
+def test_rounds_go_on_until_none_merges(spark, monkeypatch):
+    turns = iter(range(1, 15))
+
+    def one(p):
+        """The last profile joins the one before, in 14 rounds."""
+        k = next(turns, None)
+        return spark.createDataFrame([(16 - k, 15 - k)] if k else [], "cid long, into long")
+
+    monkeypatch.setattr(resolve, "_round", one)
+    d = frame(spark, [(i, "Person", "Jamavolin" + "x" * i, None, None, None, None, None) for i in range(1, 16)], NAMES)
+    assert {r["cid"] for r in resolve.resolve(d).collect()} == {1}
+
+
 # -- 8, 9 ------------------------------------------------------------------------------------------------------
 
 
