@@ -11,7 +11,8 @@ a block, agreement of full forenames comes first, then initials that fit one per
 that fit one person only; years must not contradict, so relatives stay apart. Initials and bare surnames go to
 another spelling only if it is much more frequent; where both are about as frequent a full forename must agree,
 and of several such links a profile takes the one to the largest person, if its own spelling gave it none. Rows that say the same are one profile
-with a count from the start, and blocks are split by initial, so a hot name costs its distinct forms.
+with a count from the start, so a hot name costs its distinct forms; these are not split further: all profiles
+of a surname stand in one task's memory, and each one without a full forename is held against all its persons.
 Forenames: a fixed table, and nicknames learned from rows that give two forms.
 
 Defined cases: rows without a usable name stand alone; a row sent twice counts once; null ids are left out;
