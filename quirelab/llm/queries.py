@@ -56,7 +56,11 @@ def p5_found(spark, d):
 
 
 def p5_shares(spark, d):
-    return spans.shares(_spans(spark, d))
+    return spans.shares(_spans(spark, d), fields=("content", "content_pre_consistency"))
+
+
+def p5_intervals(spark, d):
+    return spans.intervals(_spans(spark, d))
 
 
 def _scanned(spark, d):
@@ -112,7 +116,7 @@ def p10_normalized(spark, d):
 
 
 def queries():
-    return {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_segments, p4_found, p4_consensus, p4_readers, p5_found, p5_shares, p6_found, p6_repaired, p7_found, p7_clusters, p8_ids, p8_round_trip, p9_mix, p9_shares, p9_shares_whole_corpus, p10_found, p10_normalized)}
+    return {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_segments, p4_found, p4_consensus, p4_readers, p5_found, p5_shares, p5_intervals, p6_found, p6_repaired, p7_found, p7_clusters, p8_ids, p8_round_trip, p9_mix, p9_shares, p9_shares_whole_corpus, p10_found, p10_normalized)}
 
 
 def oracle_sql():

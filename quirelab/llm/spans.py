@@ -285,9 +285,8 @@ def pairs(regions: DataFrame, least: int = 120) -> DataFrame:
     return a.join(b, "cls").filter("region_id_a < region_id_b").select("region_id_a", "region_id_b").distinct()
 
 
-def shares(regions: DataFrame, least: int = 120) -> DataFrame:
-    """region_id, n_chars, shared_chars, share of each region's content that stands in another region."""
-    members, classes = find(regions, least)
+def _covered(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """tid, start, stop: where a text's characters lie in spans that stand in another region; overlapping stretches are one."""
     own = members.select("region_id", "tid").distinct()
     per_class = classes.select("cls", "tid").distinct().join(own, "tid").groupBy("cls").agg(F.count_distinct("region_id").alias("regions")).filter("regions > 1").select("cls")
     stretches = classes.join(per_class, "cls", "left_semi").select("tid", "start", "stop").distinct()
@@ -295,7 +294,22 @@ def shares(regions: DataFrame, least: int = 120) -> DataFrame:
     whole = members.join(copies, "tid", "left_semi").select("tid", F.lit(0).alias("start"), F.col("n_chars").alias("stop")).distinct()
     order = W.partitionBy("tid").orderBy("start", "stop")
     s = stretches.unionByName(whole).withColumn("upto", F.coalesce(F.max("stop").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    covered = s.groupBy("tid").agg(F.sum(F.greatest(F.col("stop") - F.greatest("start", "upto"), F.lit(0))).alias("shared_chars"))
-    every = regions.select(F.col("region_id").cast("long").alias("region_id"), F.md5(F.col("content").cast("string").cast("binary")).alias("tid"), F.coalesce(F.length("content"), F.lit(0)).alias("n_chars")).filter("region_id is not null").dropDuplicates(["region_id"])
+    s = s.withColumn("part", F.sum((F.col("start") > F.col("upto")).cast("int")).over(order.rowsBetween(W.unboundedPreceding, 0)))
+    return s.groupBy("tid", "part").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("part")
+
+
+def intervals(regions: DataFrame, least: int = 120) -> DataFrame:
+    """region_id, field, start, stop (from 0, stop excluded) of the stretches of both fields that stand in another region."""
+    members, classes = find(regions, least)
+    return members.join(_covered(members, classes), "tid").select("region_id", F.when(F.col("field") == "pre", "content_pre_consistency").otherwise(F.col("field")).alias("field"), "start", "stop").distinct()
+
+
+def shares(regions: DataFrame, least: int = 120, fields: tuple[str, ...] = ("content",)) -> DataFrame:
+    """region_id, field, n_chars, shared_chars, share of each region's `fields` that stands in another region."""
+    members, classes = find(regions, least)
+    covered = _covered(members, classes).groupBy("tid").agg(F.sum(F.col("stop") - F.col("start")).alias("shared_chars"))
+    texts = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("t")) for f in fields))).alias("x")
+    every = regions.select(F.col("region_id").cast("long").alias("region_id"), texts).filter("region_id is not null")
+    every = every.select("region_id", "x.field", F.md5(F.col("x.t").cast("binary")).alias("tid"), F.coalesce(F.length("x.t"), F.lit(0)).alias("n_chars")).dropDuplicates(["region_id", "field"])
     out = every.join(covered, "tid", "left").withColumn("shared_chars", F.coalesce("shared_chars", F.lit(0)))
-    return out.select("region_id", "n_chars", "shared_chars", F.when(F.col("n_chars") > 0, F.col("shared_chars") / F.col("n_chars")).otherwise(0.0).alias("share"))
+    return out.select("region_id", "field", "n_chars", "shared_chars", F.when(F.col("n_chars") > 0, F.col("shared_chars") / F.col("n_chars")).otherwise(0.0).alias("share"))

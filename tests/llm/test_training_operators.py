@@ -188,6 +188,24 @@ def test_span_shares(spark):
     assert got[1]["shared_chars"] >= 200 and got[2]["shared_chars"] >= 130
 
 
+def test_shares_and_intervals_of_both_fields(spark, tmp_path):
+    data = [x for x in shared_texts() if x != (1, None, None)]
+    frame(spark, data, "region_id long, content string, content_pre_consistency string").write.parquet(str(tmp_path / "regions.parquet"))
+    shares = {(r["region_id"], r["field"]): r for r in queries.p5_shares(spark, str(tmp_path)).collect()}
+    assert len(shares) == 2 * len(data)
+    texts = {(i, f): t or "" for i, a, b in data for f, t in (("content", a), ("content_pre_consistency", b))}
+    held = {}
+    for (i, _), t in texts.items():
+        for k in range(len(t) - 119):
+            held.setdefault(t[k : k + 120], set()).add(i)
+    want = {x: {p for k in range(len(t) - 119) if len(held[t[k : k + 120]]) > 1 for p in range(k, k + 120)} for x, t in texts.items()}
+    assert want[3, "content_pre_consistency"] and {x: r["shared_chars"] for x, r in shares.items()} == {x: len(p) for x, p in want.items()}
+    found = {x: set() for x in texts}
+    for r in queries.p5_intervals(spark, str(tmp_path)).collect():
+        found[r["region_id"], r["field"]] |= set(range(r["start"], r["stop"]))
+    assert found == want
+
+
 def test_index_counts_like_a_scan():
     rng = random.Random(7)
     texts = ["".join(rng.choice("abc") for _ in range(60)) for _ in range(8)]
