@@ -6,14 +6,18 @@ spellings, initials and years, enters blocking again under all of them, and may
 could not. Rounds go on until none merges.
 
 Blocking: a profile stands in the block of each of its spellings, and of every more frequent spelling one edit
-away (found by an equality join on strings with one character left out), so any two such spellings meet. Within
-a block, agreement of full forenames comes first, then initials that fit one person only, then bare surnames
-that fit one person only; years must not contradict, so relatives stay apart. Initials and bare surnames go to
-another spelling only if it is much more frequent; where both are about as frequent a full forename must agree,
-and of several such links a profile takes the one to the largest person, if its own spelling gave it none. Rows that say the same are one profile
-with a count from the start, so a hot name costs its distinct forms; these are not split further: all profiles
-of a surname stand in one task's memory, and each one without a full forename is held against all its persons.
-Forenames: a fixed table, and nicknames learned from rows that give two forms.
+away (found by an equality join on strings with one character left out), so any two such spellings meet. Two
+kinds of round take turns. In the first a block is split by initial: full forenames are compared first, then
+initials that fit one person only. In the second, bare surnames of a block are held against the persons found
+so far, by year, calling and size; years must not contradict, so relatives stay apart. Initials and bare surnames
+go to another spelling only if it is several times as frequent (frequencies are compared as ratios only, so rows
+sent again under new ids change nothing); where both are about as frequent, a full forename or two initials must
+agree, or one of the spellings, not above average in frequency, stand without any full forename and a single person fit; of several such links a profile takes the one to the largest person, if its own spelling gave it none.
+Rows that say the same are one profile with a count from the start, and within a block persons are looked up by
+forename, initial, year and calling, so a hot name costs its distinct forms and no profile is held against all
+persons of its block.
+Forenames: a fixed table, and nicknames learned from rows that give two forms; a short form that begins several
+forenames counts as an initial.
 
 Defined cases: rows without a usable name stand alone; a row sent twice counts once; null ids are left out;
 unreadable years are missing; a surname that several persons share is linked only where one of them is far
@@ -26,9 +30,10 @@ import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut
 
@@ -50,6 +55,8 @@ INSTITUTIONS = (
     ("literary", r"liter|\blit\."), ("amigos", r"sociedad|amigos|soc\. am|d\. país"), ("garten", r"botan|garten|\bbot\."), ("naturfreunde", r"naturf|königl|kgl|gesellsch"), ("society", r"society|\bsoc\."),
 )
 _ALIAS = {a: k for k, v in FORENAMES.items() for a in (k, *v.split())}
+#: Short forms that begin another forename too (`Th.`, `Fr.`, `Marg.`): with a full stop they are initials.
+_OPEN = frozenset(a for a, k in _ALIAS.items() if any(o != k and f.startswith(a) and len(f) > len(a) for f, o in _ALIAS.items()))
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?\.?")
 
 
@@ -59,6 +66,17 @@ def plain(s: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
 
 
+# Spellings of one sound.
+SOUNDS = (("ph", "f"), ("th", "t"), ("ck", "k"), ("y", "i"))
+
+
+def sound(s: str) -> str:
+    """A surname without differences of spelling that leave its sound."""
+    for written, heard in SOUNDS:
+        s = s.replace(written, heard)
+    return s
+
+
 def clean(s: str | None) -> str:
     s = re.sub(r"~~[^~]*~~|\[\?\]|</?u>|[\[\]?]", "", s or "")
     return re.sub(r"\s+", " ", re.sub(r"[-=¬⸗­]+ ?\n\s*|(?<=[^\W\d_])- (?=[^\W\d_])", "", s)).strip()
@@ -108,6 +126,8 @@ def person(s: str, alias: dict[str, str]) -> tuple[str, list[str], set[str]]:
                     other = {"m"}
                 continue
             given.append(low)
+        elif t.endswith(".") and low in _OPEN:
+            given.append(low[0])
         elif (f := forename(t, alias)) is not None:
             given.append(f)
         elif t.endswith(".") and len(low) < 6 and i + 1 < len(tokens):
@@ -170,8 +190,8 @@ def _profile(kind, text, nf, surname, birth, death, note, alias):
     return (kind or "", sorted(spellings), sorted(firsts), sorted(seconds), sorted(initials), [y] if (y := year(birth)) else [], [y] if (y := year(death)) else [], sorted(callings))
 
 
-#: How many times as frequent a spelling must be to take initials and bare surnames of another that is itself not rare.
-CLEAR = 8
+#: How many times as frequent a spelling must be to take initials and bare surnames of another.
+CLEAR = 3
 _FIELDS = "type string, spellings array<string>, firsts array<string>, seconds array<string>, initials array<string>, births array<string>, deaths array<string>, callings array<string>"
 _SETS = ("spellings", "firsts", "seconds", "initials", "births", "deaths", "callings")
 
@@ -217,20 +237,36 @@ def profiles(rows: DataFrame) -> DataFrame:
     return r.mapInPandas(run, "name_id long, " + _FIELDS)
 
 
-def _blocks(p: DataFrame) -> DataFrame:
-    """cid, type, block, near: the spellings of each profile and more frequent ones an edit away; near where only full forenames may decide."""
-    spelled = p.select("cid", "type", "size", "firsts", F.explode("spellings").alias("s"))
-    counts = spelled.groupBy("type", "s").agg(F.sum("size").alias("n"))
-    left_out = F.concat(F.array("s"), F.transform(F.sequence(F.lit(1), F.length("s")), lambda i: F.concat(F.substring("s", F.lit(1), i - 1), F.substring(F.col("s"), i + 1, F.lit(1000)))))
-    keyed = cut(counts.filter("length(s) >= 5").select("type", "s", "n", F.explode(F.array_distinct(left_out)).alias("key")))
-    hub = keyed.select("type", "key", F.col("s").alias("hub"), F.col("n").alias("m"))
-    pairs = keyed.join(hub, ["type", "key"]).filter("n < m or n = m and s > hub").select("type", "s", "hub", F.expr(f"m < if(n <= 3, 2 * n + 1, {CLEAR} * n)").alias("near")).distinct()
-    # the strings share a remainder; that allows one replacement, insertion, omission or swap, and little else
-    pairs = pairs.filter(F.levenshtein("s", "hub") <= 2)
-    own = spelled.select("cid", "type", F.col("s").alias("block"), F.lit(False).alias("near"))
+def _left_out(s: Column) -> Column:
+    """A string and what is left of it without each of its letters."""
+    return F.concat(F.array(s), F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.substring(s, i + 1, F.length(s)))))
+
+
+def _blocks(p: DataFrame, bare: bool, usual: float) -> DataFrame:
+    """cid, type, block, part, near: the spellings of each profile and more frequent ones an edit away; near where only forenames may decide; lone if no full forename goes with the profile's spelling and it is no more frequent than `usual`.
+
+    part is the initial; in the rounds for bare surnames blocks are whole."""
+    spelled = p.select("cid", "type", "size", "firsts", "seconds", "initials", F.explode("spellings").alias("s"))
     full = F.exists("firsts", lambda g: F.length(g) > 1)
-    others = spelled.join(pairs, ["type", "s"]).filter(~F.col("near") | full).select("cid", "type", F.col("hub").alias("block"), "near")
-    return own.unionByName(others).groupBy("cid", "type", "block").agg(F.min("near").alias("near"))
+    counts = spelled.groupBy("type", "s").agg(F.sum("size").alias("n"), (F.max(full.cast("int")) == 0).alias("lone")).withColumn("lone", F.col("lone") & (F.col("n") <= usual))
+    heard = F.col("s")
+    for written, as_heard in SOUNDS:
+        heard = F.replace(heard, F.lit(written), F.lit(as_heard))
+    counts = counts.withColumn("heard", heard)
+    keyed = counts.filter("length(s) >= 5").select("type", "s", "n", "lone", "heard", F.explode(F.array_union(_left_out(F.col("s")), _left_out(F.col("heard")))).alias("key"))
+    hub = keyed.select("type", "key", F.col("s").alias("hub"), F.col("heard").alias("hub_heard"), F.col("n").alias("m"))
+    pairs = keyed.join(hub, ["type", "key"]).filter("n < m or n = m and s > hub").select("type", "s", "hub", F.expr(f"m < {CLEAR} * n").alias("near"), "lone", F.least(F.levenshtein("s", "hub"), F.levenshtein("heard", "hub_heard")).alias("edits")).distinct()
+    # the strings share a remainder; that allows one replacement, insertion, omission or swap, and little else
+    pairs = pairs.filter("edits <= 2")
+    own = spelled.select("cid", "type", F.col("s").alias("block"), F.lit(False).alias("near"), F.lit(False).alias("lone"), "initials")
+    telling = full | (F.size("firsts") > 0) & (F.size("seconds") > 0) | F.col("lone")
+    others = spelled.join(pairs, ["type", "s"]).filter(~F.col("near") | telling).select("cid", "type", F.col("hub").alias("block"), "near", "lone", "initials")
+    every = own.unionByName(others)
+    if not bare:
+        every = every.withColumn("part", F.explode("initials"))
+    else:
+        every = every.withColumn("part", F.lit(""))
+    return every.groupBy("cid", "type", "block", "part").agg(F.min("near").alias("near"), F.max("lone").alias("lone"))
 
 
 def _fits(a: dict, b: dict) -> bool:
@@ -256,82 +292,142 @@ def _full(p: dict) -> set[str]:
 
 def _alike(a: dict, b: dict) -> bool:
     """A spelling in common, or two that are one edit apart."""
-    return any(one_edit(x, y) for x in a["spellings"] for y in b["spellings"])
-
-
-def resolve_block(members: list[dict]) -> list[tuple[int, int, bool, int]]:
-    """(profile, profile it joins, whether across spellings about as frequent, size of what it joins) within one block."""
-    groups: list[dict] = []
-    links: list[tuple[int, int, bool, int]] = []
-
-    def join(g: dict, p: dict) -> None:
-        links.append((p["cid"], g["cid"], p["near"] or g["near"], g["size"]))
+    return any(one_edit(x, y) or one_edit(sound(x), sound(y)) for x in a["spellings"] for y in b["spellings"])
+
+
+class _Persons:
+    """Persons of one block, found by forename, initial, year or calling without going through all of them."""
+
+    def __init__(self):
+        self.links: list[tuple[int, int, bool, int]] = []
+        self.every: list[dict] = []
+        self.by: dict[tuple[str, str], list[dict]] = defaultdict(list)
+
+    def add(self, p: dict) -> None:
+        g = dict(p)
+        g["at"] = len(self.every)
+        self.every.append(g)
+        self._file(g, p)
+
+    def _file(self, g: dict, p: dict) -> None:
+        """Put a person under what `p` says; a person may stand in a list twice."""
+        for f in ("firsts", "births", "deaths", "callings"):
+            for x in p[f]:
+                self.by[f, x].append(g)
+        for x in p["firsts"]:
+            self.by["initial", plain(x)[0]].append(g)
+
+    def join(self, g: dict, p: dict) -> None:
+        self.links.append((p["cid"], g["cid"], p["near"] or g["near"], g["size"]))
+        self._file(g, {f: p[f] - g[f] for f in _SETS})
         for f in _SETS:
             g[f] = g[f] | p[f]
         g["size"] += p["size"]
         g["near"] = g["near"] and p["near"]
 
+    def under(self, field: str, values) -> list[dict]:
+        return list({g["at"]: g for v in sorted(values) for g in self.by.get((field, v), ())}.values())
+
+
+def resolve_names(members: list[dict]) -> list[tuple[int, int, bool, int]]:
+    """(profile, profile it joins, whether across spellings about as frequent, size of what it joins) of profiles with one initial within one block."""
+    persons = _Persons()
     members = sorted(members, key=lambda p: (-bool(_full(p)), -len(p["seconds"]), -len(p["firsts"]), -p["size"], p["cid"]))
-    by_first: dict[str, list[dict]] = defaultdict(list)
-    late = []
+    known = any(not p["near"] and _full(p) for p in members)
     for p in members:
         full = _full(p)
-        if not full:
-            late.append(p)
+        if full:
+            near = [g for g in persons.under("firsts", full) if _fits(g, p) and (not (g["near"] or p["near"]) or _alike(g, p))]
+            strong = [g for g in near if g["seconds"] & p["seconds"] or g["births"] & p["births"] or g["deaths"] & p["deaths"]]
+            near = strong or near
+            # without a second forename to tell, namesakes stay apart
+            if len(near) == 1 or near and not p["seconds"] and near[0]["size"] >= 3 * max(g["size"] for g in near[1:]):
+                persons.join(near[0], p)
+            elif not near:
+                persons.add(p)
             continue
-        near = [g for g in {id(g): g for f in sorted(full) for g in by_first[f]}.values() if _fits(g, p) and (not (g["near"] or p["near"]) or _alike(g, p))]
-        strong = [g for g in near if g["seconds"] & p["seconds"] or g["births"] & p["births"] or g["deaths"] & p["deaths"]]
-        near = strong or near
-        # without a second forename to tell, namesakes stay apart
-        if len(near) == 1 or near and not p["seconds"] and near[0]["size"] >= 3 * max(g["size"] for g in near[1:]):
-            join(near[0], p)
-        elif not near:
-            g = dict(p)
-            groups.append(g)
-            for f in full:
-                by_first[f].append(g)
-    for weak in (True, False):  # initials, then bare surnames
-        rest = []
-        for p in late:
-            if bool(p["firsts"]) != weak:
-                rest.append(p)
+        near = [g for g in persons.under("initial", {plain(f)[0] for f in p["firsts"]}) if _fits(g, p)]
+        sure = [g for g in near if not (g["near"] or p["near"])]
+        if not sure and near:
+            alone = p["lone"] if p["near"] else not known
+            sure = [g for g in near if (alone or g["seconds"] and p["seconds"]) and _alike(g, p)]
+            if len(sure) > 1:  # across spellings only where one person fits
                 continue
-            near = [g for g in groups if not g["near"] and _fits(g, p)]
-            if len(near) > 1:
-                dated = [g for g in near if g["births"] & p["births"] or g["deaths"] & p["deaths"]]
-                near = dated or near
-            if len(near) > 1 and p["seconds"]:
-                near = [g for g in near if g["seconds"]] or near
-            if len(near) > 1 and p["callings"]:
-                near = [g for g in near if g["callings"] & p["callings"]] or near
-            near.sort(key=lambda g: (-g["size"], g["cid"]))
-            if len(near) == 1 or near and near[0]["size"] >= 3 * near[1]["size"]:
-                join(near[0], p)
-            elif not near:
-                groups.append(dict(p))
-        late = rest
-    return links
-
-
-def _round(p: DataFrame) -> DataFrame:
+        _settle(persons, p, sure)
+    return persons.links
+
+
+def _settle(persons: _Persons, p: dict, near: list[dict]) -> None:
+    """Join a profile without a full forename to the one person it can mean, if there is one."""
+    if len(near) > 1:
+        near = [g for g in near if g["births"] & p["births"] or g["deaths"] & p["deaths"]] or near
+    if len(near) > 1 and p["seconds"]:
+        near = [g for g in near if g["seconds"]] or near
+    if len(near) > 1 and p["callings"]:
+        near = [g for g in near if g["callings"] & p["callings"]] or near
+    near.sort(key=lambda g: (-g["size"], g["cid"]))
+    if len(near) == 1 or near and near[0]["size"] >= 3 * near[1]["size"]:
+        persons.join(near[0], p)
+    elif not near:
+        persons.add(p)
+
+
+def resolve_bare(members: list[dict]) -> list[tuple[int, int, bool, int]]:
+    """The same for the profiles of a whole block that have no forename, against the persons that have one.
+
+    Persons that share a year, then those that share the calling, are looked up; for the rest, those that fit are
+    taken by size until a second one is found."""
+    bare = sorted((p for p in members if not p["firsts"]), key=lambda p: (-len(p["births"]) - len(p["deaths"]), -p["size"], p["cid"]))
+    if not bare:
+        return []
+    persons, across = _Persons(), _Persons()
+    for p in sorted((p for p in members if p["firsts"]), key=lambda p: (-p["size"], p["cid"])):
+        (across if p["near"] else persons).add(p)
+    own = bool(persons.every)
+    for p in bare:
+        if p["near"] or not own and across.every:  # another spelling, about as frequent: only where one person fits
+            one = list(islice((g for g in (persons if p["near"] else across).every if g["firsts"] and _fits(g, p)), 2))
+            if len(one) == 1 and _alike(one[0], p):
+                persons.links.append((p["cid"], one[0]["cid"], True, one[0]["size"]))
+                continue
+            if p["near"]:
+                continue
+        dated = [g for g in {g["at"]: g for f in ("births", "deaths") for g in persons.under(f, p[f])}.values() if _fits(g, p)]
+        if dated:
+            _settle(persons, p, dated)
+            continue
+        near, called = [], [g for g in persons.under("callings", p["callings"]) if _fits(g, p)]
+        for g in persons.every:  # by size, apart from what grew here
+            if _fits(g, p):
+                near.append(g)
+                if len(near) > 1 and (called or g["size"] * 3 <= near[0]["size"]):
+                    break
+                if len(near) > 2 and near[0]["size"] < 3 * near[1]["size"]:
+                    break
+        _settle(persons, p, called if len(near) > 1 and called else near)
+    return persons.links
+
+
+def _round(p: DataFrame, bare: bool, usual: float) -> DataFrame:
     """cid, into: the merges of one round."""
-    b = cut(_blocks(p))
-    several = b.groupBy("type", "block").agg(F.count("*").alias("n")).filter("n > 1").select("type", "block")
-    rows = b.join(several, ["type", "block"], "left_semi").join(p.drop("type"), "cid").repartition("type", "block").sortWithinPartitions("type", "block", "cid")
-    shape = ["cid", "into", "near", "size"]
+    rows = _blocks(p, bare, usual).join(p.drop("type"), "cid").repartition("type", "block", "part").sortWithinPartitions("type", "block", "part", "cid")
+    shape, decide = ["cid", "into", "near", "size"], resolve_bare if bare else resolve_names
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, members = None, []
         for b in batches:
             out = []
-            for r in b.to_dict("records"):
-                key = (r["type"], r["block"])
+            sets = [b[f].to_list() for f in _SETS]
+            for i, (kind, block, part, cid, size, near, lone) in enumerate(zip(b["type"], b["block"], b["part"], b["cid"], b["size"], b["near"], b["lone"], strict=True)):
+                key = (kind, block, part)
                 if key != at:
-                    out += resolve_block(members)
+                    if len(members) > 1:
+                        out += decide(members)
                     at, members = key, []
-                members.append({"cid": r["cid"], "type": r["type"], "size": r["size"], "near": r["near"], **{f: set(r[f]) for f in _SETS}})
+                members.append({"cid": cid, "type": kind, "size": size, "near": near, "lone": lone, **{f: set(x[i]) for f, x in zip(_SETS, sets, strict=True)}})
             yield pd.DataFrame(out, columns=shape)
-        yield pd.DataFrame(resolve_block(members), columns=shape)
+        if len(members) > 1:
+            yield pd.DataFrame(decide(members), columns=shape)
 
     links = cut(rows.mapInPandas(run, "cid long, into long, near boolean, size long").filter("cid <> into"))
     sure = links.filter("not near").select("cid", "into")
@@ -345,19 +441,28 @@ def _round(p: DataFrame) -> DataFrame:
 def resolve(rows: DataFrame) -> DataFrame:
     """name_id, cid: rows of one person or institution share a cid.
 
-    Each round with a merge leaves fewer profiles, so the rounds end."""
-    own = cut(profiles(rows))
-    same = own.groupBy("type", *_SETS).agg(F.min("name_id").alias("cid"), F.count("*").alias("size"))
-    members = cut(own.join(same.withColumnRenamed("type", "t").select("t", *(F.col(f).alias("_" + f) for f in _SETS), "cid"), [F.col("type") == F.col("t"), *(F.col(f) == F.col("_" + f) for f in _SETS)]).filter("size(spellings) > 0").select("name_id", "cid"))
-    p = cut(same.filter("size(spellings) > 0").select("cid", "type", "size", *_SETS))
-    while not (moves := cut(_round(p))).isEmpty():
+    Rounds for names with a forename and for bare surnames take turns until neither merges anything; each round
+    with a merge leaves fewer profiles, so they end."""
+    own = cut(profiles(rows).withColumn("print", F.md5(F.to_json(F.struct("type", *_SETS)))))
+    p = cut(own.filter("size(spellings) > 0").groupBy("print").agg(F.min("name_id").alias("cid"), F.count("*").alias("size"), F.first("type").alias("type"), *(F.first(f).alias(f) for f in _SETS)))
+    members = p.select("print", "cid")
+    p = p.drop("print")
+    counts = p.select("type", "size", F.explode("spellings").alias("s")).groupBy("type", "s").agg(F.sum("size").alias("n"))
+    usual = counts.agg(F.avg("n")).first()[0] or 0.0
+    quiet, bare = 0, False
+    while quiet < 2:
+        moves = cut(_round(p, bare, usual))
+        bare = not bare
+        if moves.isEmpty():
+            quiet += 1
+            continue
+        quiet = 0
         # chains within a round are followed once more, so long ones need few rounds
         step = moves.alias("a").join(moves.alias("b"), F.col("a.into") == F.col("b.cid"), "left").select("a.cid", F.coalesce("b.into", "a.into").alias("into"))
-        step = cut(step)
-        members = cut(members.join(step, "cid", "left").select("name_id", F.coalesce("into", "cid").alias("cid")))
+        members = members.join(step, "cid", "left").select("print", F.coalesce("into", "cid").alias("cid"))
         union = [F.array_sort(F.array_distinct(F.flatten(F.collect_list(f)))).alias(f) for f in _SETS]
         p = cut(p.join(step, "cid", "left").withColumn("cid", F.coalesce("into", "cid")).groupBy("cid", "type").agg(F.sum("size").alias("size"), *union))
-    return own.select("name_id").join(members, "name_id", "left").select("name_id", F.coalesce("cid", "name_id").alias("cid"))
+    return own.select("name_id", "print").join(members, "print", "left").select("name_id", F.coalesce("cid", "name_id").alias("cid"))
 
 
 def pairs(rows: DataFrame) -> DataFrame:

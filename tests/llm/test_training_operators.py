@@ -282,12 +282,26 @@ def test_spellings_one_edit_apart_meet(spark):
     apart = lambda a, b: not any((x, y) in found for x in a for y in b)
     assert (1, 2) in found and all((a, b) in found for a in range(11, 17) for b in range(21, 26))
     assert apart(range(31, 35), range(41, 45)) and apart(range(51, 55), range(61, 66))
+    # the same rows sent eight times under new ids: the same links among the first ones
+    again = frame(spark, [(x[0] + 1000 * k, *x[1:]) for k in range(8) for x in data], NAMES)
+    assert {x for x in rows(resolve.pairs(again)) if max(x) < 1000} == found
+
+
+def test_a_hot_surname_is_not_scanned():
+    """Thousands of persons under one spelling: work grows with the profiles, not with their pairs."""
+    sets = lambda **x: {f: set(x.get(f, ())) for f in resolve._SETS}
+    persons = [{"cid": i, "type": "Person", "size": 1 + i % 5, "near": False, "lone": False, **sets(spellings=["huber"], firsts=[f"vorname{i}"], initials=["v"], births=[str(1500 + i % 400)])} for i in range(20_000)]
+    assert resolve.resolve_names(persons) == []
+    bare = [{"cid": 20_000 + i, "type": "Person", "size": 1, "near": False, "lone": False, **sets(spellings=["huber"], callings=[f"c{i}"])} for i in range(20_000)]
+    assert resolve.resolve_bare(persons + bare) == []
+    dated = {"cid": 50_000, "type": "Person", "size": 1, "near": False, "lone": False, **sets(spellings=["huber"], births=["1500"])}
+    assert resolve.resolve_bare([*persons[:300], dated]) == [(50_000, 0, False, 1)]
 
 
 def test_rounds_go_on_until_none_merges(spark, monkeypatch):
     turns = iter(range(1, 15))
 
-    def one(p):
+    def one(p, *_):
         """The last profile joins the one before, in 14 rounds."""
         k = next(turns, None)
         return spark.createDataFrame([(16 - k, 15 - k)] if k else [], "cid long, into long")
