@@ -2,17 +2,21 @@
 
 1. Anchors: of every ANCHOR-gram of a text those are kept that have the smallest hash in some run of
    least - ANCHOR + 1 grams. Any span of `least` characters holds one, the same one wherever it stands.
-   Texts without an anchor that stands in another text can share nothing and are dropped.
+   Anchors and region ids alone are shuffled; an anchor of one region only (its two fields mostly say the
+   same) leads nowhere, and a region without a shared anchor is not read again.
 2. The surroundings of shared anchors (a span of `least` characters around the anchor lies within) go to
-   shards by anchor. Each shard builds a compressed FM-index (wavelet matrix over the Burrows-Wheeler
-   transform) of its distinct surroundings and runs a backward search of all of them through it at once,
-   step by step, keeping matching statistics; where they reach `least`, the suffix interval at that depth
-   gives the class of surroundings that share the span.
-3. Classes become pairs of regions, and intervals per text become the share that stands elsewhere.
-
-Work is done on distinct texts and distinct surroundings: copies count once until pairs are written. An
-anchor with more than HOT distinct surroundings would make one shard too large; its spans are grouped by
-their own hash instead, which is exact and splits evenly.
+   shards by anchor. A shard runs one pass for each bit of the number a text has under its anchor: the texts
+   with a 0 there make a compressed FM-index (wavelet matrix over the Burrows-Wheeler transform), those with
+   a 1 are streamed through it by backward search, which keeps matching statistics and widens the suffix
+   interval where a character fails. Where they reach `least`, the interval at that depth names the texts that
+   share the span. Any two texts differ in some bit, so each pair meets once in an index it is not part of.
+3. Spans that say the same become classes, and runs of places with one set of texts intervals of a class.
+
+Work is done on distinct surroundings; those of several regions enter their shard twice, so that the search
+itself reports them. An anchor with more than HOT distinct surroundings would make one shard too large: it is
+lengthened to the left and to the right by half of what a span has beyond it (each span holds one of the two),
+until its groups are small or it is as long as a span; such a group is split, and each part is streamed through
+the index of the group's first text.
 
 Defined cases: null, blank and short texts share nothing; a region sent twice counts once; content and
 content_pre_consistency of one region do not count against each other; null ids are left out.
@@ -26,9 +30,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..session import cut
+from ..session import cut, spread
 
+FIELDS = ("content", "content_pre_consistency")
 ANCHOR = 60
+#: Distinct surroundings of an anchor from which on it is lengthened.
 HOT = 5000
 #: Distinct surroundings a shard holds on average.
 PER_SHARD = 3000
@@ -188,128 +194,191 @@ class FMIndex:
             yield order[:live], step, got[:live].copy(), lo[:live].copy()
 
 
-def shared_classes(texts: list[str], weights: list[int], least: int) -> list[tuple[int, int, int, int]]:
-    """(class, text number, first, last place) of spans of `least` characters that several texts, or a text of weight over 1, hold."""
-    index = FMIndex(texts)
-    group = np.cumsum(index.lcp[: index.n] < least)  # suffixes with the same first `least` characters
-    sizes = np.bincount(group)
-    owner = np.searchsorted(index.starts, index.suffixes, "right") - 1
-    first_of = np.searchsorted(group, np.arange(len(sizes)), "left")
-    weight = np.array(weights)
-    spans: dict[int, dict[int, int]] = {}
-    for who, step, got, lo in index.statistics(texts):
+def _hits(index: FMIndex, texts: list[str], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text number, place, suffix interval start) of every span of `least` characters of the streamed texts that the index holds."""
+    who, at, lo = [], [], []
+    lengths = np.array([len(t) for t in texts])
+    for number, step, got, low in index.statistics(texts):
         hit = got >= least
-        for t, g in zip(who[hit].tolist(), group[lo[hit]].tolist(), strict=True):
-            if sizes[g] > 1 or weight[t] > 1:
-                spans.setdefault(t, {})[len(texts[t]) - 1 - step] = g
-    members: dict[int, tuple] = {}
-    numbers: dict[tuple, int] = {}
-    out = []
-    for t, at in spans.items():
-        run = None
-        for place in sorted(at):
-            g = at[place]
-            who = members.get(g)
-            if who is None:
-                who = members[g] = tuple(sorted(set(owner[first_of[g] : first_of[g] + sizes[g]].tolist())))
-            if len(who) == 1 and weight[who[0]] == 1:
-                continue
-            c = numbers.setdefault(who, len(numbers))
-            if run and run[0] == c and run[3] == place - 1:
-                run[3] = place
-            else:
-                run = [c, t, place, place]
-                out.append(run)
-    return [tuple(r) for r in out]
-
-
-def _texts(regions: DataFrame, least: int) -> DataFrame:
-    """region_id, field, tid (md5), t of long enough texts; a region sent twice counts once."""
-    r = regions.select(F.col("region_id").cast("long").alias("region_id"), F.explode(F.array(F.struct(F.lit("content").alias("field"), F.col("content").cast("string").alias("t")), F.struct(F.lit("pre").alias("field"), F.col("content_pre_consistency").cast("string").alias("t")))).alias("x"))
-    r = r.select("region_id", "x.field", "x.t").filter(f"region_id is not null and length(t) >= {least}")
-    return r.withColumn("tid", F.md5(F.col("t").cast("binary")))
-
-
-def _classes(texts: DataFrame, least: int) -> DataFrame:
-    """cls, tid, start, stop: stretches of distinct texts (tid, t) whose spans stand in several of them."""
-    spark = texts.sparkSession
-
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            ids = b["tid"].to_numpy()
-            number, place, h = anchors(b["t"].tolist(), least)
-            yield pd.DataFrame({"tid": ids[number], "anchor": h, "at": place.astype(np.int32)})
+        if hit.any():
+            who.append(number[hit])
+            at.append(lengths[number[hit]] - 1 - step)
+            lo.append(low[hit])
+    none = np.empty(0, np.int64)
+    return tuple(np.concatenate(x) if x else none for x in (who, at, lo))
+
+
+def _number(wid: str) -> int:
+    return int(wid[:16], 16)
+
+
+def shared_spans(anchor: list[int], wids: list[str], texts: list[str], copies: list[int], least: int) -> list[tuple[str, str, int, int]]:
+    """(class, wid, first, last place) of spans of `least` characters that several texts under one anchor, or one held by two regions, contain."""
+    order = sorted(range(len(texts)), key=lambda i: (anchor[i], wids[i]))
+    entry = [i for i in order for _ in range(min(copies[i], 2))]
+    t = [texts[i] for i in entry]
+    key = np.array([anchor[i] for i in entry], np.int64)
+    first = np.concatenate([[True], key[1:] != key[:-1]])
+    begin = np.flatnonzero(first)
+    group = np.cumsum(first) - 1
+    size = np.diff(np.concatenate([begin, [len(key)]]))[group]
+    ordinal = np.arange(len(key)) - begin[group]
+    grams = np.array([len(x) - least + 1 for x in t])
+    offset = np.concatenate([[0], np.cumsum(grams)])
+    label = np.arange(offset[-1])  # of each span: the first one known to say the same
+    for bit in range(int(size.max() - 1).bit_length()):
+        within, streamed = size > 1 << bit, ordinal >> bit & 1 == 1
+        a, b = np.flatnonzero(within & ~streamed), np.flatnonzero(within & streamed)
+        index = FMIndex([t[i] for i in a])
+        who, at, lo = _hits(index, [t[i] for i in b], least)
+        if not len(who):
+            continue
+        same = np.cumsum(index.lcp[: index.n] < least)  # suffixes with the same first `least` characters
+        held = np.searchsorted(index.starts, index.suffixes, "right") - 1
+        place = index.suffixes - index.starts[held]
+        asked = np.zeros(same[-1] + 1, bool)
+        asked[same[lo]] = True
+        held = np.minimum(held, len(a) - 1)
+        ok = asked[same] & (place < grams[a][held])
+        at_index, at_stream = offset[a[held[ok]]] + place[ok], offset[b[who]] + at
+        where, cls = np.concatenate([at_index, at_stream]), np.concatenate([same[ok], same[lo]])
+        least_label = np.full(same[-1] + 1, len(label))
+        np.minimum.at(least_label, cls, label[where])
+        label[where] = least_label[cls]
+    owner = np.repeat(np.arange(len(t)), grams)
+    by = np.lexsort((owner, label))
+    new = np.concatenate([[True], (label[by][1:] != label[by][:-1]) | (owner[by][1:] != owner[by][:-1])])
+    pl, po = label[by][new], owner[by][new]
+    several = np.bincount(pl, minlength=len(label)) > 1
+    # a class is the set of its texts: sums of their numbers name it, and a second copy adds nothing
+    is_copy = np.array([j > 0 and entry[j] == entry[j - 1] for j in range(len(entry))])
+    number = np.array([0 if c else _number(wids[i]) for i, c in zip(entry, is_copy, strict=True)], np.uint64)
+    name = np.zeros(len(label), np.uint64)
+    with np.errstate(over="ignore"):
+        np.add.at(name, pl, number[po])
+    keep = np.flatnonzero(several[label] & ~is_copy[owner])
+    if not len(keep):
+        return []
+    names, who, at = name[label[keep]], owner[keep], keep - offset[owner[keep]]
+    start = np.concatenate([[True], (names[1:] != names[:-1]) | (who[1:] != who[:-1]) | (at[1:] != at[:-1] + 1)])
+    firsts = np.flatnonzero(start)
+    lasts = np.concatenate([firsts[1:] - 1, [len(keep) - 1]])
+    return [(f"{n:016x}", wids[entry[w]], int(x), int(y)) for n, w, x, y in zip(names[firsts].tolist(), who[firsts].tolist(), at[firsts].tolist(), at[lasts].tolist(), strict=True)]
+
+
+def _marks(regions: DataFrame, least: int) -> DataFrame:
+    """anchor, region_id: the anchors of each region's two fields."""
 
-    marks = cut(texts.mapInPandas(find, "tid string, anchor long, at int"))
-    several = marks.select("anchor", "tid").distinct().groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    marks = marks.join(several, "anchor", "left_semi")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            content, before = b["content"].fillna("").tolist(), b["content_pre_consistency"].fillna("").tolist()
+            texts = content + ["" if x == y else x for x, y in zip(before, content, strict=True)]
+            number, _, h = anchors(texts, least)
+            ids = b["region_id"].to_numpy()
+            yield pd.DataFrame({"anchor": h, "region_id": ids[number % max(len(ids), 1)]}).drop_duplicates()
+
+    return regions.mapInPandas(run, "anchor long, region_id long")
+
+
+def _surroundings(regions: DataFrame, least: int) -> DataFrame:
+    """region_id, field, anchor, start, off, w, wid: the surroundings of each anchor that several regions hold."""
+    r = regions.select(F.col("region_id").cast("long").alias("region_id"), F.col("content").cast("string").alias("content"), F.col("content_pre_consistency").cast("string").alias("content_pre_consistency"))
+    r = r.filter(f"region_id is not null and (length(content) >= {least} or length(content_pre_consistency) >= {least})")
+    marks = cut(_marks(spread(r), least))
+    several = marks.groupBy("anchor").agg(F.min("region_id").alias("a"), F.max("region_id").alias("b")).filter("a < b").select("anchor")
+    wanted = marks.join(several, "anchor", "left_semi").groupBy("region_id").agg(F.collect_set("anchor").alias("anchors"))
     pad = least - ANCHOR
-    w = marks.join(texts, "tid").select("anchor", "tid", F.greatest(F.col("at") - pad, F.lit(0)).alias("start"), F.expr(f"substring(t, greatest(at - {pad}, 0) + 1, at + {least} - greatest(at - {pad}, 0))").alias("w"))
-    w = cut(w.filter(f"length(w) >= {least}").withColumn("wid", F.md5(F.col("w").cast("binary"))))
-    distinct = w.groupBy("anchor", "wid").agg(F.first("w").alias("w"), F.count_distinct("tid").cast("int").alias("n"))
-    counts = cut(distinct.groupBy("anchor").agg(F.count("*").alias("kinds")))
-    hot = counts.filter(f"kinds > {HOT}").select("anchor")
-    total = counts.agg(F.sum("kinds")).first()[0] or 0
-    shards = max(spark.sparkContext.defaultParallelism, -(-total // PER_SHARD))
-    cool = distinct.join(hot, "anchor", "left_anti").withColumn("shard", F.pmod(F.col("anchor"), F.lit(shards)))
+    shape = ["region_id", "field", "anchor", "start", "off", "w"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for field in FIELDS:
+                texts = b[field].fillna("").tolist()
+                number, place, h = anchors(texts, least)
+                asked = [set(x) for x in b["anchors"]]
+                for n, at, x in zip(number.tolist(), place.tolist(), h.tolist(), strict=True):
+                    if x in asked[n]:
+                        start = max(at - pad, 0)
+                        out.append((b["region_id"].iat[n], field, x, start, at - start, texts[n][start : at + least]))
+            yield pd.DataFrame(out, columns=shape)
+
+    w = r.join(wanted, "region_id").dropDuplicates(["region_id"]).mapInPandas(run, "region_id long, field string, anchor long, start int, off int, w string")
+    return cut(w.withColumn("wid", F.md5(F.col("w").cast("binary"))))
+
+
+def _grouped(entries: DataFrame, least: int) -> tuple[DataFrame, DataFrame | None]:
+    """key, off, wid, w, copies in groups of at most HOT; and the groups of one whole span that are larger, split by `part`, each part with the group's first text."""
+    keyed, length, done = entries.withColumnRenamed("anchor", "key"), ANCHOR, None
+    while True:
+        counts = keyed.groupBy("key").agg(F.count("*").alias("kinds"), F.sum("copies").alias("n")).filter("n > 1")
+        hot = cut(counts.filter(f"kinds > {HOT}"))
+        if hot.isEmpty():
+            return (keyed if done is None else done.unionByName(keyed)), None
+        cool = keyed.join(hot.select("key"), "key", "left_anti")
+        done = cool if done is None else done.unionByName(cool)
+        keyed = keyed.join(hot, "key")
+        if length == least:
+            home = keyed.groupBy("key").agg(F.min("wid").alias("home"), F.min_by("w", "wid").alias("home_w"), F.min_by("off", "wid").alias("home_off"))
+            return done, keyed.withColumn("part", F.pmod(F.xxhash64("wid"), F.ceil(F.col("kinds") / max(HOT, 1)))).join(home, "key")
+        more = -(-(least - length) // 2)
+        left = F.when(F.col("off") >= more, F.struct(F.xxhash64("key", F.lit("l"), F.expr(f"substring(w, off - {more} + 1, {more})")).alias("key"), (F.col("off") - more).alias("off")))
+        right = F.when(F.col("off") + length + more <= F.length("w"), F.struct(F.xxhash64("key", F.lit("r"), F.expr(f"substring(w, off + {length} + 1, {more})")).alias("key"), F.col("off").alias("off")))
+        keyed = cut(keyed.select(F.explode(F.array_compact(F.array(left, right))).alias("x"), "wid", "w", "copies").select("x.key", "x.off", "wid", "w", "copies"))
+        length += more
+
+
+def find(regions: DataFrame, least: int = 120) -> DataFrame:
+    """cls, region_id, field, start, stop: stretches of both fields whose spans stand in several regions."""
+    w = _surroundings(regions, least)
+    entries = w.groupBy("anchor", "wid").agg(F.first("w").alias("w"), F.first("off").alias("off"), (1 + (F.min("region_id") < F.max("region_id")).cast("int")).alias("copies"))
+    groups, whole = _grouped(entries, least)
+    groups = cut(groups)
+    total = groups.count()
+    shards = max(regions.sparkSession.sparkContext.defaultParallelism, -(-total // PER_SHARD))
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        wids, shard = pdf["wid"].tolist(), int(pdf["shard"].iloc[0])
-        rows = shared_classes(pdf["w"].tolist(), pdf["n"].tolist(), least)
-        return pd.DataFrame([(f"{shard}:{c}", wids[t], first, last) for c, t, first, last in rows], columns=["cls", "wid", "first", "last"])
+        rows = shared_spans(pdf["key"].tolist(), pdf["wid"].tolist(), pdf["w"].tolist(), pdf["copies"].tolist(), least)
+        return pd.DataFrame(rows, columns=["cls", "wid", "first", "last"])
 
-    found = cool.groupBy("shard").applyInPandas(search, "cls string, wid string, first int, last int")
-    grams = distinct.join(hot, "anchor", "left_semi").select("wid", "n", F.expr(f"posexplode(transform(sequence(1, length(w) - {least} + 1), i -> md5(cast(substring(w, i, {least}) as binary))))").alias("first", "cls"))
-    alone = grams.groupBy("cls").agg(F.sum("n").alias("n")).filter("n > 1").select("cls")
-    found = found.unionByName(grams.join(alone, "cls", "left_semi").select("cls", "wid", "first", F.col("first").alias("last")))
-    out = found.join(w.select("wid", "tid", "start").distinct(), "wid")
-    return out.select("cls", "tid", (F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("last") + least).alias("stop"))
+    found = groups.groupBy(F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard")).applyInPandas(search, "cls string, wid string, first int, last int")
+    if whole is not None:
 
+        def confirm(pdf: pd.DataFrame) -> pd.DataFrame:
+            home = pdf.iloc[0]
+            who, at, lo = _hits(index := FMIndex([home["home_w"]]), pdf["w"].tolist(), least)
+            right = (index.suffixes[lo] == home["home_off"]) & (at == pdf["off"].to_numpy()[who])
+            out = pdf.iloc[who[right]]
+            return pd.DataFrame({"cls": "k" + out["key"].astype(str), "wid": out["wid"], "first": out["off"], "last": out["off"]})
 
-def find(regions: DataFrame, least: int = 120) -> tuple[DataFrame, DataFrame]:
-    """(region_id, field, tid, n_chars of long texts; cls, tid, start, stop of shared stretches)."""
-    rows = cut(_texts(regions, least))
-    texts = rows.groupBy("tid").agg(F.first("t").alias("t"))
-    members = cut(rows.select("region_id", "field", "tid", F.length("t").alias("n_chars")).distinct())
-    return members, cut(_classes(texts, least))
+        found = found.unionByName(whole.groupBy("key", "part").applyInPandas(confirm, "cls string, wid string, first int, last int"))
+    out = found.join(w.select("wid", "region_id", "field", "start").distinct(), "wid")
+    out = cut(out.select("cls", "region_id", "field", (F.col("start") + F.col("first")).alias("start"), (F.col("start") + F.col("last") + least).alias("stop")))
+    several = out.groupBy("cls").agg(F.min("region_id").alias("a"), F.max("region_id").alias("b")).filter("a < b").select("cls")
+    return out.join(several, "cls", "left_semi")
 
 
 def pairs(regions: DataFrame, least: int = 120) -> DataFrame:
     """region_id_a < region_id_b of regions that share a span of at least `least` characters."""
-    members, classes = find(regions, least)
-    own = members.select("region_id", "tid").distinct()
-    in_class = classes.select("cls", "tid").distinct().join(own, "tid").select("cls", "region_id")
-    copies = own.groupBy("tid").agg(F.count("*").alias("n")).filter("n > 1").select("tid")
-    in_class = cut(in_class.unionByName(own.join(copies, "tid", "left_semi").select(F.col("tid").alias("cls"), "region_id")).distinct())
-    a, b = in_class.withColumnRenamed("region_id", "region_id_a"), in_class.withColumnRenamed("region_id", "region_id_b")
+    members = cut(find(regions, least).select("cls", "region_id").distinct())
+    a, b = members.withColumnRenamed("region_id", "region_id_a"), members.withColumnRenamed("region_id", "region_id_b")
     return a.join(b, "cls").filter("region_id_a < region_id_b").select("region_id_a", "region_id_b").distinct()
 
 
-def _covered(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """tid, start, stop: where a text's characters lie in spans that stand in another region; overlapping stretches are one."""
-    own = members.select("region_id", "tid").distinct()
-    per_class = classes.select("cls", "tid").distinct().join(own, "tid").groupBy("cls").agg(F.count_distinct("region_id").alias("regions")).filter("regions > 1").select("cls")
-    stretches = classes.join(per_class, "cls", "left_semi").select("tid", "start", "stop").distinct()
-    copies = own.groupBy("tid").agg(F.count("*").alias("n")).filter("n > 1").select("tid")
-    whole = members.join(copies, "tid", "left_semi").select("tid", F.lit(0).alias("start"), F.col("n_chars").alias("stop")).distinct()
-    order = W.partitionBy("tid").orderBy("start", "stop")
-    s = stretches.unionByName(whole).withColumn("upto", F.coalesce(F.max("stop").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    s = s.withColumn("part", F.sum((F.col("start") > F.col("upto")).cast("int")).over(order.rowsBetween(W.unboundedPreceding, 0)))
-    return s.groupBy("tid", "part").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("part")
-
-
 def intervals(regions: DataFrame, least: int = 120) -> DataFrame:
-    """region_id, field, start, stop (from 0, stop excluded) of the stretches of both fields that stand in another region."""
-    members, classes = find(regions, least)
-    return members.join(_covered(members, classes), "tid").select("region_id", F.when(F.col("field") == "pre", "content_pre_consistency").otherwise(F.col("field")).alias("field"), "start", "stop").distinct()
+    """region_id, field, start, stop (from 0, stop excluded) of the stretches of both fields that stand in another region; overlapping stretches are one."""
+    order = W.partitionBy("region_id", "field").orderBy("start", "stop")
+    s = find(regions, least).select("region_id", "field", "start", "stop").distinct()
+    s = s.withColumn("upto", F.coalesce(F.max("stop").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    s = s.withColumn("run", F.sum((F.col("start") > F.col("upto")).cast("int")).over(order.rowsBetween(W.unboundedPreceding, 0)))
+    return s.groupBy("region_id", "field", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop")).drop("run")
 
 
 def shares(regions: DataFrame, least: int = 120, fields: tuple[str, ...] = ("content",)) -> DataFrame:
     """region_id, field, n_chars, shared_chars, share of each region's `fields` that stands in another region."""
-    members, classes = find(regions, least)
-    covered = _covered(members, classes).groupBy("tid").agg(F.sum(F.col("stop") - F.col("start")).alias("shared_chars"))
-    texts = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("t")) for f in fields))).alias("x")
+    covered = intervals(regions, least).groupBy("region_id", "field").agg(F.sum(F.col("stop") - F.col("start")).alias("shared_chars"))
+    texts = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.length(F.col(f).cast("string")).alias("n")) for f in fields))).alias("x")
     every = regions.select(F.col("region_id").cast("long").alias("region_id"), texts).filter("region_id is not null")
-    every = every.select("region_id", "x.field", F.md5(F.col("x.t").cast("binary")).alias("tid"), F.coalesce(F.length("x.t"), F.lit(0)).alias("n_chars")).dropDuplicates(["region_id", "field"])
-    out = every.join(covered, "tid", "left").withColumn("shared_chars", F.coalesce("shared_chars", F.lit(0)))
+    every = every.select("region_id", "x.field", F.coalesce("x.n", F.lit(0)).alias("n_chars")).groupBy("region_id", "field").agg(F.max("n_chars").alias("n_chars"))
+    out = every.join(covered, ["region_id", "field"], "left").withColumn("shared_chars", F.coalesce("shared_chars", F.lit(0)))
     return out.select("region_id", "field", "n_chars", "shared_chars", F.when(F.col("n_chars") > 0, F.col("shared_chars") / F.col("n_chars")).otherwise(0.0).alias("share"))

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import pytest
@@ -169,7 +170,7 @@ def brute(data, least):
     return sorted({(a, b) for s in held.values() for a in s for b in s if a < b})
 
 
-@pytest.mark.parametrize("hot", [5000, 0])
+@pytest.mark.parametrize("hot", [5000, 1, 0])
 def test_spans(spark, hot, monkeypatch):
     monkeypatch.setattr(spans, "HOT", hot)
     data = [x for x in shared_texts() if x != (1, None, None)]
@@ -206,6 +207,31 @@ def test_shares_and_intervals_of_both_fields(spark, tmp_path):
     assert found == want
 
 
+def test_streamed_texts_widen_the_interval():
+    """Texts are searched in an index they are not part of: matches break off, are widened, and every shared span is found."""
+    rng = random.Random(17)
+    word = lambda n: "".join(rng.choice("abcd") for _ in range(n))
+    core, widened = word(40), []
+    texts = [word(rng.randint(0, 9)) + core[i % 5 : 40 - i % 7] + word(rng.randint(0, 9)) for i in range(37)]
+    wids, real = [hashlib.md5(str(i).encode()).hexdigest() for i in range(37)], spans.FMIndex._widen
+    spans.FMIndex._widen = lambda self, lo, hi: widened.append(len(lo)) or real(self, lo, hi)
+    try:
+        got = spans.shared_spans([7] * 37, wids, texts, [1 + (i == 3) for i in range(37)], 24)
+    finally:
+        spans.FMIndex._widen = real
+    assert sum(widened) > 100
+    held = {}
+    for i, t in enumerate(texts):
+        for k in range(len(t) - 23):
+            held.setdefault(t[k : k + 24], set()).add(i)
+    want = {(i, k) for i, t in enumerate(texts) for k in range(len(t) - 23) if len(held[t[k : k + 24]]) > 1 or i == 3}
+    assert {(wids.index(w), k) for _, w, a, b in got for k in range(a, b + 1)} == want
+    by = {}
+    for c, w, *_ in got:
+        by.setdefault(c, set()).add(wids.index(w))
+    assert {frozenset(x) for x in by.values()} == {frozenset(x) for x in held.values() if len(x) > 1 or x == {3}}
+
+
 def test_index_counts_like_a_scan():
     rng = random.Random(7)
     texts = ["".join(rng.choice("abc") for _ in range(60)) for _ in range(8)]
