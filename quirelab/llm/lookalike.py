@@ -1,15 +1,18 @@
 """Visually identical text brought to one form (problem 10).
 
 Tokens that hold a suspect character (full-width form, look-alike letter, ignorable or combining mark,
-special blank) are matched against the vocabulary of plain tokens of all documents: a trie of the
-vocabulary is walked with a weighted edit automaton in which look-alikes, composed accents and ignorables
-cost nothing and every visible edit costs 1 against a budget of 0. The cheapest, then most frequent, then
-smallest spelling is canonical; tokens without a match are normalised by table.
-
-The vocabulary is split by what zero-cost edits cannot change (length and head of the plain ASCII part),
-so a task holds one small trie at a time, and a hot document or token counts once: work is done on
-distinct texts and distinct tokens. Pairs are made between classes of equal texts that share a canonical
-form and only then expanded to documents.
+special blank) are matched against the vocabulary of plain tokens of all documents. A trie of the vocabulary,
+spelled in base letters and marks, is walked by a weighted edit automaton over the characters of the token as
+it stands: ignorables are passed at no cost, a look-alike stands for the letter it is mostly used for at no
+cost and for others it could be (`ӏ` for l, I or 1, `Ο` for O or 0) at DOUBT, and a visible edit costs 1. Within
+BUDGET the cheapest, then most frequent, then smallest spelling is canonical, so the vocabulary decides where a
+character has several readings; tokens it does not hold are normalised by table.
+
+The vocabulary is split by the ends and the length of what all readings have in common (base letters, one
+representative for letters that can stand for each other), so a task holds one small trie at a time. A hot
+document or token counts once: work is done on distinct texts and distinct tokens. Documents are read twice:
+for the classes and the suspect texts, and for the vocabulary. Pairs are made between classes of equal texts
+that share a canonical form and only then expanded to documents.
 
 Defined cases: null, empty and blank texts (also those of ignorables only) are no cases; identical texts
 are no case; repeated rows count once; extra columns are ignored.
@@ -20,6 +23,7 @@ from __future__ import annotations
 import heapq
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -36,6 +40,13 @@ BLANKS = "               　\t"
 IGNORABLE = "­͏؜ᅟᅠ឴឵᠎​‌‍‎‏‪‫‬‭‮⁠⁡⁢⁣⁤⁪⁫⁬⁭⁮⁯﻿" + "".join(map(chr, range(0xFE00, 0xFE10)))
 
 
+# What else a look-alike may stand for; each group holds letters the same character can be read as.
+READINGS = {"ӏ": "I1", "І": "l1", "Ι": "l1", "Ⅰ": "l1", "ⅼ": "I1", "ｌ": "I1", "Ｉ": "l1", "О": "0", "Ο": "0", "Ｏ": "0"}
+GROUPS = ("lI1", "O0")
+#: Cost of a reading that is not the usual one, and what a token may cost at most.
+DOUBT, BUDGET = 0.25, 0.75
+
+
 def _folds() -> dict[str, str]:
     """Look-alike or compatibility form -> plain spelling; the blocks follow from their code points."""
     table = CYRILLIC | GREEK | LIGATURES | OTHER
@@ -69,44 +80,58 @@ _SUSPECT = "[" + _ranges({*FOLD, *DROP, *BLANKS, "\r"}) + r"\p{M}]"
 _SINGLE = {k: v for k, v in FOLD.items() if len(v) == 1 and ord(k) < 0x10000}
 
 
-def clusters(token: str) -> list[tuple[str, ...]]:
-    """Zero-cost spellings of each visible character of a token, ignorables dropped and accents composed."""
-    out: list[tuple[str, ...]] = []
-    chars = [c for c in token if c not in DROP]
-    i = 0
-    while i < len(chars):
-        j = i + 1
-        while j < len(chars) and unicodedata.combining(chars[j]):
-            j += 1
-        marks = "".join(chars[i + 1 : j])
-        spelled = unicodedata.normalize("NFC", FOLD.get(chars[i], chars[i]) + marks)
-        own = unicodedata.normalize("NFC", chars[i] + marks)
-        out.append((spelled,) if own == spelled else (spelled, own))
-        i = j
-    return out
-
-
 def by_table(token: str) -> str:
     """The table's normal form of a token."""
-    return "".join(c[0] for c in clusters(token))
+    return unicodedata.normalize("NFC", "".join(FOLD.get(c, c) for c in token if c not in DROP))
+
+
+def base_letter(c: str) -> str:
+    """The letter under the accents of a composed character."""
+    d = unicodedata.normalize("NFD", c)
+    return d[0] if len(d) > 1 and all(unicodedata.category(x)[0] == "M" for x in d[1:]) else c
+
+
+_SAME = {c: g[0] for g in GROUPS for c in g}
+#: Character of plain text -> its representative: composed letters of the Basic Multilingual Plane and the groups.
+_REPRESENTATIVE = {chr(p): _SAME.get(base_letter(chr(p)), base_letter(chr(p))) for p in range(0x21, 0xD800) if base_letter(chr(p)) != chr(p)} | _SAME
+
+
+def skeleton(token: str) -> str:
+    """What all readings of a token have in common."""
+    letters = (x for c in token if c not in DROP and unicodedata.category(c)[0] != "M" for x in FOLD.get(c, c))
+    return "".join(_REPRESENTATIVE.get(c, c) for c in letters)
+
+
+@lru_cache(1 << 14)
+def steps(c: str) -> tuple[tuple[str, float], ...]:
+    """(what a character spells in base letters and marks, cost) of each of its readings."""
+    if c in DROP:
+        return (("", 0.0),)
+    spell = lambda x: unicodedata.normalize("NFD", x)
+    out = {spell(c): 0.0, spell(FOLD.get(c, c)): 0.0}
+    for other in READINGS.get(c, ""):
+        out.setdefault(spell(other), DOUBT)
+    return tuple(out.items())
 
 
 class Trie:
-    """Vocabulary with the documents each token stands in."""
+    """Vocabulary in base letters and marks, with the documents each token stands in."""
 
     def __init__(self):
         self.root: dict = {}
 
     def add(self, token: str, n: int) -> None:
         node = self.root
-        for c in token:
+        for c in unicodedata.normalize("NFD", token):
             node = node.setdefault(c, {})
-        node[""] = (n, token)
-
-    def nearest(self, token: str, budget: int = 0) -> str | None:
-        """Canonical spelling within `budget` visible edits: cheapest, most frequent, smallest; else None."""
-        cells, best, seen, tick = clusters(token), None, set(), 0
-        queue = [(0, 0, 0, self.root)]
+        if "" not in node or (-n, token) < (-node[""][0], node[""][1]):
+            node[""] = (n, token)
+
+    def nearest(self, token: str, budget: float = BUDGET) -> str | None:
+        """Canonical spelling within `budget`: cheapest, most frequent, smallest; else None."""
+        chars = unicodedata.normalize("NFD", "".join(c for c in token if c not in DROP)) if any(map(unicodedata.combining, token)) else token
+        best, seen, tick = None, set(), 0
+        queue = [(0.0, 0, 0, self.root)]
         while queue:
             cost, _, i, node = heapq.heappop(queue)
             if cost > budget or best and cost > best[0]:
@@ -114,13 +139,13 @@ class Trie:
             if (i, id(node)) in seen:
                 continue
             seen.add((i, id(node)))
-            if i == len(cells):
+            if i == len(chars):
                 if "" in node:
                     n, word = node[""]
                     if best is None or (cost, -n, word) < best:
                         best = (cost, -n, word)
             else:
-                for spelled in cells[i]:
+                for spelled, price in steps(chars[i]):
                     at = node
                     for c in spelled:
                         at = at.get(c)
@@ -128,35 +153,41 @@ class Trie:
                             break
                     else:
                         tick += 1
-                        heapq.heappush(queue, (cost, tick, i + 1, at))
-            if cost < budget:
-                steps = [(i, child) for c, child in node.items() if c]
-                if i < len(cells):
-                    steps += [(i + 1, child) for c, child in node.items() if c] + [(i + 1, node)]
-                for k, child in steps:
+                        heapq.heappush(queue, (cost + price, tick, i + 1, at))
+            if cost + 1 <= budget:
+                moves = [(i, child) for c, child in node.items() if c]
+                if i < len(chars):
+                    moves += [(i + 1, child) for c, child in node.items() if c] + [(i + 1, node)]
+                for k, child in moves:
                     tick += 1
                     heapq.heappush(queue, (cost + 1, tick, k, child))
         return best[2] if best else None
 
 
-def _plain_part(c: Column) -> Column:
-    """What zero-cost edits leave unchanged: the ASCII characters that carry no accent."""
-    for many, spelled in FOLD.items():
-        if len(spelled) > 1 and ord(many) < 0x10000:
-            c = F.replace(c, F.lit(many), F.lit(spelled))
-    c = F.translate(c, "".join(_SINGLE), "".join(_SINGLE.values()))
-    c = F.regexp_replace(c, _HIDDEN, "")
-    return F.regexp_replace(c, r".\p{M}+|[^!-~]", "")
+#: Characters at each end of a skeleton that its key keeps.
+ENDS = 3
 
 
 def _key(token: Column) -> Column:
-    part = _plain_part(token)
-    return F.concat_ws("|", F.length(part).cast("string"), F.substring(part, 1, 3))
+    """Length and ends of a plain token's skeleton."""
+    part = F.translate(token, "".join(_REPRESENTATIVE), "".join(_REPRESENTATIVE.values()))
+    return F.concat_ws("|", F.length(part).cast("string"), F.substring(part, 1, ENDS), F.substring(part, -ENDS, ENDS))
+
 
+def key_of(token: str) -> str:
+    """The key of a suspect token."""
+    part = skeleton(token)
+    return f"{len(part)}|{part[:ENDS]}|{part[-ENDS:]}"
 
-def canonical_tokens(vocabulary: DataFrame, suspects: DataFrame, budget: int = 0) -> DataFrame:
+
+def canonical_tokens(vocabulary: DataFrame, suspects: DataFrame, budget: float = BUDGET) -> DataFrame:
     """token, canonical of each of `suspects` (token), by tries of `vocabulary` (token, n)."""
-    s = suspects.select("token").distinct().withColumn("key", _key(F.col("token")))
+
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"key": b["token"].map(key_of), "token": b["token"]})
+
+    s = cut(suspects.select("token").distinct().mapInPandas(keys, "key string, token string"))
     v = vocabulary.withColumn("key", _key(F.col("token"))).join(s.select("key").distinct(), "key", "left_semi")
     rows = v.select("key", F.lit(0).alias("kind"), "token", "n").unionByName(s.select("key", F.lit(1).alias("kind"), "token", F.lit(0).cast("long").alias("n")))
     rows = rows.repartition("key").sortWithinPartitions("key", "kind", F.desc("n"), "token")
@@ -189,16 +220,24 @@ def _pieces(text: Column) -> Column:
     return F.translate(text, BLANKS, " " * len(BLANKS))
 
 
-def texts_with_canonical(docs: DataFrame) -> DataFrame:
-    """h (md5 of the text), canonical of each distinct text that has a visible character."""
+def _words(text: Column) -> Column:
+    return F.array_distinct(F.split(text, r"[ \n]+"))
+
+
+def _classes(docs: DataFrame) -> DataFrame:
+    """doc_id, h (md5 of the text), suspect, and the text where it is suspect, of documents with a visible character."""
+    base = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter(F.col("text").isNotNull() & F.col("text").rlike(_VISIBLE))
+    base = base.withColumn("suspect", is_suspect(F.col("text")))
+    return base.select("doc_id", F.md5(F.col("text").cast("binary")).alias("h"), "suspect", F.when(F.col("suspect"), F.col("text")).alias("text"), F.when(~F.col("suspect"), F.md5(F.trim("text").cast("binary"))).alias("form"))
+
+
+def _canonical(docs: DataFrame, dirty: DataFrame) -> DataFrame:
+    """h, canonical of the suspect texts `dirty` (h, text)."""
+    suspects = cut(dirty.select("h", F.explode(F.filter(_words(_pieces(F.col("text"))), is_suspect)).alias("token")))
     text = F.col("text").cast("string")
-    base = docs.select(text.alias("text")).filter("text is not null")
-    base = base.filter(F.col("text").rlike(_VISIBLE))
-    base = base.withColumn("h", F.md5(F.col("text").cast("binary")))
-    words = F.array_distinct(F.split(_pieces(F.col("text")), r"[ \n]+"))
-    dirty = cut(base.filter(is_suspect(F.col("text"))).dropDuplicates(["h"]))
-    suspects = cut(dirty.select("h", F.explode(F.filter(words, is_suspect)).alias("token")))
-    vocabulary = base.select(F.explode(F.filter(words, lambda t: ~is_suspect(t) & (t != ""))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    # a text that is not suspect has plain tokens only, split at blanks and line breaks
+    words = F.when(is_suspect(text), F.filter(_words(_pieces(text)), lambda t: ~is_suspect(t))).otherwise(_words(text))
+    vocabulary = docs.filter(text.isNotNull()).select(F.explode(words).alias("token")).filter("token <> ''").groupBy("token").agg(F.count("*").alias("n"))
     spelled = canonical_tokens(vocabulary, suspects)
     maps = suspects.join(spelled, "token").groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("token", "canonical"))).alias("m"))
     joined = dirty.join(maps, "h", "left")
@@ -209,25 +248,23 @@ def texts_with_canonical(docs: DataFrame) -> DataFrame:
 
 def normalize(docs: DataFrame) -> DataFrame:
     """doc_id, text in canonical form of every document; null stays null, blank texts are unchanged."""
-    forms = texts_with_canonical(docs)
-    base = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("h", F.md5(F.col("text").cast("binary")))
-    return base.join(forms, "h", "left").select("doc_id", F.coalesce("canonical", "text").alias("text"))
+    base = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    dirty = cut(base.filter(F.col("text").rlike(_VISIBLE) & is_suspect(F.col("text"))).select(F.md5(F.col("text").cast("binary")).alias("h"), "text").dropDuplicates(["h"]))
+    base = base.withColumn("h", F.when(is_suspect(F.col("text")), F.md5(F.col("text").cast("binary"))))
+    return base.join(_canonical(docs, dirty), "h", "left").select("doc_id", F.coalesce("canonical", "text").alias("text"))
 
 
 def pairs(docs: DataFrame) -> DataFrame:
     """doc_id_a < doc_id_b of documents that look the same but differ as character sequences."""
-    forms = texts_with_canonical(docs)
-    base = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("doc_id is not null and text is not null")
-    base = base.filter(F.col("text").rlike(_VISIBLE))
-    ids = base.select("doc_id", F.md5(F.col("text").cast("binary")).alias("h"))
-    # The form of a plain text is the text: its md5 is its class already.
-    forms = forms.select("h", F.md5(F.trim("canonical").cast("binary")).alias("form"))
-    plain = base.filter(~is_suspect(F.col("text"))).select(F.md5(F.col("text").cast("binary")).alias("h"), F.md5(F.trim("text").cast("binary")).alias("form")).distinct()
-    classes = cut(plain.unionByName(forms))
+    rows = cut(_classes(docs).filter("doc_id is not null"))
+    dirty = rows.filter("suspect").select("h", "text").dropDuplicates(["h"])
+    forms = _canonical(docs, dirty).select("h", F.md5(F.trim("canonical").cast("binary")).alias("form"))
+    classes = cut(rows.filter("not suspect").select("h", "form").distinct().unionByName(forms))
+    # more than one text of one form
     several = classes.groupBy("form").agg(F.count("*").alias("c")).filter("c > 1")
     classes = cut(classes.join(several, "form", "left_semi"))
     a, b = classes.select("form", F.col("h").alias("ha")), classes.select("form", F.col("h").alias("hb"))
     links = a.join(b, "form").filter("ha < hb").select("ha", "hb")
-    members = cut(ids.join(classes, "h", "left_semi").distinct())
+    members = cut(rows.select("doc_id", "h").join(classes, "h", "left_semi").distinct())
     out = links.join(members.select(F.col("h").alias("ha"), F.col("doc_id").alias("x")), "ha").join(members.select(F.col("h").alias("hb"), F.col("doc_id").alias("y")), "hb")
     return out.select(F.least("x", "y").alias("doc_id_a"), F.greatest("x", "y").alias("doc_id_b")).filter("doc_id_a < doc_id_b").distinct()

@@ -391,6 +391,23 @@ def test_lookalikes(spark):
     assert lookalike.pairs(d.limit(0)).count() == 0
 
 
+def test_the_vocabulary_decides_between_readings(spark):
+    """`\u04cf` looks like l and like I, `\u041e` like O and like 0: the table alone would spell these wrongly."""
+    data = [(1, "Ilm und Saale"), (2, "\u04cflm und Saale"), (3, "1805 gemessen"), (4, "18\u041e5 gemessen"), (5, "la mano"), (6, "\u04cfa mano"), (7, "\u0391\u03c9 \u041e")]
+    d = frame(spark, data, "doc_id long, text string")
+    assert lookalike.by_table(data[1][1]) == "llm und Saale" and lookalike.by_table(data[3][1]) == "18O5 gemessen"
+    assert rows(lookalike.pairs(d)) == [(1, 2), (3, 4), (5, 6)]
+    text = {r["doc_id"]: r["text"] for r in lookalike.normalize(d).collect()}
+    assert text[2] == "Ilm und Saale" and text[4] == "1805 gemessen" and text[6] == "la mano"
+
+
+def test_keys_agree_between_plain_and_suspect_tokens(spark):
+    plain = ["Élan", "Ilm", "Öl1805", "αβγ", "\u1ebf\u1e69", "a", "ñandú", "ﬁn".replace("ﬁ", "fi")]
+    for want, seen in zip(plain, ["E\u0301lan", "\u04cflm", "O\u03088\u200b".replace("8", "l18\u041e5"), "αβγ\u200b", "e\u0302\u0301s\u0323\u0307", "а", "n\u0303andu\u0301", "ﬁn"], strict=True):
+        d = spark.createDataFrame([(want,)], "token string")
+        assert d.select(lookalike._key(lookalike.F.col("token"))).first()[0] == lookalike.key_of(seen), want
+
+
 def test_automaton_costs():
     t = lookalike.Trie()
     for w, n in (("baum", 3), ("raum", 9)):
