@@ -30,6 +30,7 @@ import re
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 from itertools import islice
 
 import pandas as pd
@@ -242,30 +243,37 @@ def _left_out(s: Column) -> Column:
     return F.concat(F.array(s), F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.concat(F.substring(s, F.lit(1), i - 1), F.substring(s, i + 1, F.length(s)))))
 
 
-def _blocks(p: DataFrame, bare: bool, usual: float) -> DataFrame:
-    """cid, type, block, part, near: the spellings of each profile and more frequent ones an edit away; near where only forenames may decide; lone if no full forename goes with the profile's spelling and it is no more frequent than `usual`.
+def _neighbours(p: DataFrame) -> DataFrame:
+    """type, s, hub, near, lone: spellings and the more frequent ones an edit away.
 
-    part is the initial; in the rounds for bare surnames blocks are whole."""
-    spelled = p.select("cid", "type", "size", "firsts", "seconds", "initials", F.explode("spellings").alias("s"))
+    near: only forenames may decide; lone: no full forename goes with `s`, which is no more frequent than the average.
+    Merging makes no new spellings, so this is worked out once."""
     full = F.exists("firsts", lambda g: F.length(g) > 1)
-    counts = spelled.groupBy("type", "s").agg(F.sum("size").alias("n"), (F.max(full.cast("int")) == 0).alias("lone")).withColumn("lone", F.col("lone") & (F.col("n") <= usual))
+    spelled = p.select("type", "size", full.cast("int").alias("full"), F.explode("spellings").alias("s"))
+    counts = cut(spelled.groupBy("type", "s").agg(F.sum("size").alias("n"), (F.max("full") == 0).alias("lone")))
+    usual = counts.agg(F.avg("n")).first()[0] or 0.0
     heard = F.col("s")
     for written, as_heard in SOUNDS:
         heard = F.replace(heard, F.lit(written), F.lit(as_heard))
-    counts = counts.withColumn("heard", heard)
-    keyed = counts.filter("length(s) >= 5").select("type", "s", "n", "lone", "heard", F.explode(F.array_union(_left_out(F.col("s")), _left_out(F.col("heard")))).alias("key"))
+    keyed = counts.filter("length(s) >= 5").withColumn("heard", heard).withColumn("lone", F.col("lone") & (F.col("n") <= usual))
+    keyed = keyed.select("*", F.explode(F.array_union(_left_out(F.col("s")), _left_out(F.col("heard")))).alias("key"))
     hub = keyed.select("type", "key", F.col("s").alias("hub"), F.col("heard").alias("hub_heard"), F.col("n").alias("m"))
-    pairs = keyed.join(hub, ["type", "key"]).filter("n < m or n = m and s > hub").select("type", "s", "hub", F.expr(f"m < {CLEAR} * n").alias("near"), "lone", F.least(F.levenshtein("s", "hub"), F.levenshtein("heard", "hub_heard")).alias("edits")).distinct()
+    pairs = keyed.join(hub, ["type", "key"]).filter("n < m or n = m and s > hub")
     # the strings share a remainder; that allows one replacement, insertion, omission or swap, and little else
-    pairs = pairs.filter("edits <= 2")
+    edits = F.least(F.levenshtein("s", "hub"), F.levenshtein("heard", "hub_heard"))
+    return pairs.filter(edits <= 2).select("type", "s", "hub", F.expr(f"m < {CLEAR} * n").alias("near"), "lone").distinct()
+
+
+def _blocks(p: DataFrame, neighbours: DataFrame, bare: bool) -> DataFrame:
+    """cid, type, block, part, near, lone: each profile under its spellings and their neighbours.
+
+    part is the initial; in the rounds for bare surnames blocks are whole."""
+    full = F.exists("firsts", lambda g: F.length(g) > 1)
+    spelled = p.select("cid", "type", "firsts", "seconds", "initials", F.explode("spellings").alias("s"))
     own = spelled.select("cid", "type", F.col("s").alias("block"), F.lit(False).alias("near"), F.lit(False).alias("lone"), "initials")
     telling = full | (F.size("firsts") > 0) & (F.size("seconds") > 0) | F.col("lone")
-    others = spelled.join(pairs, ["type", "s"]).filter(~F.col("near") | telling).select("cid", "type", F.col("hub").alias("block"), "near", "lone", "initials")
-    every = own.unionByName(others)
-    if not bare:
-        every = every.withColumn("part", F.explode("initials"))
-    else:
-        every = every.withColumn("part", F.lit(""))
+    others = spelled.join(neighbours, ["type", "s"]).filter(~F.col("near") | telling).select("cid", "type", F.col("hub").alias("block"), "near", "lone", "initials")
+    every = own.unionByName(others).withColumn("part", F.lit("") if bare else F.explode("initials"))
     return every.groupBy("cid", "type", "block", "part").agg(F.min("near").alias("near"), F.max("lone").alias("lone"))
 
 
@@ -408,9 +416,14 @@ def resolve_bare(members: list[dict]) -> list[tuple[int, int, bool, int]]:
     return persons.links
 
 
-def _round(p: DataFrame, bare: bool, usual: float) -> DataFrame:
-    """cid, into: the merges of one round."""
-    rows = _blocks(p, bare, usual).join(p.drop("type"), "cid").repartition("type", "block", "part").sortWithinPartitions("type", "block", "part", "cid")
+def _round(p: DataFrame, neighbours: DataFrame, bare: bool, fresh: list[DataFrame] | None) -> DataFrame:
+    """cid, into: the merges of one round, in the blocks of the profiles in `fresh` (cid), or in all."""
+    blocks = _blocks(p, neighbours, bare)
+    if fresh is not None:
+        blocks = cut(blocks)
+        touched = blocks.join(reduce(DataFrame.unionByName, fresh).distinct(), "cid").select("type", "block", "part").distinct()
+        blocks = blocks.join(touched, ["type", "block", "part"], "left_semi")
+    rows = blocks.join(p.drop("type"), "cid").repartition("type", "block", "part").sortWithinPartitions("type", "block", "part", "cid")
     shape, decide = ["cid", "into", "near", "size"], resolve_bare if bare else resolve_names
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -447,21 +460,23 @@ def resolve(rows: DataFrame) -> DataFrame:
     p = cut(own.filter("size(spellings) > 0").groupBy("print").agg(F.min("name_id").alias("cid"), F.count("*").alias("size"), F.first("type").alias("type"), *(F.first(f).alias(f) for f in _SETS)))
     members = p.select("print", "cid")
     p = p.drop("print")
-    counts = p.select("type", "size", F.explode("spellings").alias("s")).groupBy("type", "s").agg(F.sum("size").alias("n"))
-    usual = counts.agg(F.avg("n")).first()[0] or 0.0
-    quiet, bare = 0, False
-    while quiet < 2:
-        moves = cut(_round(p, bare, usual))
+    neighbours = cut(_neighbours(p))
+    fresh: dict[bool, list[DataFrame] | None] = {False: None, True: None}  # profiles changed since the last round of a kind
+    bare = False
+    while fresh[False] != [] or fresh[True] != []:
+        if fresh[bare] == []:
+            bare = not bare
+        moves = cut(_round(p, neighbours, bare, fresh[bare]))
+        fresh[bare] = []
+        if not moves.isEmpty():
+            # chains within a round are followed once more, so long ones need few rounds
+            step = moves.alias("a").join(moves.alias("b"), F.col("a.into") == F.col("b.cid"), "left").select("a.cid", F.coalesce("b.into", "a.into").alias("into"))
+            step = cut(step)
+            members = cut(members.join(step, "cid", "left").select("print", F.coalesce("into", "cid").alias("cid")))
+            union = [F.array_sort(F.array_distinct(F.flatten(F.collect_list(f)))).alias(f) for f in _SETS]
+            p = cut(p.join(step, "cid", "left").withColumn("cid", F.coalesce("into", "cid")).groupBy("cid", "type").agg(F.sum("size").alias("size"), *union))
+            fresh = {k: None if v is None else [*v, step.select(F.col("into").alias("cid"))] for k, v in fresh.items()}
         bare = not bare
-        if moves.isEmpty():
-            quiet += 1
-            continue
-        quiet = 0
-        # chains within a round are followed once more, so long ones need few rounds
-        step = moves.alias("a").join(moves.alias("b"), F.col("a.into") == F.col("b.cid"), "left").select("a.cid", F.coalesce("b.into", "a.into").alias("into"))
-        members = members.join(step, "cid", "left").select("print", F.coalesce("into", "cid").alias("cid"))
-        union = [F.array_sort(F.array_distinct(F.flatten(F.collect_list(f)))).alias(f) for f in _SETS]
-        p = cut(p.join(step, "cid", "left").withColumn("cid", F.coalesce("into", "cid")).groupBy("cid", "type").agg(F.sum("size").alias("size"), *union))
     return own.select("name_id", "print").join(members, "print", "left").select("name_id", F.coalesce("cid", "name_id").alias("cid"))
 
 
