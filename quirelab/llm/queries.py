@@ -64,8 +64,8 @@ def p5_intervals(spark, d):
 
 
 def _scanned(spark, d):
-    regions = table(spark, d, "regions").select("region_id", "region_type", "journal_id", "content")
-    return regions, table(spark, d, "pages").select("page_id", "journal_id", "full_text"), table(spark, d, "journals")
+    regions = table(spark, d, "regions").select("region_id", "region_type", "journal_id", "content", "region_index", "bbox")
+    return regions, table(spark, d, "pages").select("page_id", "journal_id", "full_text", "page_number", "folio_label"), table(spark, d, "journals")
 
 
 def p6_found(spark, d):

@@ -1,22 +1,27 @@
 """Repair of text from scanned pages (problem 6): averaged-perceptron editing of characters and lines.
 
-Three averaged perceptrons are trained here, on the data itself:
-* the character editor predicts keep, replace or delete for each character of a word outside the lexicon
-  (a replacement may be two characters, which covers insertion). It learns from lexicon words with the
-  confusions that rare words of a bounded sample show against the lexicon;
-* the join classifier decides at a line that ends in a hyphen-like mark whether the word goes on;
-* the furniture classifier tells running headers and page numbers from text by position on the page, shape
-  and likeness to the journal's title. It learns from regions typed as page numbers, headings and
-  calculations, and from lines that hold the title's names.
+Two averaged perceptrons are trained here, on the data itself:
+* the editor tags every character with keep, replace by a character, or delete, every gap after a character with
+  keep or insert, and a hyphen-like mark at a line end with keep or join (the line goes on in the next one). Its
+  features are the characters around, the case of the word, and whether the word, or the word after an operation,
+  is in the lexicon. Operations that belong together (`rn` for m is replace and delete) are rated together; what
+  beats keeping is done, again and again until nothing does. Words of the lexicon and words unknown to it go the
+  same way: the lexicon is a feature among others. It learns from words with the confusions that rare words of a
+  bounded sample show against the lexicon, put into known and unknown words, and from words left as they are;
+* the furniture classifier tells running headers and page numbers from text, for every line that is not blank, by
+  the line's place in the field, the field's place on the page (region_index, height of the box), the folio label
+  and page number, shape, first word, and likeness to the journal's title. It learns from regions typed as page
+  numbers, headings and calculations and from lines that hold the title's names; a part of those is shown without
+  the likeness, so that place and shape must do.
 
 The lexicon of ordinary words comes from word counts over all text: a word must make up LEXICON of all words
 and stand in many journals, which leaves out names, misreadings and halves of broken words but keeps older
 spellings. It and the models are small (words by share, weights by sample size) and are sent to the tasks;
-every text is then edited in one narrow stage. Decisions on words are memoised per worker.
+every text is then edited in one narrow stage. Decisions on words and on shapes of lines are memoised per worker.
 
 Defined cases: null and blank texts have no lines; a mark on the last line of running text is no break; an
 elliptic hyphen (`Nord- und`) is none; header and page-number lines have no other flaw; a record sent twice
-counts once; null ids are left out; unknown journals have an empty title.
+counts once; null ids are left out; unknown journals have an empty title; missing places on the page are unknown.
 """
 
 from __future__ import annotations
@@ -42,6 +47,8 @@ PAIRS = 8000
 SPELLING, SPELLING_COUNT = 0.03, 12
 #: Least share of all words, and least number of (hashed) journals, of a word of the lexicon.
 LEXICON, JOURNALS = 4e-5, 8
+#: Share of the header examples that are shown again without their likeness to the title.
+HIDDEN = 0.3
 MARKS = "-=¬⸗­"
 _WORD = re.compile(r"[^\W_]+")
 _NAME = re.compile(r"[^\W\d_]{4,}")
@@ -49,12 +56,13 @@ _MARKED = re.compile(rf"[^\W\d_]([{MARKS}]) *$")
 
 
 class Perceptron:
-    """Averaged multi-class perceptron over named features."""
+    """Averaged multi-class perceptron over named features; an example may be open to some classes only."""
 
     def __init__(self, classes: list[str]):
         self.classes, self.w = classes, {}
 
-    def fit(self, rows: list[tuple[list[str], str]], epochs: int = 4, seed: int = 3) -> Perceptron:
+    def fit(self, rows: list[tuple], epochs: int = 4, seed: int = 3) -> Perceptron:
+        """Rows are (features, class) or (features, class, open classes)."""
         total, last, w, t = defaultdict(float), defaultdict(int), defaultdict(float), 0
         order = list(range(len(rows)))
         shuffle = random.Random(seed).shuffle
@@ -67,14 +75,16 @@ class Perceptron:
         for _ in range(epochs):
             shuffle(order)
             for i in order:
-                fs, gold = rows[i]
+                fs, gold, *rest = rows[i]
                 t += 1
-                scores = dict.fromkeys(self.classes, 0.0)
-                for f in fs:
-                    for c in self.classes:
+                guess, top = None, None
+                for c in rest[0] if rest else self.classes:
+                    score = 0.0
+                    for f in fs:
                         if (x := w.get((f, c))) is not None:
-                            scores[c] += x
-                guess = max(self.classes, key=lambda c: (scores[c], c))
+                            score += x
+                    if top is None or (score, c) > top:
+                        guess, top = c, (score, c)
                 if guess != gold:
                     for f in fs:
                         move((f, gold), 1.0)
@@ -83,20 +93,16 @@ class Perceptron:
         for (f, c), x in w.items():
             average = (total[f, c] + (t - last[f, c]) * x) / max(t, 1)
             if abs(average) > 1e-3:
-                out.setdefault(f, {})[c] = average
+                out.setdefault(c, {})[f] = average
         self.w = out
         return self
 
-    def scores(self, fs: list[str]) -> dict[str, float]:
-        s = dict.fromkeys(self.classes, 0.0)
-        for f in fs:
-            for c, x in self.w.get(f, {}).items():
-                s[c] += x
-        return s
+    def score(self, fs: list[str], c: str) -> float:
+        w = self.w.get(c)
+        return sum([w.get(f, 0.0) for f in fs]) if w else 0.0
 
     def best(self, fs: list[str]) -> str:
-        s = self.scores(fs)
-        return max(self.classes, key=lambda c: (s[c], c))
+        return max(self.classes, key=lambda c: (self.score(fs, c), c))
 
 
 def difference(clean: str, seen: str) -> tuple[int, str, str]:
@@ -131,64 +137,106 @@ class Neighbours:
         return out
 
 
-def character_features(w: str, i: int) -> list[str]:
+KEEP, DELETE, JOIN = "K", "D", "J"
+
+
+def context(w: str, i: int, gap: bool, known: bool, case: str) -> list[str]:
+    """Features of a character of a word, or of the gap after it."""
     p = f"^^{w}$$"
     j = i + 2
+    if gap:
+        return ["g", "gl" + p[j], "gr" + p[j + 1], "gm" + p[j : j + 2], "gw" + p[j - 1 : j + 3], f"g {known}", "g" + case]
     c = p[j]
-    return ["b", "c" + c, "l" + p[j - 1] + c, "r" + c + p[j + 1], "m" + p[j - 1 : j + 2], "L" + p[j - 2 : j + 1], "R" + p[j : j + 3], "w" + p[j - 2 : j + 3]]
+    return ["b" + c, "l" + p[j - 1] + c, "r" + c + p[j + 1], "m" + p[j - 1 : j + 2], "L" + p[j - 2 : j + 1], "R" + p[j : j + 3], "w" + p[j - 2 : j + 3], f"{c} {known}", c + case, f"{c} digits {min(sum(x.isdigit() for x in w), 3)} of {min(len(w), 5)}"]
+
+
+def operations(good: str, bad: str) -> list[tuple[int, bool, str]]:
+    """(place from the start of `bad`, whether in the gap after it, operation) that together turn `bad` into `good`."""
+    n = min(len(good), len(bad))
+    out = [(k, False, "R" + good[k]) for k in range(n) if good[k] != bad[k]]
+    out += [(k, False, DELETE) for k in range(n, len(bad))]
+    return out + [(len(bad) - 1, True, "I" + c) for c in good[n:]]
 
 
-def older_spelling(clean: str, seen: str) -> bool:
-    """True for French endings in -oi- that were written so in the period (`étoit`)."""
-    return re.sub(r"oi(t|s|ent)$", r"ai\1", seen) == clean
+def case_of(word: str) -> str:
+    return "a" if word[:1].islower() else "A" if word[1:].upper() == word[1:] and len(word) > 1 else "Aa" if word[:1].isupper() else "1"
 
 
-def operations(clean: str, seen: str) -> list[str]:
-    """One operation for each character of `seen` that together give `clean`."""
-    i, good, bad = difference(clean, seen)
-    ops = ["K"] * len(seen)
-    if bad:
-        ops[i] = "R" + good
-        for j in range(i + 1, i + len(bad)):
-            ops[j] = "D"
-    return ops
+class Changes:
+    """The known confusions (what stands on the page, what was read), and where they could apply in a word."""
+
+    def __init__(self, confusions):
+        self.by_first: dict[str, list[tuple[str, str, list]]] = defaultdict(list)
+        for good, bad in sorted(confusions):
+            self.by_first[bad[0]].append((good, bad, operations(good, bad)))
+
+    def of(self, w: str) -> list[tuple[int, str, list]]:
+        """(place, word after the change, operations) of every change that fits."""
+        out = []
+        for i, c in enumerate(w):
+            for good, bad, ops in self.by_first.get(c, ()):
+                if len(bad) == 1 or w.startswith(bad, i):
+                    out.append((i, w[:i] + good + w[i + len(bad) :], ops))
+        return out
+
+    def positions(self, w: str, lexicon, case: str, known: bool | None = None) -> dict[tuple[int, bool], tuple[list[str], list[str]]]:
+        """Features and open operations of every place of a word that a change could touch."""
+        known, out = w in lexicon if known is None else known, {}
+        for i, clean, ops in self.of(w):
+            right = clean in lexicon
+            for k, gap, op in ops:
+                at = (i + k, gap)
+                if at not in out:
+                    out[at] = (context(w, i + k, gap, known, case), [])
+                fs, open_ = out[at]
+                if op not in open_:
+                    open_.append(op)
+                if right:
+                    fs.append("word " + op)
+        return out
 
 
 class Editor:
     """All models, and the lexicon, as the tasks need them."""
 
-    def __init__(self, lexicon: frozenset[str], characters: Perceptron, joins: Perceptron, furniture: Perceptron, titles: dict[str, str], confusions: frozenset[tuple[str, str]] = frozenset(), least: float = 0.0):
-        self.confusions, self.least = confusions, least
-        self.lexicon, self.characters, self.joins, self.furniture = lexicon, characters, joins, furniture
-        self.titles, self.near, self.memo, self.names = titles, Neighbours(lexicon), {}, {}
+    def __init__(self, lexicon: frozenset[str], characters: Perceptron, furniture: Perceptron, titles: dict[str, str], confusions: frozenset[tuple[str, str]] = frozenset()):
+        self.confusions, self.lexicon, self.characters, self.furniture = confusions, lexicon, characters, furniture
+        self.changes, self.titles, self.memo, self.names, self.shapes = Changes(confusions), titles, {}, {}, {}
 
     def edit(self, word: str) -> tuple[int, str] | None:
-        """(place of the change, repaired word in lower case) of a misread ordinary word, else None."""
+        """(place of the first change, repaired word in lower case) of a misread word, else None."""
         if word in self.memo:
             return self.memo[word]
-        w, out = word.lower(), None
-        if w not in self.lexicon and len(w) >= 3 and not w.isdigit():
-            best = self.least
-            for clean in self.near.of(w):
-                i, good, bad = difference(clean, w)
-                if (good, bad) not in self.confusions or older_spelling(clean, w):
-                    continue
-                gain = self.gain(clean, w)
-                if gain > best:
-                    best, out = gain, (i, clean)
+        w, first, case = word.lower(), None, case_of(word)
+        if len(w) >= 3 and not w.isdigit():
+            for _ in range(len(w)):  # a word has at most so many characters to repair
+                places = self.changes.positions(w, self.lexicon, case)
+                margins: dict[tuple, float] = {}
+                best = None
+                for i, clean, ops in self.changes.of(w):
+                    total = 0.0
+                    for k, gap, op in ops:
+                        key = (i + k, gap, op)
+                        if key not in margins:
+                            fs = places[i + k, gap][0]
+                            margins[key] = self.characters.score(fs, op) - self.characters.score(fs, KEEP)
+                        total += margins[key]
+                    if total > 0 and (best is None or (total, clean) > best[:2]):
+                        best = (total, clean, i)
+                if best is None:
+                    break
+                first = best[2] if first is None else min(first, best[2])
+                w = best[1]
         if len(self.memo) > 400_000:
             self.memo.clear()
+        out = None if first is None or w == word.lower() else (first, w)
         self.memo[word] = out
         return out
 
-    def gain(self, clean: str, seen: str) -> float:
-        """How much better the editor likes the operations that give `clean` than keeping `seen`."""
-        total = 0.0
-        for j, op in enumerate(operations(clean, seen)):
-            if op != "K":
-                s = self.characters.scores(character_features(seen, j))
-                total += s.get(op, -1e9) - s["K"]
-        return total
+    def joins(self, part: str, mark: str, following: str) -> bool:
+        """Whether the word before a mark at the line end goes on in the next line."""
+        fs = join_features(self.lexicon, part, mark, following)
+        return self.characters.score(fs, JOIN) > self.characters.score(fs, KEEP)
 
     def title_names(self, journal: str | None) -> list[str]:
         if journal not in self.names:
@@ -214,44 +262,64 @@ def _close(a: str, b: str) -> bool:
     return sum(((x - y) + (y - x)).values()) <= 2 and len({a[i : i + 2] for i in range(len(a) - 1)} & {b[i : b and i + 2] for i in range(len(b) - 1)}) * 2 >= len(b) - 2
 
 
-def line_features(line: str, k: int, n: int, before: str, after: str, names: list[str]) -> list[str]:
-    """Shape of a line, its place on the page and its likeness to the title."""
+def place_features(place: tuple) -> list[str]:
+    """Where a field stands: (holder, index of the region on the page, top of its box in thousandths, page number, folio label)."""
+    holder, index, top, number, folio = place
+    return [holder, "index " + ("?" if index is None else str(min(int(index), 3))), "top " + ("?" if top is None else str(int(top) // 125)), f"numbered {number is not None} {bool(folio)}"]
+
+
+#: A field whose place on the page is unknown.
+NOWHERE = ("region", None, None, None, None)
+
+
+def line_features(e: Editor, line: str, k: int, n: int, before: str, after: str, names: list[str], place: tuple = NOWHERE, hide: bool = False) -> list[str]:
+    """Shape of a line, its place in the field and on the page, and its likeness to the title (unless hidden)."""
     s = line.strip()
-    words = _WORD.findall(s)
-    letters = "".join(c for c in s if c.isalpha())
-    numbers = re.findall(r"\d+", s)
-    signs = "".join(sorted(set(re.sub(r"[\w\s]", "", s))))
-    kind = "none" if not letters else "rv" if letters.lower() in ("r", "v") else "page" if re.fullmatch(r"(?i)(?:fol|f|p|pag|s|bl)[rv]?", letters) else "other"
-    found = likeness(s, names) if names and len(words) <= 10 else 0
+    words = s.replace("–", " ").replace("—", " ").split() or [s]
+    many = len(words)
+    lower = [w.strip(",.;:()[]—–-").lower() for w in words]
+    known = sum(w in e.lexicon for w in lower)
+    named = sum(w[0].isupper() and x not in e.lexicon for w, x in zip(words, lower, strict=True))
+    found = 0 if hide or not names else likeness(s, names) if named and many <= 12 else sum(n in s.lower() for n in names)
+    part = "all" if names and found == len(names) else "some" if found else "none"
+    where = "first" if k == 0 else "last" if k == n - 1 else "inner"
+    size = min(many, 9) if many < 13 else 13
+    caps = len(s) > 6 and s.upper() == s and s.lower() != s
+    short = many <= 4
     out = [
-        "b", f"n{min(len(words), 6)}", f"num{min(len(numbers), 3)}", "letters " + kind, "signs " + signs[:4], f"like{found}",
-        "first" if k == 0 else "last" if k == n - 1 else "inner", "upper" if len(letters) > 6 and s.upper() == s else "mixed",
-        "after " + ("stop" if before.rstrip().endswith((".", "!", "?")) or not before else "open"), "next " + ("low" if after[:1].islower() else "up" if after else "none"),
+        f"n{size}", f"like {part} {size}", f"like {part} {where}", "at " + where, f"known {min(known, 4)} of {size}", f"named {min(named, 3)} {min(known, 4)}", f"caps {caps} {part}",
+        "after " + ("stop" if not before or before.rstrip()[-1:] in ".!?" else "open"), "next " + ("low" if after[:1].islower() else "up" if after else "none"), "end " + (s[-1] if not s[-1].isalnum() else "9" if s[-1].isdigit() else "a"),
+        f"lead {lower[0] if lower[0] in e.lexicon else '-'} {part == 'none'} {min(named, 2)}", f"lead {lower[0] in e.lexicon} {min(known, 4)} of {size} {part}",
     ]
-    if len(s) <= 12:
-        out += ["shape " + re.sub(r"[^\W\d_]+", "a", re.sub(r"\d+", "9", s)), f"kind {kind} {min(len(numbers), 2)} {'plain' if not set(signs) - set('-—–[].') else 'odd'}"]
+    if short:
+        letters = "".join(c for c in s if c.isalpha())
+        numbers = re.findall(r"\d+", s)
+        signs = "".join(sorted(set(re.sub(r"[\w\s]", "", s))))
+        kind = "none" if not letters else "rv" if letters.lower() in ("r", "v") else "page" if re.fullmatch(r"(?i)(?:fol|f|p|pag|s|bl)[rv]?", letters) else "other"
+        shape = re.sub(r"[^\W\d_]+", "a", re.sub(r"\d+", "9", s)) if kind != "other" else kind
+        out += ["letters " + kind, "signs " + signs[:4], f"num{min(len(numbers), 3)} {kind}", "shape " + shape, f"kind {kind} {min(len(numbers), 2)} {'plain' if not set(signs) - set('-—–[].') else 'odd'}", f"kind {kind} {where}"]
+        _, _, _, number, folio = place
+        if len(numbers) == 1 and kind != "other":
+            out.append(f"same {numbers[0] == str(number)} {bool(folio) and folio.strip('[]. ').lower() == s.strip('[]-—–. ').lower()}")
+        out += [f"{x} {kind}" for x in place_features(place)]
+    else:
+        out += [f"{x} {part}" for x in place_features(place)[:3]]
     return out
 
 
-_MAYBE_NUMBER = re.compile(r"^[^\w]{0,3}(?:[a-zA-Z]{1,4}\.? ?)?\d{1,4} ?[rv]?[^\w]{0,3}$")
-
-
-def furniture_lines(e: Editor, lines: list[str], journal: str | None) -> list[str]:
+def furniture_lines(e: Editor, lines: list[str], journal: str | None, place: tuple = NOWHERE) -> list[str]:
     """Class of each line: text, header or page_number."""
     names, out = e.title_names(journal), []
     for k, line in enumerate(lines):
-        s = line.strip()
-        if not s:
-            out.append("text")
-            continue
-        maybe = len(s) <= 14 and _MAYBE_NUMBER.match(s)
-        if not maybe and len(s) < 110 and names:
-            words = s.split()
-            maybe = len(words) <= 10 and sum(w[0].isupper() and w.strip(".,").lower() not in e.lexicon for w in words) >= 2 or any(n in s.lower() for n in names)
-        if not maybe:
+        if not line.strip():
             out.append("text")
             continue
-        out.append(e.furniture.best(line_features(line, k, len(lines), lines[k - 1] if k else "", lines[k + 1] if k + 1 < len(lines) else "", names)))
+        fs = tuple(line_features(e, line, k, len(lines), lines[k - 1] if k else "", lines[k + 1] if k + 1 < len(lines) else "", names, place))
+        if fs not in e.shapes:
+            if len(e.shapes) > 200_000:
+                e.shapes.clear()
+            e.shapes[fs] = e.furniture.best(fs)
+        out.append(e.shapes[fs])
     return out
 
 
@@ -264,18 +332,18 @@ def join_features(lexicon, part: str, mark: str, following: str) -> list[str]:
     nxt = nxt[0] if nxt else ""
     whole = (part + nxt).lower()
     a, b, c = part.lower() in lexicon, nxt.lower() in lexicon, whole in lexicon
-    return ["b", "mark " + mark, f"part {a}", f"next {b}", f"whole {c}", f"{a} {b} {c}", "low" if nxt[:1].islower() else "other", f"short {len(nxt) < 3}", f"conjunction {nxt in CONJUNCTIONS} {c}"]
+    return ["j", "mark " + mark, f"part {a}", f"next {b}", f"whole {c}", f"{a} {b} {c}", "low" if nxt[:1].islower() else "other", f"short {len(nxt) < 3}", f"conjunction {nxt in CONJUNCTIONS} {c}"]
 
 
-def flaws(e: Editor, text: str | None, journal: str | None) -> tuple[list[str], list[tuple[int, str]], list[str]]:
+def flaws(e: Editor, text: str | None, journal: str | None, place: tuple = NOWHERE) -> tuple[list[str], list[tuple[int, str]], list[str]]:
     """Lines, their flaws (line number from 1, flaw), and the repaired running lines."""
     if not text or not text.strip():
         return [], [], []
     lines = text.split("\n")
-    kinds = furniture_lines(e, lines, journal)
+    kinds = furniture_lines(e, lines, journal, place)
     out, repaired = [], []
     carried: tuple[str, int] | None = None  # part of a word broken before this line, and its line
-    lexicon, memo, edit = e.lexicon, e.memo, e.edit
+    memo, edit = e.memo, e.edit
     for k, line in enumerate(lines):
         if kinds[k] != "text":
             out.append((k + 1, kinds[k]))
@@ -295,7 +363,7 @@ def flaws(e: Editor, text: str | None, journal: str | None) -> tuple[list[str],
             j = k + 1
             while j < len(lines) and kinds[j] != "text":
                 j += 1
-            if j < len(lines) and lines[j].strip() and e.joins.best(join_features(lexicon, words[-1], m[1], lines[j].lstrip())) == "join":
+            if j < len(lines) and lines[j].strip() and e.joins(words[-1], m[1], lines[j].lstrip()):
                 out.append((k + 1, "hyphen"))
                 carried = (words[-1], k)
                 rest = rest[:-1]
@@ -303,7 +371,7 @@ def flaws(e: Editor, text: str | None, journal: str | None) -> tuple[list[str],
             if w in memo:
                 hit = memo[w]
             else:
-                hit = None if w.lower() in lexicon else edit(w)
+                hit = edit(w)
             if hit is not None:
                 bad.add(k)
                 fixed[w] = hit[1].capitalize() if w[0].isupper() else hit[1]
@@ -333,105 +401,177 @@ def lexicon_of(regions: DataFrame) -> frozenset[str]:
     return frozenset(lexicon | older)
 
 
+_NUMBER = re.compile(r"^[^\w]{0,3}(?:[a-zA-Z]{1,4}\.? ?)?\d{1,4} ?[rv]?[^\w]{0,3}$")
+
+
 def train(regions: DataFrame, journals: DataFrame, size: int = SAMPLE) -> Editor:
     """Models from the lexicon of all text and a bounded sample of regions by hash of the id."""
     lexicon = lexicon_of(regions)
     titles = {r["journal_id"]: r["title"] for r in journals.select("journal_id", "title").collect()}  # fixed table
-    rows = first_by_hash(regions.filter("content is not null and region_id is not null").select("region_id", "region_type", "journal_id", "content"), "region_id", size).collect()
-    texts = [(r["content"], r["journal_id"]) for r in rows if r["region_type"] in TEXT_TYPES]
-    near = Neighbours(lexicon)
+    rows = first_by_hash(regions.filter("content is not null and region_id is not null").select("region_id", "region_type", "journal_id", "content", *_place_columns(regions, "region")), "region_id", size).collect()
+    texts = [(r["content"], r["journal_id"], _place(r)) for r in rows if r["region_type"] in TEXT_TYPES]
+    characters, confusions = _train_characters(lexicon, [t for t, *_ in texts])
+    e = Editor(lexicon, characters, Perceptron(["text"]), titles, confusions)
+    e.furniture = _train_furniture(e, rows, texts[: SAMPLE // 3])
+    return e
+
+
+def _train_characters(lexicon: frozenset[str], texts: list[str]) -> tuple[Perceptron, frozenset[tuple[str, str]]]:
+    """The editor of characters and line joins, and the confusions it knows."""
+    near, rng = Neighbours(lexicon), random.Random(11)
     # Confusions: rare words against the only lexicon word they could come from.
     support: dict[tuple[str, str], set[str]] = defaultdict(set)
-    how_often, others, mined = Counter(), [], []
-    whole = [w for t, _ in texts for w in _WORD.findall(re.sub(rf"[{MARKS}] *\n", "", t))]
-    for w, n in Counter(x.lower() for x in whole).items():
-        if w in lexicon or w.isdigit() or len(w) < 4:
+    others, mined = [], []
+    for word in dict.fromkeys(w for t in texts for w in _WORD.findall(re.sub(rf"[{MARKS}] *\n", "", t))):
+        w = word.lower()
+        if w in lexicon or w.isdigit() or len(w) < 3:
             continue
-        found = near.of(w)
+        found = near.of(w) if len(w) > 3 else ()
         if len(found) == 1:
             clean = next(iter(found))
             _, good, bad = difference(clean, w)
             if good and bad:
-                mined.append((clean, w, (good, bad)))
+                mined.append((word, (good, bad)))
                 support[good, bad].add(clean)
-                how_often[good, bad] += n
                 continue
-        others.append(w)
-    confusions = {op: how_often[op] for op, s in support.items() if len(s) >= 3}
-    rng, pairs = random.Random(11), []
-    for w in sorted(lexicon) if confusions else ():
-        for good, bad in confusions:
-            for i in range(len(w)) if len(w) > 2 else ():
-                seen = w[:i] + bad + w[i + len(good) :]
-                if w.startswith(good, i) and seen not in lexicon:
-                    pairs.append((w, seen))
-    pairs = rng.sample(pairs, min(len(pairs), PAIRS))
-    pairs += [(w, w) for w in sorted(lexicon)] + [(w, w) for w in rng.sample(others, min(1500, len(others)))]
-    examples = [(character_features(seen, i), op) for clean, seen in pairs for i, op in enumerate(operations(clean, seen))]
-    characters = Perceptron(sorted({op for _, op in examples} | {"K"})).fit(_thin(examples, rng))
-    # the margin at which nearly all of the sample's own misreadings are repaired
-    judge = Editor(frozenset(), characters, None, None, {})
-    rated = sorted(g for clean, w, op in mined if op in confusions and (g := judge.gain(clean, w)) > -1e8)
-    least = min(0.0, rated[len(rated) // 500] - 1e-6) if rated else 0.0
-    joins, furniture = [], []
-    probe = Editor(lexicon, characters, Perceptron(["keep", "join"]), Perceptron(["text"]), titles)
-    for t, j in texts[: SAMPLE // 3]:
-        lines, names = t.split("\n"), probe.title_names(j)
-        for k, line in enumerate(lines):
-            after = lines[k + 1] if k + 1 < len(lines) else ""
-            m, words = _MARKED.search(line), _WORD.findall(line)
+        others.append(word)
+    confusions = frozenset(op for op, s in support.items() if len(s) >= 3)
+    changes, examples = Changes(confusions), []
+    # two spellings of one word in the lexicon (`étoit`, `était`): where such a change may be one of spelling
+    twins = {(w, i, clean[i : i + 1], w[i : i + 3]) for w in sorted(lexicon) for i, clean, ops in changes.of(w) if clean in lexicon and len(ops) == 1 and ops[0][2] != DELETE and not ops[0][1]}
+    count = Counter((good, around) for _, _, good, around in twins)
+    spelling = {x for x, n in count.items() if n >= 3 and len(x[1]) == 3}
+
+    def show(word: str, truth: dict[tuple[int, bool], str], known: bool | None = None) -> None:
+        """One example for each place of a word that a change could touch."""
+        for at, (fs, open_) in changes.positions(word.lower(), lexicon, case_of(word), known).items():
+            gold = truth.get(at, KEEP)
+            examples.append((fs, gold, [KEEP, *open_] if gold in open_ or gold == KEEP else [KEEP, gold, *open_]))
+
+    def spoil(words: list[str], at_most: int) -> None:
+        made = []
+        for word in words:
+            for good, bad in sorted(confusions):
+                for i in range(len(word)) if len(word) > 2 else ():
+                    seen = word[:i] + bad + word[i + len(good) :]
+                    if word.startswith(good, i) and seen.lower() not in lexicon and (good, seen[i : i + 3].lower()) not in spelling:
+                        made.append((seen, {(i + k, gap): op for k, gap, op in operations(good, bad)}))
+        for seen, truth in rng.sample(made, min(len(made), at_most)):
+            show(seen, truth)
+
+    known = sorted(lexicon)
+    spoil(known, PAIRS)
+    spoil([w.capitalize() for w in known], PAIRS // 4)
+    for w in known:
+        for word in (w, w.capitalize()):
+            show(word, {})
+            if not any(clean in lexicon for _, clean, _ in changes.of(w)):
+                show(word, {}, False)  # as if unknown
+    # words the lexicon does not hold are mostly right as they are; what shows a misreading in them is what no right word has
+    for w, *_ in sorted(twins):
+        show(w, {}, False)
+    plain = rng.sample(others, min(len(others), PAIRS))
+    for w in plain:
+        show(w, {})
+    spoil([w for w in plain if w.islower()], len(plain) // 8)
+    for word, (good, bad) in mined:
+        w = word.lower()
+        if (good, bad) not in confusions or any((good, w[i : i + 3]) in spelling and w[:i] + good + w[i + 1 :] in lexicon for i in range(len(w))):
+            show(word, {})
+            continue
+        for i, clean, ops in changes.of(w):
+            if clean in lexicon and w.startswith(bad, i) and clean == w[:i] + good + w[i + len(bad) :]:
+                show(word, {(i + k, gap): op for k, gap, op in ops})
+                break
+    # a mark at a line end
+    for t in texts[: SAMPLE // 3]:
+        lines = t.split("\n")
+        for k, line in enumerate(lines[:-1]):
+            m, words, after = _MARKED.search(line), _WORD.findall(line), lines[k + 1]
             if m and after and words:
                 fs = join_features(lexicon, words[-1], m[1], after)
                 if f"conjunction {True} {False}" in fs:
-                    joins.append((fs, "keep"))
+                    examples.append((fs, KEEP, [KEEP, JOIN]))
                 elif f"whole {True}" in fs or f"part {False}" in fs and "low" in fs:
-                    joins.append((fs, "join"))  # half a word is no word
+                    examples.append((fs, JOIN, [KEEP, JOIN]))  # half a word is no word
                 elif f"part {True}" in fs and f"next {True}" in fs:
-                    joins.append((fs, "keep"))
-            fs = line_features(line, k, len(lines), lines[k - 1] if k else "", after, names)
-            if names and len(words) <= 10 and likeness(line, names) == len(names):
-                furniture.append((fs, "header"))
-            elif len(words) >= 3 and sum(w.lower() in lexicon for w in words) >= 2:
-                furniture.append((fs, "text"))
+                    examples.append((fs, KEEP, [KEEP, JOIN]))
     # elliptic hyphens are rare at line ends: made from the lexicon
-    for w in rng.sample(sorted(lexicon), min(40, len(lexicon))):
-        joins += [(join_features(lexicon, part, "-", f"{c} {w}"), "keep") for c in sorted(CONJUNCTIONS)[::3] for part in (w, w[::-1])]
-    number_like = lambda c: _MAYBE_NUMBER.match(c.strip()) is not None
-    placed = [(k, len(ls), ls[k - 1] if k else "", ls[k] if k < len(ls) else "") for ls in (t.split("\n") for t, _ in texts[: SAMPLE // 3]) for k in (0, len(ls) // 2, len(ls))]
+    for w in rng.sample(known, min(40, len(known))):
+        examples += [(join_features(lexicon, part, "-", f"{c} {w}"), KEEP, [KEEP, JOIN]) for c in sorted(CONJUNCTIONS)[::3] for part in (w, w[::-1])]
+    return Perceptron(sorted({op for _, gold, open_ in examples for op in open_} | {KEEP, JOIN})).fit(examples, epochs=6), confusions
+
+
+def _train_furniture(e: Editor, rows: list, texts: list[tuple[str, str, tuple]]) -> Perceptron:
+    """The classifier of lines, from what titles and region types say."""
+    rng, out, placed = random.Random(11), [], []
+    for t, journal, place in texts:
+        lines, names = t.split("\n"), e.title_names(journal)
+        for k, line in enumerate(lines):
+            if not line.strip():
+                continue
+            before, after = lines[k - 1] if k else "", lines[k + 1] if k + 1 < len(lines) else ""
+            header = bool(names) and len(line.split()) <= 10 and likeness(line, names) == len(names)
+            if header or not _NUMBER.match(line.strip()):
+                kind = "header" if header else "text"
+                for holder in (place, ("page", None, None, *place[3:])):
+                    out.append((line_features(e, line, k, len(lines), before, after, names, holder), kind))
+                if header and rng.random() < HIDDEN:
+                    out.append((line_features(e, line, k, len(lines), before, after, names, place, hide=True), kind))
+        for k in {0, len(lines) // 2, len(lines)}:
+            placed.append((k, len(lines), lines[k - 1] if k else "", lines[k] if k < len(lines) else "", place))
     for r in rows:
-        kind, c = r["region_type"], r["content"]
-        if kind in ("page_number", "entry_heading", "calculation") and c.strip():
-            label = "page_number" if kind == "page_number" else "text"
-            if label == "text" or number_like(c):
-                forms = [c.strip()]
-                if re.fullmatch(r"\d+\.?", c.strip()) and label == "page_number":  # also set between dashes or after p.
-                    n = c.strip().rstrip(".")
-                    forms += [f"- {n} -", f"— {n} —", f"p. {n}", n]
-                for x in forms:
-                    furniture.append((line_features(x, 0, 1, "", "", []), label))
-                    for k, n, before, after in rng.sample(placed, min(3, len(placed))):
-                        furniture.append((line_features(x, k, n + 1, before, after, []), label))
+        kind, c = r["region_type"], r["content"].strip()
+        if kind not in ("page_number", "entry_heading", "calculation") or not c:
+            continue
+        label = "page_number" if kind == "page_number" else "text"
+        if label == "text" and not _NUMBER.match(c):
+            continue
+        forms = [c]
+        if label == "page_number" and re.fullmatch(r"\d+\.?", c):  # also set between dashes or after p.
+            n = c.rstrip(".")
+            forms += [f"- {n} -", f"— {n} —", f"p. {n}", n]
+        for x in forms:
+            out.append((line_features(e, x, 0, 1, "", "", [], _place(r)), label))
+            for k, n, before, after, place in rng.sample(placed, min(3, len(placed))):
+                out.append((line_features(e, x, k, n + 1, before, after, [], place), label))
+                # on a page a field ends at a blank line
+                for up, down in ((before, ""), ("", after), ("", "")):
+                    out.append((line_features(e, x, k + 1, n + 3, up, down, [], ("page", None, None, *place[3:])), label))
     # ends of measured values on a line of their own are text
-    furniture += [(line_features(f"{n}{end}", k, 3, "", "", []), "text") for n in (3, 14, 82) for end in ("'.", "°.", " °.", " '.", "½", "° R..") for k in (0, 1, 2)]
-    return Editor(lexicon, characters, Perceptron(["join", "keep"]).fit(joins), Perceptron(["header", "page_number", "text"]).fit(furniture), titles, frozenset(confusions), least)
+    out += [(line_features(e, f"{n}{end}", k, 3, "", "", []), "text") for n in (3, 14, 82) for end in ("'.", "°.", " °.", " '.", "½", "° R..") for k in (0, 1, 2)]
+    return Perceptron(["header", "page_number", "text"]).fit(out)
+
 
+def _place_columns(df: DataFrame, holder: str) -> list:
+    """region_index, top, page_number, folio_label as far as `df` has them."""
+    def own(name: str, kind: str):
+        return (F.col(name) if name in df.columns else F.lit(None)).cast(kind)
 
-def _thin(examples: list, rng: random.Random, keep: int = 2) -> list:
-    """All changes and `keep` times as many unchanged characters."""
-    changed = [x for x in examples if x[1] != "K"]
-    same = [x for x in examples if x[1] == "K"]
-    return changed + rng.sample(same, min(len(same), max(2000, keep * len(changed))))
+    top = F.get(F.col("bbox"), F.lit(0)).cast("double") if "bbox" in df.columns else F.lit(None).cast("double")
+    return [own("region_index", "int").alias("region_index"), top.alias("top"), own("page_number", "int").alias("page_number"), own("folio_label", "string").alias("folio_label")]
+
+
+def _place(r) -> tuple:
+    return ("region", r["region_index"], r["top"], r["page_number"], r["folio_label"])
 
 
 def _holders(regions: DataFrame, pages: DataFrame) -> DataFrame:
-    """holder, record_id, journal_id, text of text regions and pages."""
-    r = regions.filter(F.col("region_type").isin(*TEXT_TYPES)).select(F.lit("region").alias("holder"), F.col("region_id").cast("long").alias("record_id"), "journal_id", F.col("content").alias("text"))
-    p = pages.select(F.lit("page").alias("holder"), F.col("page_id").cast("long").alias("record_id"), "journal_id", F.col("full_text").alias("text"))
+    """holder, record_id, journal_id, text and place of text regions and pages."""
+    r = regions.filter(F.col("region_type").isin(*TEXT_TYPES)).select(F.lit("region").alias("holder"), F.col("region_id").cast("long").alias("record_id"), "journal_id", F.col("content").alias("text"), *_place_columns(regions, "region"))
+    p = pages.select(F.lit("page").alias("holder"), F.col("page_id").cast("long").alias("record_id"), "journal_id", F.col("full_text").alias("text"), *_place_columns(pages, "page"))
     return r.unionByName(p).filter(F.col("text").rlike(r"\S") & F.col("record_id").isNotNull())
 
 
 def _shared(e: Editor, spark):
-    return spark.sparkContext.broadcast((e.lexicon, e.characters, e.joins, e.furniture, e.titles, e.confusions, e.least))
+    return spark.sparkContext.broadcast((e.lexicon, e.characters, e.furniture, e.titles, e.confusions))  # bounded by LEXICON and SAMPLE
+
+
+def _rows(b: pd.DataFrame):
+    """holder, record_id, journal, text, place of each row."""
+    none = lambda x: None if pd.isna(x) else x
+    for holder, record, journal, text, index, top, number, folio in zip(b["holder"], b["record_id"], b["journal_id"], b["text"], b["region_index"], b["top"], b["page_number"], b["folio_label"], strict=True):
+        yield holder, record, journal, text, (holder, none(index), none(top), none(number) if number is None or pd.isna(number) else int(number), folio)
 
 
 def find(regions: DataFrame, pages: DataFrame, journals: DataFrame, editor: Editor | None = None) -> DataFrame:
@@ -442,8 +582,8 @@ def find(regions: DataFrame, pages: DataFrame, journals: DataFrame, editor: Edit
         e = held.setdefault(0, Editor(*shared.value))
         for b in batches:
             out = []
-            for holder, record, journal, text in zip(b["holder"], b["record_id"], b["journal_id"], b["text"], strict=True):
-                out += [(holder, record, n, flaw) for n, flaw in flaws(e, text, journal)[1]]
+            for holder, record, journal, text, place in _rows(b):
+                out += [(holder, record, n, flaw) for n, flaw in flaws(e, text, journal, place)[1]]
             yield pd.DataFrame(out, columns=["holder", "record_id", "line_no", "flaw"])
 
     return spread(_holders(regions, pages)).mapInPandas(run, "holder string, record_id long, line_no long, flaw string").distinct()
@@ -457,8 +597,8 @@ def repair(regions: DataFrame, pages: DataFrame, journals: DataFrame, editor: Ed
         e = held.setdefault(0, Editor(*shared.value))
         for b in batches:
             texts = []
-            for journal, text in zip(b["journal_id"], b["text"], strict=True):
-                joined = "".join(flaws(e, text, journal)[2])
+            for _, _, journal, text, place in _rows(b):
+                joined = "".join(flaws(e, text, journal, place)[2])
                 texts.append("\n\n".join(re.sub(r"\s+", " ", x).strip() for x in joined.split("\n") if x.strip()))
             yield pd.DataFrame({"holder": b["holder"], "record_id": b["record_id"], "text": texts})
 

@@ -283,6 +283,44 @@ def test_repair(spark):
     assert repair.find(edges.limit(0), pages.limit(0), j, e).count() == 0
 
 
+def test_words_the_lexicon_does_not_hold_are_repaired(spark):
+    """The editor decides by the characters: a digit read for a letter, in words no other text has."""
+    rng = random.Random(18)
+    words = "oben boden vor noch wolke ordnung stollen morgen sonne kommen grosse trocken norden vogel".split()
+    rare = ["".join(rng.choice(("ko", "ra", "lu", "mo", "be", "to", "ni")) for _ in range(4)) for _ in range(150)]
+    data = []
+    for i in range(600):
+        t = [rng.choice(words) for _ in range(14)]
+        if i % 4 == 0:
+            t[3] = rng.choice(rare)
+        if i % 12 == 1:
+            t[5] = t[5].replace("o", "0", 1)
+        data.append((i, "main_text", f"J{i % 9}", " ".join(t)))
+    r = frame(spark, data, "region_id long, region_type string, journal_id string, content string")
+    e = repair.train(r, spark.createDataFrame([("J0", "x")], "journal_id string, title string"))
+    assert ("o", "0") in e.confusions
+    for clean, seen in (("korakomo", "k0rakomo"), ("totolumo", "tot0lumo"), ("rakobeto", "rakobet0"), ("mokomobe", "m0k0mobe")):
+        assert clean not in e.lexicon and e.edit(clean) is None and (e.edit(seen) or (0, ""))[1] == clean, seen
+    assert e.edit("1800") is None and e.edit("wolke") is None
+
+
+def test_operations_rebuild_the_word():
+    for good, bad in (("m", "rn"), ("rn", "m"), ("a", "o"), ("vv", "w"), ("ab", "b")):
+        ops = repair.operations(good, bad)
+        chars = {k: "" if op == repair.DELETE else op[1] for k, gap, op in ops if not gap}
+        put_in = "".join(op[1] for _, gap, op in ops if gap)
+        assert "".join(chars.get(k, c) for k, c in enumerate(bad)) + put_in == good
+
+
+def test_headers_by_place_and_shape(spark):
+    """A header with other names than the title's is found by where it stands and how it looks; long lines are tried too."""
+    r = frame(spark, scans(), "region_id long, region_type string, journal_id string, content string")
+    e = repair.train(r, spark.createDataFrame([(f"J{i}", "Reise von Rikalrode nach Kozartartal") for i in range(9)], "journal_id string, title string"))
+    text = "Reise von Bodesrode nach Pelmertal\nder fluss war kalt und die brücke stand im wasser\nnach dem regen wurde das gestein dunkler"
+    assert repair.flaws(e, text, "J1")[1] == [(1, "header")]
+    assert repair.flaws(e, "der fluss war sehr kalt " * 30 + "\n" + " " * 20 + "47" + " " * 20 + "\nund die brücke", None)[1] == [(2, "page_number")]
+
+
 # -- 7 ---------------------------------------------------------------------------------------------------------
 
 
