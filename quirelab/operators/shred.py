@@ -2,9 +2,10 @@
 
 A payload is shredded into one column per leaf path, each entry with a repetition level (at which list a
 new element began) and a definition level (how far down the path values exist). The table of a repeated
-ancestor (pages, regions, entities, locations, table_cell, gt_entity) is put together from the level
-sequences of the leaves below it alone: repetition levels give the places, definition levels say whether
-the element is there. Both steps are per record, in one narrow Python stage; nothing is shuffled but the
+ancestor (pages, regions, entities, locations, cells, ground-truth entities, and each list of plain values:
+entry numbers, languages, box coordinates, readings) is put together from the level sequences of the leaves
+below it alone: repetition levels give the places, definition levels say whether the element is there. Every
+leaf of the schema stands in one table, so the tables together give the payload back. Both steps are per record, in one narrow Python stage; nothing is shuffled but the
 removal of records sent twice.
 
 Shapes that vary are brought to the schema first: one page or a list of pages, an object where a list is
@@ -20,6 +21,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -77,15 +79,24 @@ SCHEMA = many("pages", group(
     many("locations", group("location", *leaves(*LOCATION_KEYS))),
 ))
 
-#: Table -> path of the repeated element it has a row for, and the lists whose places it keeps.
+#: Table -> path of the repeated element it has a row for; of a list of plain values, the path of the value.
 TABLES = {
-    "page": ("pages",),
-    "region": ("pages", "regions"),
-    "entity": ("pages", "entities"),
-    "location": ("pages", "locations"),
-    "table_cell": ("pages", "regions", "table_data", "cells", "row"),
-    "gt_entity": ("pages", "regions", "ground_truth_entities"),
+    "page": (),
+    "region": ("regions",),
+    "entity": ("entities",),
+    "location": ("locations",),
+    "table_cell": ("regions", "table_data", "cells", "row", "cell"),
+    "gt_entity": ("regions", "ground_truth_entities"),
+    "entry_number": ("entry_numbers", "number"),
+    "page_language": ("page_languages", "language"),
+    "region_language": ("regions", "languages", "language"),
+    "bbox": ("regions", "bbox", "coordinate"),
+    "uncertain_reading": ("regions", "uncertain_readings", "reading"),
+    "ensemble_reading": ("regions", "ensemble_readings", "reading"),
 }
+#: The tables found() lists, and single groups whose leaves belong to the row of the element around them.
+CHILDREN = ("region", "entity", "location", "table_cell", "gt_entity")
+SINGLE = ("table_data",)
 
 
 @dataclass
@@ -115,15 +126,32 @@ def columns_of(node: Node, path: tuple = (), level: int = 0, defined: tuple = ()
     return out
 
 
-def shred(value: object, node: Node, columns: dict[tuple, Column]) -> None:
-    """Append one record's entries to `columns`."""
-    under: dict[tuple, list[Column]] = {}
-    for p, c in columns.items():
+@lru_cache
+def _shape() -> tuple[dict[tuple, tuple[int, ...]], dict[tuple, list[tuple]]]:
+    """Of the schema: the definition levels of each leaf, and the leaves under each path."""
+    cols = columns_of(SCHEMA)
+    under: dict[tuple, list[tuple]] = {}
+    for p in cols:
         for i in range(len(p) + 1):
-            under.setdefault(p[:i], []).append(c)
+            under.setdefault(p[:i], []).append(p)
+    return {p: tuple(c.defined) for p, c in cols.items()}, under
+
+
+def empty_columns() -> dict[tuple, Column]:
+    return {p: Column(p, list(d)) for p, d in _shape()[0].items()}
+
+
+def shred(value: object, node: Node, columns: dict[tuple, Column], under: dict[tuple, list[tuple]] | None = None) -> None:
+    """Append one record's entries to `columns`."""
+    if under is None:
+        under = {}
+        for p in columns:
+            for i in range(len(p) + 1):
+                under.setdefault(p[:i], []).append(p)
 
     def absent(path: tuple, rep: int, level: int) -> None:
-        for c in under[path]:
+        for p in under[path]:
+            c = columns[p]
             c.reps.append(rep)
             c.defs.append(level)
             c.values.append(None)
@@ -212,11 +240,22 @@ def _table(t: object) -> dict | None:
 
 def _assemble(cols: dict[tuple, Column], child: str) -> tuple[list[Column], int]:
     """The leaf columns that have one entry per element of a table, and the number of lists above."""
-    at = TABLES[child][1:]
-    lists = 4 if child == "table_cell" else len(TABLES[child]) if child != "page" else 1
-    if child == "table_cell":
-        return [cols[("regions", "table_data", "cells", "row", "cell")]], 4
-    return [c for p, c in cols.items() if p[:-1] == at and len(c.defined) == lists], lists
+    at = TABLES[child]
+    if at in cols:
+        return [cols[at]], len(cols[at].defined)
+    own = [c for p, c in cols.items() if p[:-1] == at or p[:-2] == at and p[-2] in SINGLE]
+    lists = min(len(c.defined) for c in own)
+    return [c for c in own if len(c.defined) == lists], lists
+
+
+def _shredded(b: pd.DataFrame) -> Iterator[tuple[int, dict[tuple, Column]]]:
+    """record_id and level columns of each readable payload."""
+    under = _shape()[1]
+    for record, payload in zip(b["record_id"], b["payload"], strict=True):
+        if (pages := parse(payload)) is not None:
+            cols = empty_columns()
+            shred(pages, SCHEMA, cols, under)
+            yield record, cols
 
 
 def _records(records: DataFrame) -> DataFrame:
@@ -229,14 +268,8 @@ def found(records: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for record, payload in zip(b["record_id"], b["payload"], strict=True):
-                if (pages := parse(payload)) is None:
-                    continue
-                cols = columns_of(SCHEMA)
-                shred(pages, SCHEMA, cols)
-                for child in TABLES:
-                    if child == "page":
-                        continue
+            for record, cols in _shredded(b):
+                for child in CHILDREN:
                     some, lists = _assemble(cols, child)
                     c = some[0]
                     for k, at, there in places(c, lists):
@@ -249,21 +282,16 @@ def found(records: DataFrame) -> DataFrame:
 
 def flat(records: DataFrame, child: str) -> DataFrame:
     """One flat table: record_id, page_pos, the places of its lists (pos1 to pos3), and its leaf fields as text."""
-    cols = columns_of(SCHEMA)
-    some, lists = _assemble(cols, child)
-    names = [c.path[-1] for c in some]
+    some, lists = _assemble(empty_columns(), child)
+    names = ["value" if TABLES[child] == c.path and child != "table_cell" else c.path[-1] for c in some]
     places_ = ["page_pos", "pos1", "pos2", "pos3"][:lists]
     schema = ", ".join(["record_id long", *(f"{p} long" for p in places_), *(f"`{n}` string" for n in names)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for record, payload in zip(b["record_id"], b["payload"], strict=True):
-                if (pages := parse(payload)) is None:
-                    continue
-                own = columns_of(SCHEMA)
-                shred(pages, SCHEMA, own)
-                leafs, n = _assemble(own, child)
+            for record, cols in _shredded(b):
+                leafs, n = _assemble(cols, child)
                 sequences = [[c.values[k] for k, _, _ in places(c, n)] for c in leafs]
                 for i, (_, at, there) in enumerate(places(leafs[0], n)):
                     if there and (child != "table_cell" or sequences[0][i].strip()):
@@ -278,13 +306,7 @@ def levels(records: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for record, payload in zip(b["record_id"], b["payload"], strict=True):
-                if (pages := parse(payload)) is None:
-                    continue
-                own = columns_of(SCHEMA)
-                shred(pages, SCHEMA, own)
-                out += [(record, ".".join(p), c.reps, c.defs, c.values) for p, c in own.items()]
+            out = [(record, ".".join(p), c.reps, c.defs, c.values) for record, cols in _shredded(b) for p, c in cols.items()]
             yield pd.DataFrame(out, columns=["record_id", "path", "reps", "defs", "values"])
 
     return _records(records).mapInPandas(run, "record_id long, path string, reps array<int>, defs array<int>, values array<string>")

@@ -442,7 +442,7 @@ place_centroid json_answers repaired_json event_props entity_frequency entities_
 
 def queries():
     own = {n: globals()[n] for n in _NAMES} | {"p2_found": p2_found}
-    own |= {f"p2_{name}": _p2(child) for name, child in (("pages", "page"), ("regions", "region"), ("entities", "entity"), ("locations", "location"), ("cells", "table_cell"), ("gt_entities", "gt_entity"))}
+    own |= {f"p2_{name}": _p2(child) for name, child in (("pages", "page"), ("regions", "region"), ("entities", "entity"), ("locations", "location"), ("cells", "table_cell"), ("gt_entities", "gt_entity"), ("entry_numbers", "entry_number"), ("page_languages", "page_language"), ("region_languages", "region_language"), ("bboxes", "bbox"), ("uncertain_readings", "uncertain_reading"), ("ensemble_readings", "ensemble_reading"))}
     return own
 
 

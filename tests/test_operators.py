@@ -121,6 +121,45 @@ def test_shredding(spark):
     assert shred.found(d.limit(0)).count() == 0
 
 
+def test_flat_tables_give_the_payload_back(spark):
+    """Every value of the schema stands in one of the tables, at its place."""
+    entity = {k: f"{k}!" for k in shred.ENTITY_KEYS}
+    region = {k: f"{k}?" for k in shred.REGION_KEYS} | {"languages": ["de", "fr"], "bbox": ["1", "2.5", "3", "4"], "uncertain_readings": ["u"], "ensemble_readings": ["r1", None, "r3"], "table_data": {"caption": "cap", "cells": [["a", "b"], ["c"]]}, "ground_truth_entities": [entity]}
+    page = {k: f"{k}." for k in shred.PAGE_KEYS} | {"entry_numbers": ["1", "2"], "page_languages": ["la"], "regions": [region, {"content": "x"}, region], "entities": [entity, entity], "locations": [{k: k for k in shred.LOCATION_KEYS}]}
+    d = spark.createDataFrame([(1, json.dumps([page, {"page_number": "2"}]))], "record_id long, payload string")
+    lists = {"region": "regions", "entity": "entities", "location": "locations", "gt_entity": "ground_truth_entities", "entry_number": "entry_numbers", "page_language": "page_languages", "region_language": "languages", "bbox": "bbox", "uncertain_reading": "uncertain_readings", "ensemble_reading": "ensemble_readings"}
+    back: dict = {}
+
+    def put(at, name, k, value):
+        at.setdefault(name, {})[k] = value
+
+    for child in shred.TABLES:
+        for r in shred.flat(d, child).collect():
+            v = {k: x for k, x in r.asDict().items() if k not in ("record_id", "page_pos", "pos1", "pos2", "pos3") and x is not None}
+            if child == "page":
+                back[r["page_pos"]] = v
+                continue
+            path = shred.TABLES[child]
+            page_ = back[r["page_pos"]]
+            if child == "table_cell":
+                put(page_["regions"][r["pos1"]].setdefault("table_data", {}).setdefault("cells", {}), r["pos2"], r["pos3"], r["cell"])
+                continue
+            value = v["value"] if "value" in v and path[-1] not in lists.values() or child == "bbox" else v
+            if child == "region" and "caption" in v:
+                v["table_data"] = {"caption": v.pop("caption")}
+            if path[0] == "regions" and child != "region":
+                put(page_["regions"][r["pos1"]], lists[child], r["pos2"], value)
+            else:
+                put(page_, lists[child], r["pos1"], value)
+
+    def plain(v):
+        if isinstance(v, list):
+            return {i: plain(x) for i, x in enumerate(v) if x is not None}
+        return {k: plain(x) for k, x in v.items()} if isinstance(v, dict) else v
+
+    assert back == {0: plain(page), 1: {"page_number": "2"}}
+
+
 def test_levels_round_trip():
     value = [{"regions": [{"content": "a", "table_data": {"cells": [["1", "2"], []]}}, {"content": None}]}, {"regions": []}]
     cols = shred.columns_of(shred.SCHEMA)
