@@ -48,7 +48,7 @@ SPELLING, SPELLING_COUNT = 0.03, 12
 #: Least share of all words, and least number of (hashed) journals, of a word of the lexicon.
 LEXICON, JOURNALS = 4e-5, 8
 #: Share of the header examples that are shown again without their likeness to the title.
-HIDDEN = 0.3
+HIDDEN = 0.4
 MARKS = "-=¬⸗­"
 _WORD = re.compile(r"[^\W_]+")
 _NAME = re.compile(r"[^\W\d_]{4,}")
@@ -99,7 +99,7 @@ class Perceptron:
 
     def score(self, fs: list[str], c: str) -> float:
         w = self.w.get(c)
-        return sum([w.get(f, 0.0) for f in fs]) if w else 0.0
+        return sum([w[f] for f in fs if f in w]) if w else 0.0
 
     def best(self, fs: list[str]) -> str:
         return max(self.classes, key=lambda c: (self.score(fs, c), c))
@@ -140,14 +140,14 @@ class Neighbours:
 KEEP, DELETE, JOIN = "K", "D", "J"
 
 
-def context(w: str, i: int, gap: bool, known: bool, case: str) -> list[str]:
+def context(w: str, i: int, gap: bool, known: bool, case: str, digits: int) -> list[str]:
     """Features of a character of a word, or of the gap after it."""
     p = f"^^{w}$$"
     j = i + 2
     if gap:
         return ["g", "gl" + p[j], "gr" + p[j + 1], "gm" + p[j : j + 2], "gw" + p[j - 1 : j + 3], f"g {known}", "g" + case]
     c = p[j]
-    return ["b" + c, "l" + p[j - 1] + c, "r" + c + p[j + 1], "m" + p[j - 1 : j + 2], "L" + p[j - 2 : j + 1], "R" + p[j : j + 3], "w" + p[j - 2 : j + 3], f"{c} {known}", c + case, f"{c} digits {min(sum(x.isdigit() for x in w), 3)} of {min(len(w), 5)}"]
+    return ["b" + c, "l" + p[j - 1] + c, "r" + c + p[j + 1], "m" + p[j - 1 : j + 2], "L" + p[j - 2 : j + 1], "R" + p[j : j + 3], "w" + p[j - 2 : j + 3], f"{c} {known}", c + case, f"{c} digits {digits} of {len(w) if len(w) < 5 else 5}"]
 
 
 def operations(good: str, bad: str) -> list[tuple[int, bool, str]]:
@@ -162,6 +162,10 @@ def case_of(word: str) -> str:
     return "a" if word[:1].islower() else "A" if word[1:].upper() == word[1:] and len(word) > 1 else "Aa" if word[:1].isupper() else "1"
 
 
+def digits_of(w: str) -> int:
+    return 0 if w.isalpha() else min(sum(map(str.isdigit, w)), 3)
+
+
 class Changes:
     """The known confusions (what stands on the page, what was read), and where they could apply in a word."""
 
@@ -182,12 +186,13 @@ class Changes:
     def positions(self, w: str, lexicon, case: str, known: bool | None = None) -> dict[tuple[int, bool], tuple[list[str], list[str]]]:
         """Features and open operations of every place of a word that a change could touch."""
         known, out = w in lexicon if known is None else known, {}
+        digits = digits_of(w)
         for i, clean, ops in self.of(w):
             right = clean in lexicon
             for k, gap, op in ops:
                 at = (i + k, gap)
                 if at not in out:
-                    out[at] = (context(w, i + k, gap, known, case), [])
+                    out[at] = (context(w, i + k, gap, known, case, digits), [])
                 fs, open_ = out[at]
                 if op not in open_:
                     open_.append(op)
@@ -201,7 +206,7 @@ class Editor:
 
     def __init__(self, lexicon: frozenset[str], characters: Perceptron, furniture: Perceptron, titles: dict[str, str], confusions: frozenset[tuple[str, str]] = frozenset()):
         self.confusions, self.lexicon, self.characters, self.furniture = confusions, lexicon, characters, furniture
-        self.changes, self.titles, self.memo, self.names, self.shapes = Changes(confusions), titles, {}, {}, {}
+        self.changes, self.titles, self.memo, self.names, self.shapes, self.cells = Changes(confusions), titles, {}, {}, {}, {}
 
     def edit(self, word: str) -> tuple[int, str] | None:
         """(place of the first change, repaired word in lower case) of a misread word, else None."""
@@ -210,17 +215,8 @@ class Editor:
         w, first, case = word.lower(), None, case_of(word)
         if len(w) >= 3 and not w.isdigit():
             for _ in range(len(w)):  # a word has at most so many characters to repair
-                places = self.changes.positions(w, self.lexicon, case)
-                margins: dict[tuple, float] = {}
                 best = None
-                for i, clean, ops in self.changes.of(w):
-                    total = 0.0
-                    for k, gap, op in ops:
-                        key = (i + k, gap, op)
-                        if key not in margins:
-                            fs = places[i + k, gap][0]
-                            margins[key] = self.characters.score(fs, op) - self.characters.score(fs, KEEP)
-                        total += margins[key]
+                for i, clean, ops, total in self.rated(w, case):
                     if total > 0 and (best is None or (total, clean) > best[:2]):
                         best = (total, clean, i)
                 if best is None:
@@ -233,6 +229,33 @@ class Editor:
         self.memo[word] = out
         return out
 
+    def rated(self, w: str, case: str) -> Iterator[tuple[int, str, list, float]]:
+        """Every change that fits a word, with what the editor prefers its operations to keeping by.
+
+        What a place says apart from the lexicon depends on the five characters around it; that is remembered."""
+        found, weights, score = self.changes.of(w), self.characters.w, self.characters.score
+        known, digits, p = w in self.lexicon, digits_of(w), f"^^{w}$$"
+        says, held = (known, case, digits, min(len(w), 5)), {}
+        for i, clean, ops in found:
+            if clean in self.lexicon:
+                for k, gap, op in ops:
+                    held.setdefault((i + k, gap), []).append("word " + op)
+        if len(self.cells) > 400_000:
+            self.cells.clear()
+        for i, clean, ops in found:
+            total = 0.0
+            for k, gap, op in ops:
+                key = (p[i + k : i + k + 5], gap, says)
+                if (cell := self.cells.get(key)) is None:
+                    fs = context(w, i + k, gap, known, case, digits)
+                    cell = self.cells[key] = (fs, score(fs, KEEP), {})
+                if (margin := cell[2].get(op)) is None:
+                    margin = cell[2][op] = score(cell[0], op) - cell[1]
+                total += margin
+                for f in held.get((i + k, gap), ()):
+                    total += weights.get(op, {}).get(f, 0.0) - weights.get(KEEP, {}).get(f, 0.0)
+            yield i, clean, ops, total
+
     def joins(self, part: str, mark: str, following: str) -> bool:
         """Whether the word before a mark at the line end goes on in the next line."""
         fs = join_features(self.lexicon, part, mark, following)
@@ -262,48 +285,71 @@ def _close(a: str, b: str) -> bool:
     return sum(((x - y) + (y - x)).values()) <= 2 and len({a[i : i + 2] for i in range(len(a) - 1)} & {b[i : b and i + 2] for i in range(len(b) - 1)}) * 2 >= len(b) - 2
 
 
-def place_features(place: tuple) -> list[str]:
-    """Where a field stands: (holder, index of the region on the page, top of its box in thousandths, page number, folio label)."""
-    holder, index, top, number, folio = place
-    return [holder, "index " + ("?" if index is None else str(min(int(index), 3))), "top " + ("?" if top is None else str(int(top) // 125)), f"numbered {number is not None} {bool(folio)}"]
-
-
-#: A field whose place on the page is unknown.
+#: A field whose place on the page is unknown: (holder, index of the region on the page, top of its box in thousandths, page number, folio label).
 NOWHERE = ("region", None, None, None, None)
+_LETTERS, _DIGITS, _SIGNS, _PAGE = re.compile(r"[^\W\d_]+"), re.compile(r"\d+"), re.compile(r"[\w\s]"), re.compile(r"(?i)(?:fol|f|p|pag|s|bl)[rv]?")
 
 
-def line_features(e: Editor, line: str, k: int, n: int, before: str, after: str, names: list[str], place: tuple = NOWHERE, hide: bool = False) -> list[str]:
-    """Shape of a line, its place in the field and on the page, and its likeness to the title (unless hidden)."""
+def line_shape(e: Editor, line: str, k: int, n: int, before: str, after: str, names: list[str], place: tuple = NOWHERE, hide: bool = False) -> tuple:
+    """What the classifier sees of a line: its shape, its place in the field and on the page, and its likeness to the title (unless hidden)."""
     s = line.strip()
     words = s.replace("–", " ").replace("—", " ").split() or [s]
-    many = len(words)
-    lower = [w.strip(",.;:()[]—–-").lower() for w in words]
-    known = sum(w in e.lexicon for w in lower)
-    named = sum(w[0].isupper() and x not in e.lexicon for w, x in zip(words, lower, strict=True))
-    found = 0 if hide or not names else likeness(s, names) if named and many <= 12 else sum(n in s.lower() for n in names)
+    many, lexicon = len(words), e.lexicon
+    known = named = 0
+    lead = None
+    for w in words:
+        x = w.strip(",.;:()[]—–-").lower()
+        inside = x in lexicon
+        if lead is None:
+            lead = x if inside else "-"
+        if inside:
+            known += 1
+        elif w[0].isupper():
+            named += 1
+    found = 0
+    if names and not hide:
+        found = likeness(s, names) if named and many <= 12 else sum(x in s.lower() for x in names)
     part = "all" if names and found == len(names) else "some" if found else "none"
-    where = "first" if k == 0 else "last" if k == n - 1 else "inner"
-    size = min(many, 9) if many < 13 else 13
-    caps = len(s) > 6 and s.upper() == s and s.lower() != s
-    short = many <= 4
+    end = s[-1]
+    common = (
+        part, "first" if k == 0 else "last" if k == n - 1 else "inner", many if many < 10 else 9 if many < 13 else 13, min(known, 4), min(named, 3), len(s) > 6 and s.isupper(),
+        not before or before.rstrip()[-1:] in ".!?", "low" if after[:1].islower() else "up" if after else "none", "a" if end.isalpha() else "9" if end.isdigit() else end,
+    )
+    holder, index, top, number, folio = place
+    where = (holder, -1 if index is None else min(int(index), 3), -1 if top is None else int(top) // 125)
+    if many > 12:
+        return common
+    if many > 4:
+        return (*common, lead, where)
+    letters = "".join(_LETTERS.findall(s))
+    numbers = _DIGITS.findall(s)
+    signs = "".join(sorted(set(_SIGNS.sub("", s))))
+    kind = "none" if not letters else "rv" if letters.lower() in ("r", "v") else "page" if _PAGE.fullmatch(letters) else "other"
+    form = _LETTERS.sub("a", _DIGITS.sub("9", s)) if kind != "other" else kind
+    same = None
+    if len(numbers) == 1 and kind != "other":
+        same = (numbers[0] == str(number), bool(folio) and folio.strip("[]. ").lower() == s.strip("[]-—–. ").lower())
+    return (*common, lead, where, kind, form, signs, min(len(numbers), 3), same, (number is not None, bool(folio)))
+
+
+def line_features(shape: tuple) -> list[str]:
+    """Names of the features of a shape."""
+    part, where, size, known, named, caps, stop, following, end = shape[:9]
     out = [
-        f"n{size}", f"like {part} {size}", f"like {part} {where}", "at " + where, f"known {min(known, 4)} of {size}", f"named {min(named, 3)} {min(known, 4)}", f"caps {caps} {part}",
-        "after " + ("stop" if not before or before.rstrip()[-1:] in ".!?" else "open"), "next " + ("low" if after[:1].islower() else "up" if after else "none"), "end " + (s[-1] if not s[-1].isalnum() else "9" if s[-1].isdigit() else "a"),
-        f"lead {lower[0] if lower[0] in e.lexicon else '-'} {part == 'none'} {min(named, 2)}", f"lead {lower[0] in e.lexicon} {min(known, 4)} of {size} {part}",
+        f"n{size}", f"like {part} {size}", f"like {part} {where}", "at " + where, f"known {known} of {size}", f"named {named} {known}", f"caps {caps} {part}",
+        f"after {stop}", "next " + following, "end " + end,
     ]
-    if short:
-        letters = "".join(c for c in s if c.isalpha())
-        numbers = re.findall(r"\d+", s)
-        signs = "".join(sorted(set(re.sub(r"[\w\s]", "", s))))
-        kind = "none" if not letters else "rv" if letters.lower() in ("r", "v") else "page" if re.fullmatch(r"(?i)(?:fol|f|p|pag|s|bl)[rv]?", letters) else "other"
-        shape = re.sub(r"[^\W\d_]+", "a", re.sub(r"\d+", "9", s)) if kind != "other" else kind
-        out += ["letters " + kind, "signs " + signs[:4], f"num{min(len(numbers), 3)} {kind}", "shape " + shape, f"kind {kind} {min(len(numbers), 2)} {'plain' if not set(signs) - set('-—–[].') else 'odd'}", f"kind {kind} {where}"]
-        _, _, _, number, folio = place
-        if len(numbers) == 1 and kind != "other":
-            out.append(f"same {numbers[0] == str(number)} {bool(folio) and folio.strip('[]. ').lower() == s.strip('[]-—–. ').lower()}")
-        out += [f"{x} {kind}" for x in place_features(place)]
-    else:
-        out += [f"{x} {part}" for x in place_features(place)[:3]]
+    if len(shape) > 9:
+        lead, place = shape[9:11]
+        on_page = [place[0], f"index {place[1]}", f"top {place[2]}"]
+        out += [f"lead {lead} {part == 'none'} {min(named, 2)}", f"lead {lead != '-'} {known} of {size} {part}"]
+        if len(shape) == 11:
+            return out + [f"{x} {part}" for x in on_page]
+        kind, form, signs, numbers, same, given = shape[11:]
+        out += ["letters " + kind, "signs " + signs[:4], f"num{numbers} {kind}", "shape " + form, f"kind {kind} {min(numbers, 2)} {'plain' if not set(signs) - set('-—–[].') else 'odd'}", f"kind {kind} {where}"]
+        if same is not None:
+            out.append(f"same {same}")
+        out += [f"{x} {kind}" for x in [*on_page, f"given {given}"]]
     return out
 
 
@@ -314,12 +360,12 @@ def furniture_lines(e: Editor, lines: list[str], journal: str | None, place: tup
         if not line.strip():
             out.append("text")
             continue
-        fs = tuple(line_features(e, line, k, len(lines), lines[k - 1] if k else "", lines[k + 1] if k + 1 < len(lines) else "", names, place))
-        if fs not in e.shapes:
-            if len(e.shapes) > 200_000:
+        shape = line_shape(e, line, k, len(lines), lines[k - 1] if k else "", lines[k + 1] if k + 1 < len(lines) else "", names, place)
+        if shape not in e.shapes:
+            if len(e.shapes) > 400_000:
                 e.shapes.clear()
-            e.shapes[fs] = e.furniture.best(fs)
-        out.append(e.shapes[fs])
+            e.shapes[shape] = e.furniture.best(line_features(shape))
+        out.append(e.shapes[shape])
     return out
 
 
@@ -505,6 +551,7 @@ def _train_characters(lexicon: frozenset[str], texts: list[str]) -> tuple[Percep
 def _train_furniture(e: Editor, rows: list, texts: list[tuple[str, str, tuple]]) -> Perceptron:
     """The classifier of lines, from what titles and region types say."""
     rng, out, placed = random.Random(11), [], []
+    features = lambda *x, **y: line_features(line_shape(*x, **y))
     for t, journal, place in texts:
         lines, names = t.split("\n"), e.title_names(journal)
         for k, line in enumerate(lines):
@@ -515,9 +562,12 @@ def _train_furniture(e: Editor, rows: list, texts: list[tuple[str, str, tuple]])
             if header or not _NUMBER.match(line.strip()):
                 kind = "header" if header else "text"
                 for holder in (place, ("page", None, None, *place[3:])):
-                    out.append((line_features(e, line, k, len(lines), before, after, names, holder), kind))
+                    out.append((features(e, line, k, len(lines), before, after, names, holder), kind))
                 if header and rng.random() < HIDDEN:
-                    out.append((line_features(e, line, k, len(lines), before, after, names, place, hide=True), kind))
+                    out.append((features(e, line, k, len(lines), before, after, names, place, hide=True), kind))
+        if len(lines) > 1:  # running text without line breaks
+            for k, n in ((0, 1), (0, 3), (1, 3)):
+                out.append((features(e, " ".join(lines), k, n, "", "", names, place), "text"))
         for k in {0, len(lines) // 2, len(lines)}:
             placed.append((k, len(lines), lines[k - 1] if k else "", lines[k] if k < len(lines) else "", place))
     for r in rows:
@@ -532,14 +582,14 @@ def _train_furniture(e: Editor, rows: list, texts: list[tuple[str, str, tuple]])
             n = c.rstrip(".")
             forms += [f"- {n} -", f"— {n} —", f"p. {n}", n]
         for x in forms:
-            out.append((line_features(e, x, 0, 1, "", "", [], _place(r)), label))
+            out.append((features(e, x, 0, 1, "", "", [], _place(r)), label))
             for k, n, before, after, place in rng.sample(placed, min(3, len(placed))):
-                out.append((line_features(e, x, k, n + 1, before, after, [], place), label))
+                out.append((features(e, x, k, n + 1, before, after, [], place), label))
                 # on a page a field ends at a blank line
                 for up, down in ((before, ""), ("", after), ("", "")):
-                    out.append((line_features(e, x, k + 1, n + 3, up, down, [], ("page", None, None, *place[3:])), label))
+                    out.append((features(e, x, k + 1, n + 3, up, down, [], ("page", None, None, *place[3:])), label))
     # ends of measured values on a line of their own are text
-    out += [(line_features(e, f"{n}{end}", k, 3, "", "", []), "text") for n in (3, 14, 82) for end in ("'.", "°.", " °.", " '.", "½", "° R..") for k in (0, 1, 2)]
+    out += [(features(e, f"{n}{end}", k, 3, "", "", []), "text") for n in (3, 14, 82) for end in ("'.", "°.", " °.", " '.", "½", "° R..") for k in (0, 1, 2)]
     return Perceptron(["header", "page_number", "text"]).fit(out)
 
 
