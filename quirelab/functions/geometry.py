@@ -16,8 +16,8 @@ def pixels(bbox: Column, width: Column, height: Column) -> Column:
 
 def crop(box: Column, width: Column, height: Column, pad_px: int = 22, pad_share: float = 0.028) -> Column:
     """A pixel box grown by the larger of a fixed pad and a share of the side, within the image."""
-    pad_x = F.greatest(F.lit(pad_px), (width * pad_share).cast("int"))
-    pad_y = F.greatest(F.lit(pad_px), (height * pad_share).cast("int"))
+    pad_x = F.greatest(F.lit(pad_px), F.bround(width * pad_share).cast("int"))
+    pad_y = F.greatest(F.lit(pad_px), F.bround(height * pad_share).cast("int"))
     return F.when(box.isNotNull(), F.struct(
         F.greatest(F.lit(0), box["left"] - pad_x).alias("left"), F.greatest(F.lit(0), box["top"] - pad_y).alias("top"),
         F.least(width, box["right"] + pad_x).alias("right"), F.least(height, box["bottom"] + pad_y).alias("bottom"),

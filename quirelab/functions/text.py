@@ -158,10 +158,14 @@ def person_label(surname: Column, forename: Column, full: Column) -> Column:
     return F.coalesce(F.nullif(F.trim(full), F.lit("")), F.nullif(F.concat_ws(", ", F.nullif(F.trim(surname), F.lit("")), F.nullif(F.trim(forename), F.lit(""))), F.lit("")))
 
 
+def strip(c: Column) -> Column:
+    """Without blanks and line breaks at both ends."""
+    return F.regexp_replace(c, r"^[\s\x{A0}]+|[\s\x{A0}]+$", "")
+
+
 def preview(c: Column, width: int = 72) -> Column:
-    """First characters on one line, with an ellipsis when cut."""
-    s = squeeze(c)
-    return F.when(F.length(s) > width, F.concat(F.rtrim(F.substring(s, 1, width - 1)), F.lit("…"))).otherwise(s)
+    """The first characters as they are, without blanks around them."""
+    return strip(F.substring(c, 1, width))
 
 
 def wkt_point(c: Column) -> tuple[Column, Column]:

@@ -32,24 +32,30 @@ def annotations(regions: DataFrame) -> DataFrame:
 
 
 def merge(regions: DataFrame) -> DataFrame:
-    """region_id, template, markers, gaps, best: the locked skeleton of each region with several different readings.
+    """region_id, template, markers, gaps, best, defaults (majority of each gap): the locked skeleton of each region with several different readings.
 
     Regions on which all agree need no alignment and take the built-in path."""
     r = regions.filter("size(ensemble_readings) > 0").select("region_id", "ensemble_readings")
     kinds = F.array_distinct(F.filter("ensemble_readings", lambda x: F.trim(x) != ""))
     one = r.filter(F.size(kinds) == 1).select("region_id", F.trim(F.regexp_replace(kinds[0], r"[ \t]+", " ")).alias("best"))
-    one = one.select("region_id", F.col("best").alias("template"), F.lit("").alias("markers"), F.lit(0).alias("gaps"), "best")
-    many = r.filter(F.size(kinds) > 1).select("region_id", kernels.u_skeleton("ensemble_readings").alias("s")).select("region_id", "s.template", "s.markers", "s.gaps", "s.best")
+    one = one.select("region_id", F.col("best").alias("template"), F.lit("").alias("markers"), F.lit(0).alias("gaps"), "best", F.array().cast("array<string>").alias("defaults"))
+    many = r.filter(F.size(kinds) > 1).select("region_id", kernels.u_skeleton("ensemble_readings").alias("s")).select("region_id", "s.template", "s.markers", "s.gaps", "s.best", "s.defaults")
     return one.unionByName(many)
 
 
 def apply_choices(skeletons: DataFrame, choices: DataFrame) -> DataFrame:
-    """region_id, text: gaps filled from recorded answers (region_id, gap, chosen); best guess where none is recorded."""
-    chosen = choices.groupBy("region_id").agg(F.map_from_entries(F.collect_list(F.struct("gap", "chosen"))).alias("m"))
+    """region_id, text: gaps filled from recorded answers (region_id, gap, chosen); a gap without one takes its majority.
+
+    Of several answers to a gap the smallest counts; a null answer is none, `∅` an omission."""
+    one = choices.filter("chosen is not null").groupBy("region_id", "gap").agg(F.min("chosen").alias("chosen"))
+    chosen = one.groupBy("region_id").agg(F.map_from_entries(F.collect_list(F.struct("gap", "chosen"))).alias("m"))
     j = skeletons.join(chosen, "region_id", "left")
+    gap = r"^\[\[(M(\d+))\]\]$"
+    answer = lambda p: F.coalesce(F.try_element_at("m", F.regexp_extract(p, gap, 1)), F.try_element_at("defaults", F.regexp_extract(p, gap, 2).cast("int")), F.lit(""))
     pieces = F.split(F.col("template"), r"(?=\[\[M\d+\]\])|(?<=\]\])")
-    filled = F.transform(pieces, lambda p: F.when(p.rlike(r"^\[\[M\d+\]\]$"), F.coalesce(F.try_element_at("m", F.regexp_extract(p, r"M\d+", 0)), p)).otherwise(p))
-    return j.select("region_id", F.when(F.col("m").isNull(), F.col("best")).otherwise(F.trim(F.regexp_replace(F.array_join(filled, ""), "∅", ""))).alias("text"))
+    filled = F.transform(pieces, lambda p: F.when(p.rlike(gap), F.nullif(answer(p), F.lit("∅"))).otherwise(F.trim(p)))
+    text = F.regexp_replace(F.array_join(F.filter(filled, lambda p: p != ""), " "), r"[ \t]+", " ")
+    return j.select("region_id", F.trim(F.regexp_replace(text, r" *\n *", "\n")).alias("text"))
 
 
 def oracle(regions: DataFrame) -> DataFrame:

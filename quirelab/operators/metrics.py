@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import kernels
-from ..functions.text import metric_norm, norm_key
+from ..functions.text import metric_norm, notebook_norm
 
 #: Region types that are scored, and the error rate from which a match is taken to be wrong.
 SCORED = ("page_number", "entry_heading", "main_text", "marginal_note", "pasted_slip", "bibliographic_ref", "coordinates", "instrument_list", "calculation", "crossed_out", "catch_phrase")
@@ -68,11 +68,14 @@ def precision_recall(ours: DataFrame, theirs: DataFrame, *by: str) -> DataFrame:
     return both.withColumn("precision", F.round(p, 6)).withColumn("recall", F.round(r, 6)).withColumn("f1", F.round(F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(0.0), 6))
 
 
-def margin_recall(regions: DataFrame) -> DataFrame:
-    """page_id, found, n, recall: ground-truth margins of which one of the first five words stands in a margin of the page."""
-    margins = regions.filter("region_type = 'marginal_note'")
-    words = lambda c: F.filter(F.split(norm_key(F.col(c)), " "), lambda w: w != "")
-    have = margins.groupBy("page_id").agg(F.flatten(F.collect_list(words("content"))).alias("have"))
-    want = margins.filter("trim(ground_truth_content) <> ''").select("page_id", F.slice(words("ground_truth_content"), 1, 5).alias("want"))
-    j = want.join(have, "page_id", "left").groupBy("page_id").agg(F.count_if(F.arrays_overlap("want", "have")).alias("found"), F.count("*").alias("n"))
+def margin_recall(ours: DataFrame, truth: DataFrame) -> DataFrame:
+    """page_id, found, n, recall: margins (page_id, content) of the truth of which one of the first five words stands in a margin of ours.
+
+    Pages of `truth` without a margin have recall 0; words are those of the older evaluation."""
+    words = lambda c: F.filter(F.split(notebook_norm(F.col(c)), " "), lambda w: w != "")
+    margin = "region_type = 'marginal_note'"
+    have = ours.filter(margin).select("page_id", F.explode(words("content")).alias("w")).groupBy("page_id").agg(F.collect_set("w").alias("have"))
+    want = truth.select("page_id", F.expr(f"coalesce({margin}, false)").alias("is_margin"), F.slice(words("content"), 1, 5).alias("want"))
+    hit = F.col("is_margin") & F.coalesce(F.arrays_overlap("want", "have"), F.lit(False))
+    j = want.join(have, "page_id", "left").groupBy("page_id").agg(F.count_if(hit).alias("found"), F.count_if("is_margin").alias("n"))
     return j.withColumn("recall", F.round(F.col("found") / F.greatest("n", F.lit(1)), 6))

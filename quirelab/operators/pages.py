@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import geometry
-from ..functions.text import entry_numbers, folio_variants, norm_folio, preview, strip_editorial
+from ..functions.text import entry_numbers, folio_variants, norm_folio, preview, strip
 
 TABLE = "observation_table"
 
@@ -77,17 +77,22 @@ def other_boxes(regions: DataFrame) -> DataFrame:
 
 
 def contents(regions: DataFrame) -> DataFrame:
-    """page_id, heading: first heading of a page, else first main text, shortened."""
-    r = regions.filter(F.col("region_type").isin("entry_heading", "main_text") & (F.trim("content") != ""))
-    first = r.groupBy("page_id").agg(F.min_by(F.struct("content"), F.struct((F.col("region_type") != "entry_heading").cast("int"), "region_index", "region_id")).alias("f"))
-    return first.select("page_id", preview(strip_editorial(F.col("f.content"))).alias("heading"))
+    """page_id, heading: the first 72 characters of a page's first heading, else of its first main text, blanks around them removed; null if it has neither."""
+    r = regions.groupBy("page_id").agg(*[F.min_by(F.when((F.col("region_type") == t) & (F.col("content") != ""), F.col("content")), F.when((F.col("region_type") == t) & (F.col("content") != ""), F.struct("region_index", "region_id"))).alias(t) for t in ("entry_heading", "main_text")])
+    return r.select("page_id", F.coalesce(F.nullif(preview(F.col("entry_heading")), F.lit("")), F.replace(preview(F.col("main_text")), F.lit("\n"), F.lit(" "))).alias("heading"))
 
 
 def copy_text(regions: DataFrame) -> DataFrame:
-    """page_id, text: plain copy of a page with headings marked and margins labelled."""
-    p = _ordered(regions.filter("trim(content) <> '' and not coalesce(is_visual, false)"), "region_type", "content", "marginal_position")
-    line = lambda r: F.when(r["region_type"] == "entry_heading", F.concat(F.lit("=== "), r["content"], F.lit(" ==="))).when(r["region_type"] == "marginal_note", F.concat(F.lit("[margin "), F.coalesce(r["marginal_position"], F.lit("")), F.lit("] "), r["content"])).otherwise(r["content"])
-    return p.select("page_id", F.array_join(F.transform("rs", line), "\n").alias("text"))
+    """page_id, text: plain copy of a page in reading order; headings framed, margins and page numbers labelled, parts a blank line apart."""
+    box = F.col("bbox")
+    has = F.coalesce(F.size(box) == 4, F.lit(False))
+    r = regions.withColumn("content", strip(F.coalesce("content", F.lit("")))).filter("content <> ''")
+    shown = (
+        F.when(F.col("region_type") == "entry_heading", F.concat(F.lit("\n=== "), "content", F.lit(" ===\n"))).when(F.col("region_type") == "marginal_note", F.concat(F.lit("[margin "), F.coalesce("marginal_position", F.lit("")), F.lit("] "), "content"))
+        .when(F.col("region_type") == "page_number", F.concat(F.lit("[page_number] "), "content")).otherwise(F.col("content"))
+    )
+    parts = F.array_sort(F.collect_list(F.struct((~has).alias("boxless"), F.when(has, box[0]).alias("y"), F.when(has, box[1]).alias("x"), "region_index", "region_id", shown.alias("t"))))
+    return r.groupBy("page_id").agg(strip(F.array_join(F.transform(parts, lambda x: x["t"]), "\n\n")).alias("text"))
 
 
 def gt_lookup(pages: DataFrame, truth: DataFrame) -> DataFrame:

@@ -11,20 +11,24 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions.text import append_note, confidence
 
 # Accepted margin positions, writing layers and entity types.
-POSITIONS = ("left", "right", "top", "bottom", "opposite", "interlinear")
-LAYERS = ("main", "later", "pencil", "other_hand")
+POSITIONS = ("left", "right", "mTop", "mBottom", "opposite", "inline")
+#: Word in a free position text -> margin position; the first that occurs counts.
+SAID = (("left", "left"), ("right", "right"), ("top", "mTop"), ("bottom", "mBottom"), ("opposite", "opposite"), ("bleed", "opposite"))
+LAYERS = ("primary", "later_addition", "unknown")
+ANSWER_KEYS = ("matches", "regions", "results", "items", "data", "ground_truth", "mappings", "output")
 ENTITY_TYPES = ("Person", "Location", "Species", "Instrument", "Measurement", "Publication", "Indigenous_Group", "Celestial_Object")
 
 
 def clean_detections(detections: DataFrame) -> DataFrame:
     """page_id, region_index (renumbered), region_type, has_text, marginal_position, bbox from raw detections in order `ord`.
 
-    A missing margin position is read from the free position text, an unknown one is null; a margin of the
-    facing page has no text of its own."""
+    The position of a margin that has none (null or empty) is read from the free position text; a given one that
+    is not among POSITIONS becomes null, whatever the text says; the facing page's margin has no text of its own."""
     free = F.lower(F.coalesce("position", F.lit("")))
-    inferred = reduce(lambda rest, p: F.when(free.contains(p), p).otherwise(rest), reversed(POSITIONS), F.lit(None).cast("string"))
-    given = F.lower(F.trim("marginal_position"))
-    place = F.when(F.col("region_type") == "marginal_note", F.when(given.isin(*POSITIONS), given).otherwise(inferred))
+    given = F.col("marginal_position")
+    inferred = reduce(lambda rest, x: F.when(free.contains(x[0]), x[1]).otherwise(rest), reversed(SAID), given)
+    missing = given.isNull() | (given == "")
+    place = F.when(missing & (F.col("region_type") == "marginal_note"), inferred).when(missing | given.isin(*POSITIONS), given)
     w = W.partitionBy("page_id").orderBy("ord")
     d = detections.withColumn("marginal_position", place).withColumn("region_index", F.row_number().over(w) - 1)
     return d.withColumn("has_text", F.when(F.col("marginal_position") == "opposite", False).otherwise(F.coalesce("has_text", F.lit(True)))).select("page_id", "region_index", "region_type", "has_text", "marginal_position", "bbox")
@@ -38,34 +42,41 @@ def force_empty(d: DataFrame) -> Column:
 def collect_reads(detections: DataFrame, *reads: DataFrame) -> DataFrame:
     """page_id, region_index, candidates: one reading per source in order; missing ones are ''.
 
-    Each source has page_id, region_index, content; of repeats the first counts, unknown regions are ignored."""
+    Each source has page_id, region_index, content and, where regions repeat, ord: the first by it counts (without
+    it the smallest text); unknown regions are ignored."""
     out = detections.select("page_id", "region_index", force_empty(detections).alias("empty"))
     names = []
     for i, r in enumerate(reads):
-        one = r.groupBy("page_id", "region_index").agg(F.first("content", ignorenulls=True).alias(f"_{i}"))
+        first = F.min_by("content", "ord") if "ord" in r.columns else F.min("content")
+        one = r.filter("content is not null").groupBy("page_id", "region_index").agg(first.alias(f"_{i}"))
         out = out.join(one, ["page_id", "region_index"], "left")
         names.append(F.when(F.col("empty"), "").otherwise(F.coalesce(f"_{i}", F.lit(""))))
     return out.select("page_id", "region_index", F.array(*names).alias("candidates"))
 
 
 def apply_layout(regions: DataFrame, decisions: DataFrame) -> DataFrame:
-    """Regions after layout decisions (page_id, region_index, drop, duplicate_of, new_languages, new_layer, note, ord).
+    """Regions (all their columns, issue, severity) after layout decisions (page_id, region_index, drop, duplicate_of, new_languages, new_layer, note, ord).
 
     The last decision of a region counts. Dropped and duplicate regions are emptied and noted; others take
-    languages, layer and note; wording is never changed and the earlier content is kept."""
-    last = decisions.groupBy("page_id", "region_index").agg(F.max_by(F.struct("drop", "duplicate_of", "new_languages", "new_layer", "note"), "ord").alias("d"))
+    languages, layer and note; wording is never changed and the earlier content is kept. Emptied regions have no
+    uncertain readings."""
+    last = decisions.groupBy("page_id", "region_index").agg(F.max_by(F.struct("drop", "duplicate_of", "new_languages", "new_layer", "note"), "ord").alias("_d"))
     j = regions.join(last, ["page_id", "region_index"], "left")
-    dup = F.coalesce(F.col("d.duplicate_of") != F.col("region_index"), F.lit(False))
-    gone = F.coalesce("d.drop", F.lit(False)) | dup
-    why = F.when(dup, F.concat(F.lit("Duplicate of region "), F.col("d.duplicate_of").cast("string"), F.lit(" — removed here."))).when(gone, "Dropped by layout pass (not this region's text).")
-    note = append_note(F.when(gone, append_note(F.col("editorial_note"), why)).otherwise(F.col("editorial_note")), F.trim("d.note"))
-    layer = F.when(~gone & F.trim("d.new_layer").isin(*LAYERS), F.trim("d.new_layer")).otherwise(F.col("writing_layer"))
-    languages = F.when(~gone & (F.size("d.new_languages") > 0), F.col("d.new_languages")).otherwise(F.col("languages"))
-    issue = F.when(dup, "duplicate_text").when(gone, "dropped_region").when(F.trim("d.note") != "", "editorial_note")
-    return j.select(
-        "region_id", "page_id", "region_index", F.when(gone, "").otherwise(F.col("content")).alias("content"), F.coalesce("content_pre_consistency", "content").alias("content_pre_consistency"),
-        languages.alias("languages"), layer.alias("writing_layer"), note.alias("editorial_note"), issue.alias("issue"),
-    )
+    d = F.col("_d")
+    dup = F.coalesce(d["duplicate_of"] != F.col("region_index"), F.lit(False))
+    gone = F.coalesce(d["drop"], F.lit(False)) | dup
+    why = F.when(dup, F.concat(F.lit("Duplicate of region "), d["duplicate_of"].cast("string"), F.lit(" — removed here."))).when(gone, "Dropped by layout pass (not this region's text).")
+    note = append_note(F.when(gone, append_note(F.col("editorial_note"), why)).otherwise(F.col("editorial_note")), F.trim(d["note"]))
+    layer = F.when(~gone & F.trim(d["new_layer"]).isin(*LAYERS), F.trim(d["new_layer"])).otherwise(F.col("writing_layer"))
+    languages = F.when(~gone & (F.size(d["new_languages"]) > 0), d["new_languages"]).otherwise(F.col("languages"))
+    issue = F.when(dup, "duplicate_text").when(gone, "dropped_region").when(F.trim(d["note"]) != "", "editorial_note")
+    new = {
+        "content": F.when(gone, "").otherwise(F.col("content")), "content_pre_consistency": F.coalesce("content_pre_consistency", "content"),
+        "languages": languages, "writing_layer": layer, "editorial_note": note, "issue": issue, "severity": F.when(issue.isNotNull(), "warning"),
+    }
+    if "uncertain_readings" in regions.columns:
+        new["uncertain_readings"] = F.when(gone, F.array().cast("array<string>")).otherwise(F.col("uncertain_readings"))
+    return j.select(*[F.col(c) for c in regions.columns if c not in new], *[x.alias(c) for c, x in new.items()])
 
 
 def duplicate_decisions(regions: DataFrame) -> DataFrame:
@@ -90,8 +101,10 @@ def names_to_resolve(mentions: DataFrame, cache: DataFrame) -> DataFrame:
 
 
 def resolve_places(names: DataFrame, *gazetteers: DataFrame) -> DataFrame:
-    """name, lat, lon, source, found: the first gazetteer (name, lat, lon, source) that has a name; misses are kept as such."""
-    every = [g.groupBy("name").agg(F.first(F.struct("lat", "lon", "source")).alias("p")).withColumn("stage", F.lit(i)) for i, g in enumerate(gazetteers)]
+    """name, lat, lon, source, found: the first gazetteer (name, lat, lon, source) that has a name; misses are kept as such.
+
+    Of several entries of a name the first by source, then latitude and longitude counts."""
+    every = [g.groupBy("name").agg(F.min_by(F.struct("lat", "lon", "source"), F.struct("source", "lat", "lon")).alias("p")).withColumn("stage", F.lit(i)) for i, g in enumerate(gazetteers)]
     best = reduce(DataFrame.unionByName, every).groupBy("name").agg(F.min_by("p", "stage").alias("p"))
     return names.select("name").distinct().join(best, "name", "left").select("name", "p.lat", "p.lon", "p.source", F.col("p").isNotNull().alias("found"))
 
@@ -114,10 +127,15 @@ def centroid(places: DataFrame) -> DataFrame:
 
 
 def list_answer(raw: Column) -> Column:
-    """A model's list as array of JSON texts, also when wrapped in an object under a known key or given as one object."""
+    """A model's list as array of JSON texts, also when an object holds it.
+
+    Of an object: the list under the first known key that has one, else the first list that is empty or begins with
+    an object, else the object itself if it has a region_index. Anything else is the empty list."""
     v = F.try_parse_json(raw)
-    keys = ("regions", "matches", "entities", "results", "items", "data", "locations", "answers")
     as_list = lambda x: F.try_variant_get(x, "$", "array<variant>")
-    wrapped = F.coalesce(*[F.try_variant_get(v, f"$.{k}", "array<variant>") for k in keys])
-    single = F.when(F.schema_of_variant(v).startswith("OBJECT"), F.array(v))
-    return F.transform(F.coalesce(as_list(v), wrapped, single, F.array().cast("array<variant>")), lambda x: F.to_json(x))
+    known = F.coalesce(*[F.try_variant_get(v, f"$.{k}", "array<variant>") for k in ANSWER_KEYS])
+    # the order of keys is that of the text
+    fields = F.map_values(F.from_json(F.when(v.isNotNull() & raw.rlike(r"^\s*\{"), raw), "map<string,string>"))
+    any_list = as_list(F.try_parse_json(F.get(F.filter(fields, lambda x: x.rlike(r"^\s*\[\s*(\{|\])")), 0)))
+    single = F.when(F.try_variant_get(v, "$.region_index", "variant").isNotNull(), F.array(v))
+    return F.transform(F.coalesce(as_list(v), known, any_list, single, F.array().cast("array<variant>")), lambda x: F.to_json(x))

@@ -16,9 +16,13 @@ KEYS = {"mentions": "mention_id", "regions": "region_id", "pages": "page_id", "p
 EMPTY = "cast([] as varchar[])"
 
 
-def once(spark, d, name, *columns):
-    """Rows of a table, each record once, with only the columns asked for."""
+def once(spark, d, name, *columns, where=None):
+    """Rows of a table, each record once, with only the columns asked for.
+
+    Records sent again are equal, so `where` is applied before repeats are removed and reaches the scan."""
     t = table(spark, d, name)
+    if where is not None:
+        t = t.filter(where)
     return (t.select(*columns) if columns else t.drop("received_at")).dropDuplicates([KEYS[name]])
 
 
@@ -92,9 +96,6 @@ def register_index(s, d):
     return linking.register_keys(_register(s, d)).select("kind", "k", F.array_join("ids", ",").alias("ids"), "n")
 
 
-_AMBIGUOUS = "mention_id"
-
-
 # -- audit: scores vary so that weak links exist -------------------------------------------------------------------
 
 
@@ -112,7 +113,9 @@ def normalization_conflicts(s, d):
 
 
 def link_conflicts(s, d):
-    return audit.link_conflicts(_linked(s, d)).select("entity_type", "form", F.array_join("linked_ids", ",").alias("ids"))
+    """Standard forms cut down to their last word, so that one form can have several entries."""
+    last = F.element_at(F.split(F.trim(F.coalesce(F.nullif(F.trim("normalized_form"), F.lit("")), "text")), " "), -1)
+    return audit.link_conflicts(_linked(s, d).withColumn("normalized_form", last)).select("entity_type", "form", F.array_join("linked_ids", ",").alias("ids"))
 
 
 def ambiguous_links(s, d):
@@ -169,8 +172,13 @@ def folio_keys(s, d):
     return p.select("page_id", folio_label(F.col("image_filename")).alias("label"), page_sort_key(F.col("image_filename")).alias("sort_key"), F.array_join(folio_variants(F.col("folio_label")), ",").alias("variants"))
 
 
-def _regions(s, d):
-    return once(s, d, "regions")
+def _regions(s, d, where=None):
+    return once(s, d, "regions", where=where)
+
+
+READ = "size(ensemble_readings) > 0"
+BOXED = "size(bbox) = 4"
+WITH_TRUTH = "trim(ground_truth_content) <> ''"
 
 
 def page_text(s, d):
@@ -186,7 +194,7 @@ def entry_numbers(s, d):
 
 
 def table_text(s, d):
-    return pages.table_text(_regions(s, d))
+    return pages.table_text(_regions(s, d, "table_data is not null"))
 
 
 def reading_order(s, d):
@@ -194,15 +202,15 @@ def reading_order(s, d):
 
 
 def rectangles(s, d):
-    return pages.rectangles(_regions(s, d))
+    return pages.rectangles(_regions(s, d, BOXED))
 
 
 def crop_boxes(s, d):
-    return pages.crops(_regions(s, d))
+    return pages.crops(_regions(s, d, BOXED), 2950, 4130)
 
 
 def mask_boxes(s, d):
-    return pages.other_boxes(_regions(s, d)).groupBy("region_id").agg(F.count("*").alias("others"))
+    return pages.other_boxes(_regions(s, d, BOXED)).groupBy("region_id").agg(F.count("*").alias("others"))
 
 
 def contents(s, d):
@@ -215,7 +223,7 @@ def page_copy(s, d):
 
 def gt_lookup(s, d):
     p = once(s, d, "pages", "page_id", "journal_id", "folio_label")
-    truth = p.join(_regions(s, d).filter("trim(ground_truth_content) <> ''").select("page_id").distinct(), "page_id")
+    truth = p.join(table(s, d, "regions").filter(WITH_TRUTH).select("page_id").distinct(), "page_id")
     return pages.gt_lookup(p, truth)
 
 
@@ -241,19 +249,19 @@ def type_runs(s, d):
 
 
 def majority_reading(s, d):
-    return ensemble.majority(_regions(s, d))
+    return ensemble.majority(_regions(s, d, READ))
 
 
 def reading_votes(s, d):
-    return ensemble.annotations(_regions(s, d))
+    return ensemble.annotations(_regions(s, d, READ))
 
 
 def merged_readings(s, d):
-    return ensemble.merge(spread(_regions(s, d)))
+    return ensemble.merge(spread(_regions(s, d, READ)))
 
 
 def oracle_readings(s, d):
-    return ensemble.oracle(_regions(s, d))
+    return ensemble.oracle(_regions(s, d, f"{READ} and {WITH_TRUTH}"))
 
 
 def label_union(s, d):
@@ -261,62 +269,63 @@ def label_union(s, d):
 
 
 def aligned_truth(s, d):
-    r = _regions(s, d)
-    return ground_truth.align(r, ground_truth.truth_blocks(r))
+    return ground_truth.align(_regions(s, d), ground_truth.truth_blocks(_regions(s, d, WITH_TRUTH)))
 
 
 def filled_truth(s, d):
     r = _regions(s, d)
-    return ground_truth.fill(r, ground_truth.align(r, ground_truth.truth_blocks(r)))
+    return ground_truth.fill(r, ground_truth.align(r, ground_truth.truth_blocks(_regions(s, d, WITH_TRUTH))))
 
 
 def truth_entities(s, d):
-    return ground_truth.attach_entities(_regions(s, d), _mentions(s, d))
+    """The text of a region stands for its ground truth where it has none, so that there is something to find."""
+    r = _regions(s, d, "content is not null").withColumn("ground_truth_content", F.coalesce(F.nullif(F.trim("ground_truth_content"), F.lit("")), "content"))
+    return ground_truth.attach_entities(r, once(s, d, "mentions", "mention_id", "page_id", "text"))
 
 
 def canonical_truth(s, d):
-    return ground_truth.canonical_text(_regions(s, d))
+    return ground_truth.canonical_text(_regions(s, d, WITH_TRUTH))
 
 
 def snapped_truth(s, d):
     """Readings of regions with ground truth on the page, cut verbatim from the page's truth."""
-    r = _regions(s, d)
-    c = ground_truth.canonical_text(r)
-    return r.filter("trim(content) <> ''").select("page_id", "region_id", "content").join(c, "page_id").select("region_id", kernels.u_snap("content", "canonical").alias("snapped"))
+    r = _regions(s, d, "trim(content) <> ''")
+    c = ground_truth.canonical_text(_regions(s, d, WITH_TRUTH))
+    return r.select("page_id", "region_id", "content").join(c, "page_id").select("region_id", kernels.u_snap("content", "canonical").alias("snapped"))
 
 
 def truth_diff(s, d):
-    r = metrics.scorable(_regions(s, d))
+    r = metrics.scorable(_regions(s, d, WITH_TRUTH))
     return r.select("region_id", F.explode(kernels.u_diff("content", "ground_truth_content")).alias("x")).groupBy("region_id", "x.op").agg(F.count("*").alias("n"))
 
 
 def entity_spans(s, d):
     m = _mentions(s, d).groupBy("page_id").agg(F.collect_set("text").alias("names"))
-    r = _regions(s, d).select("page_id", "region_id", "content").filter("content is not null")
+    r = once(s, d, "regions", "page_id", "region_id", "content", where="content is not null")
     return r.join(m, "page_id").select("region_id", F.explode(kernels.u_spans("content", "names")).alias("x")).select("region_id", "x.*")
 
 
 def error_rates(s, d):
-    return metrics.page_scores(_regions(s, d)).withColumn("cer", F.round("cer", 6)).withColumn("wer", F.round("wer", 6))
+    return metrics.page_scores(_regions(s, d, WITH_TRUTH)).withColumn("cer", F.round("cer", 6)).withColumn("wer", F.round("wer", 6))
 
 
 def book_error_rates(s, d):
-    p = metrics.page_scores(_regions(s, d)).join(once(s, d, "pages", "page_id", "journal_id"), "page_id")
+    p = metrics.page_scores(_regions(s, d, WITH_TRUTH)).join(once(s, d, "pages", "page_id", "journal_id"), "page_id")
     return metrics.book_scores(p, "journal_id").withColumn("cer", F.round("cer", 6)).withColumn("wer", F.round("wer", 6))
 
 
 def run_error_rates(s, d):
-    p = metrics.page_scores(_regions(s, d)).join(once(s, d, "pages", "page_id", "run_id"), "page_id")
+    p = metrics.page_scores(_regions(s, d, WITH_TRUTH)).join(once(s, d, "pages", "page_id", "run_id"), "page_id")
     return metrics.spread_over_runs(metrics.book_scores(p, "run_id"), "cer")
 
 
 def run_spread(s, d):
-    r = _regions(s, d).filter("ground_truth_confidence is not null")
+    r = _regions(s, d, "ground_truth_confidence is not null")
     return metrics.spread_over_runs(r.groupBy("run_id", "region_type").agg(F.avg("ground_truth_confidence").alias("v")), "v", "region_type")
 
 
 def confidence_quartiles(s, d):
-    return metrics.quartiles(_regions(s, d).filter("ground_truth_confidence is not null"), "ground_truth_confidence", "region_type")
+    return metrics.quartiles(_regions(s, d, "ground_truth_confidence is not null"), "ground_truth_confidence", "region_type")
 
 
 def entity_scores(s, d):
@@ -327,7 +336,9 @@ def entity_scores(s, d):
 
 
 def margin_recall(s, d):
-    return metrics.margin_recall(_regions(s, d))
+    """The text before the layout pass against the text after it."""
+    r = once(s, d, "regions", "region_id", "page_id", "region_type", "content", "content_pre_consistency")
+    return metrics.margin_recall(r.select("page_id", "region_type", F.col("content_pre_consistency").alias("content")), r.select("page_id", "region_type", "content"))
 
 
 # -- stages --------------------------------------------------------------------------------------------------------
@@ -335,11 +346,17 @@ def margin_recall(s, d):
 
 def layout_duplicates(s, d):
     r = _regions(s, d)
-    return stages.apply_layout(r, stages.duplicate_decisions(r)).select("region_id", "content", "editorial_note", "issue")
+    return stages.apply_layout(r, stages.duplicate_decisions(r)).select("region_id", "region_type", "content", "editorial_note", "issue", "severity", F.coalesce(F.size("uncertain_readings"), F.lit(0)).alias("uncertain"))
+
+
+#: Position texts and given positions by region_id, so that missing, invalid and contradicting ones occur.
+_SAID = F.get(F.array(*map(F.lit, ("Left margin", "top left", "upper edge, at the TOP", "bottom", "bleed-through", "opposite page", "interlinear", ""))), (F.col("region_id") % 8).cast("int"))
+_GIVEN = F.when(F.col("region_id") % 3 == 0, F.get(F.array(*map(F.lit, ("top", "mTop", "inline", "Left", "opposite", " ", ""))), (F.col("region_id") % 7).cast("int"))).when(F.col("region_id") % 3 == 1, F.col("marginal_position"))
 
 
 def detections(s, d):
-    r = _regions(s, d).select("page_id", F.col("region_index").alias("i"), "region_id", "region_type", F.col("content").isNotNull().alias("has_text"), F.lit("left margin").alias("position"), "marginal_position", "bbox")
+    """Detections with the kinds of positions that models answer."""
+    r = _regions(s, d).select("page_id", F.col("region_index").alias("i"), "region_id", "region_type", F.col("content").isNotNull().alias("has_text"), _SAID.alias("position"), _GIVEN.alias("marginal_position"), "bbox")
     raw = r.withColumn("ord", F.struct("i", "region_id"))
     return stages.clean_detections(raw).select("page_id", "region_index", "region_type", "has_text", "marginal_position")
 
@@ -372,7 +389,10 @@ def json_answers(s, d):
 
 
 def repaired_json(s, d):
-    return once(s, d, "page_records", "record_id", "payload").select("record_id", kernels.u_repair_json("payload").alias("json"))
+    """What parses is taken as it is by built-ins; only the rest goes to Python."""
+    r = once(s, d, "page_records", "record_id", "payload").withColumn("ok", F.try_parse_json("payload"))
+    good = r.filter("ok is not null").select("record_id", F.to_json("ok").alias("json"))
+    return good.unionByName(r.filter("ok is null").select("record_id", kernels.u_repair_json("payload").alias("json")))
 
 
 def event_props(s, d):
@@ -403,7 +423,7 @@ def register_counts(s, d):
 
 
 def word_search(s, d):
-    return reports.search(_regions(s, d), "Barometer")
+    return reports.search(_regions(s, d, "lower(content) like '%barometer%'"), "Barometer")
 
 
 def authorities(s, d):
@@ -457,6 +477,21 @@ _NUMBER = f"regexp_extract({_BARE}, '^0*(\\d+[rv]?)$', 1)"
 _TRUTH = "trim(ground_truth_content) <> ''"
 
 
+#: Entry numbers of a page in reading order: numbers of headings, and the marks that begin main text.
+_ENTRY_SQL = """l as (select page_id, o, region_type = 'entry_heading' head, case when region_type <> 'entry_heading' then list_filter([nullif(regexp_extract(trim(coalesce(content, '')), '^(\\d{1,3})\\)', 1), '')], lambda z: z is not null)
+    when len(f) = 2 and try_cast(f[1] as bigint) is not null and try_cast(f[2] as bigint) is not null then list_transform(range(try_cast(f[1] as bigint), try_cast(f[2] as bigint) + 1), lambda z: z::varchar) else f end l from (select *, regexp_extract_all(coalesce(content, ''), '(\\d+)') f from r)),
+  n as (select page_id, o, head, unnest(l) num, generate_subscripts(l, 1) k from l),
+  x as (select page_id, string_agg(num, ',' order by o, k) numbers from n a where head or not exists (select 1 from n b where b.page_id = a.page_id and b.o < a.o and b.num = a.num) group by 1)"""
+
+
+def _strip(x):
+    return f"regexp_replace({x}, '^[\\s\\x{{A0}}]+|[\\s\\x{{A0}}]+$', '', 'g')"
+
+
+def _legacy(c):
+    return f"trim(regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(coalesce({c}, ''),'~~.*?~~','','g'),'\\[\\?\\]|\\[\\.\\.\\.\\]|</?u>','','g'),'\\[([^\\]]*)\\]','\\1','g'),'[^\\p{{L}}\\p{{N}}_\\s]',' ','g')),'\\s+',' ','g'))"
+
+
 def oracle_sql():
     y = f"with {_SCORED_SQL} "
     return {
@@ -465,7 +500,7 @@ def oracle_sql():
         "link_exact": f"with {_LINK_SQL} select mention_id, ids[1] ehd_id, method, matched_on from l where ids is not null",
         "register_index": f"with {_KEYS_SQL} select kind, k, array_to_string(ids, ',') ids, len(ids)::int n from rk",
         "normalization_conflicts": y + f"select entity_type, norm_text, surface_form, array_to_string(f, '|') forms, {_pages_text('pg')} pages from ({_NC})",
-        "link_conflicts": y + f"select entity_type, form, array_to_string(f, ',') ids from ({_LC})",
+        "link_conflicts": f"with {_LINK_SQL}, y as (select * replace (str_split(trim(coalesce(nullif(trim(normalized_form), ''), text)), ' ')[-1] as normalized_form) from x) select entity_type, form, array_to_string(f, ',') ids from ({_LC})",
         "ambiguous_links": y + f"select entity_type, norm_text, ehd_id, surface_form, link_method, {_pages_text('pg')} pages from ({_AL})",
         "variant_merges": y + f"select entity_type, ehd_id, array_to_string(f, '|') forms from ({_VM})",
         "species_conflicts": y + f"select entity_type, epithet, array_to_string(f, '|') forms from ({_SC})",
@@ -478,6 +513,22 @@ def oracle_sql():
           from (select page_id, coalesce(nullif(regexp_extract(image_filename, '__(\\d+[rvRV]?)\\.\\w+$', 1), ''), nullif(regexp_extract(image_filename, '(\\d+)\\.\\w+$', 1), ''), image_filename) as label, {_FOLIO} a, {_BARE} b, {_NUMBER} c from {P})""",
         "page_text": f"select page_id, coalesce(string_agg(t, chr(10) || chr(10) order by region_index, region_id, i), '') full_text from (select page_id from {R} group by 1) left join (select page_id, region_index, region_id, unnest(parts) t, generate_subscripts(parts, 1) i from ({_PARTS})) using (page_id) group by 1",
         "region_languages": f"select page_id, coalesce(array_to_string(list_sort(list(distinct l) filter (l is not null and l <> '')), ','), '') languages from (select page_id from {R}) left join (select page_id, unnest(languages) l from {R}) using (page_id) group by 1",
+        "entry_numbers": f"""with r as (select page_id, region_index, region_id, region_type, content, row_number() over (partition by page_id order by region_index, region_id) o from {R} where region_type in ('entry_heading', 'main_text')), {_ENTRY_SQL}
+          select p.page_id, coalesce(x.numbers, '') numbers from (select distinct page_id from r) p left join x using (page_id)""",
+        "crop_boxes": f"""with b as (select region_id, round_even(least(bbox[2], bbox[4]) / 1000 * 2950, 0)::int l, round_even(greatest(bbox[2], bbox[4]) / 1000 * 2950, 0)::int r, round_even(least(bbox[1], bbox[3]) / 1000 * 4130, 0)::int t, round_even(greatest(bbox[1], bbox[3]) / 1000 * 4130, 0)::int u from {R} where len(bbox) = 4)
+          select region_id, greatest(0, l - 83) as "left", greatest(0, t - 116) as top, least(2950, r + 83) as "right", least(4130, u + 116) as bottom from b where r > l and u > t""",
+        "contents": f"""with f as (select page_id, arg_min(content, (region_index, region_id)) filter (region_type = 'entry_heading' and content <> '') h, arg_min(content, (region_index, region_id)) filter (region_type = 'main_text' and content <> '') m from {R} group by 1)
+          select page_id, coalesce(nullif({_strip('substring(h, 1, 72)')}, ''), replace({_strip('substring(m, 1, 72)')}, chr(10), ' ')) heading from f""",
+        "page_copy": f"""with c as (select page_id, region_type, marginal_position, region_index, region_id, bbox, coalesce(len(bbox) = 4, false) has, {_strip("coalesce(content, '')")} t from {R}),
+          s as (select *, case region_type when 'entry_heading' then chr(10) || '=== ' || t || ' ===' || chr(10) when 'marginal_note' then '[margin ' || coalesce(marginal_position, '') || '] ' || t when 'page_number' then '[page_number] ' || t else t end shown from c where t <> '')
+          select page_id, {_strip("string_agg(shown, chr(10) || chr(10) order by not has, case when has then bbox[1] end nulls first, case when has then bbox[2] end nulls first, region_index, region_id)")} as text from s group by 1""",
+        "margin_recall": f"""with w as (select page_id, region_type = 'marginal_note' is_margin, list_filter(str_split({_legacy('content')}, ' '), lambda z: z <> '')[1:5] want from {R}),
+          h as (select page_id, list(distinct z) have from (select page_id, unnest(str_split({_legacy('content_pre_consistency')}, ' ')) z from {R} where region_type = 'marginal_note') where z <> '' group by 1),
+          j as (select page_id, count(*) filter (is_margin and coalesce(list_has_any(want, have), false)) found, count(*) filter (is_margin) n from w left join h using (page_id) group by 1)
+          select page_id, found, n, round(found / greatest(n, 1), 6) recall from j""",
+        "json_answers": f"""with p as (select record_id, case when json_valid(payload) then payload::json end j from (select distinct on (record_id) record_id, payload from page_records)),
+          k as (select *, coalesce({', '.join(f"case when json_type(j, '$.{key}') = 'ARRAY' then json_array_length(j, '$.{key}') end" for key in stages.ANSWER_KEYS)}) known from p)
+          select record_id, coalesce(case when json_type(j) = 'ARRAY' then json_array_length(j) when json_type(j) = 'OBJECT' then coalesce(known, (select json_array_length(x) from (select unnest(list_transform(json_keys(j), lambda q: json_extract(j, '$."' || q || '"'))) x) where json_type(x) = 'ARRAY' and (json_array_length(x) = 0 or json_type(x, '$[0]') = 'OBJECT') limit 1), case when json_type(j, '$.region_index') <> 'NULL' then 1 end) end, 0)::int as items from k""",
         "table_text": f"select region_id, coalesce(array_to_string(list_transform(table_data.cells, lambda w: coalesce(array_to_string(list_transform(w, lambda c: coalesce(c, '')), '  '), '')), chr(10)), '') flat from {R} where table_data is not null",
         "reading_order": f"select region_id, page_id, row_number() over (partition by page_id order by case when len(bbox) = 4 then 0 else 1 end, case when len(bbox) = 4 then bbox[1] end nulls last, case when len(bbox) = 4 then bbox[2] end nulls last, region_index, region_id)::int as position from {R}",
         "rectangles": f'select region_id, round(least(bbox[2], bbox[4]) / 10, 4) as "left", round(least(bbox[1], bbox[3]) / 10, 4) top, round(greatest(abs(bbox[4] - bbox[2]) / 10, 0.4), 4) width, round(greatest(abs(bbox[3] - bbox[1]) / 10, 0.4), 4) height from {R} where len(bbox) = 4',
@@ -490,15 +541,19 @@ def oracle_sql():
         "majority_reading": f"with {_VOTES} select region_id, arg_max(reading, (n, length(reading), -first)) reading from v group by 1",
         "reading_votes": f"with {_VOTES} select region_id, string_agg(reading || ' (×' || n || ')', ' | ' order by n desc, length(reading) desc, first) votes from v group by 1",
         "label_union": f"select r.region_id, coalesce(x.l, '') languages from {R} r left join (select region_id, string_agg(l, ',' order by i) l from (select region_id, l, min(i) i from (select region_id, unnest(languages) l, generate_subscripts(languages, 1) i from {R}) where l is not null group by 1, 2) group by 1) x using (region_id)",
-        "truth_entities": f"select r.region_id, m.mention_id from {R} r join {M} m on r.page_id = m.page_id and m.text <> '' and contains(r.ground_truth_content, m.text)",
+        "truth_entities": f"select r.region_id, m.mention_id from (select region_id, page_id, coalesce(nullif(trim(ground_truth_content), ''), content) g from {R} where content is not null) r join {M} m on r.page_id = m.page_id and m.text <> '' and contains(r.g, m.text)",
         "canonical_truth": f"select page_id, string_agg(ground_truth_content, chr(10) order by region_index, ground_truth_content) canonical from {R} where {_TRUTH} group by 1",
         "run_spread": f"select region_type, count(v) n, round(avg(v), 6) mean, round(coalesce(stddev_pop(v), 0), 6) std from (select run_id, region_type, avg(ground_truth_confidence) v from {R} where ground_truth_confidence is not null group by 1, 2) group by 1",
         "confidence_quartiles": f"select region_type, round(quantile_cont(c, 0.0), 6) low, round(quantile_cont(c, 0.25), 6) q1, round(quantile_cont(c, 0.5), 6) median, round(quantile_cont(c, 0.75), 6) q3, round(quantile_cont(c, 1.0), 6) high from (select region_type, ground_truth_confidence c from {R} where ground_truth_confidence is not null) group by 1",
         "entity_scores": f"""with a as (select distinct journal_id, {_nk('text')} nm, entity_type from {M}), b as (select distinct journal_id, {_nk('normalized_form')} nm, entity_type from {M}), j as (select coalesce(a.journal_id, b.journal_id) journal_id, a.nm x, b.nm z from (select * from a where nm <> '') a full join (select * from b where nm <> '') b on a.journal_id = b.journal_id and a.nm = b.nm and a.entity_type = b.entity_type),
           c as (select journal_id, count_if(x is not null and z is not null) tp, count_if(z is null) fp, count_if(x is null) fn from j group by 1) select journal_id, tp, fp, fn, round(tp / greatest(tp + fp, 1), 6) as precision, round(tp / greatest(tp + fn, 1), 6) recall, round(case when tp > 0 then 2.0 * (tp / greatest(tp + fp, 1)) * (tp / greatest(tp + fn, 1)) / (tp / greatest(tp + fp, 1) + tp / greatest(tp + fn, 1)) else 0 end, 6) f1 from c""",
         "layout_duplicates": f"""with w as (select region_id, region_index, first_value(region_index) over q of, row_number() over q n from {R} where trim(content) <> '' and not coalesce(is_visual, false) window q as (partition by page_id, content order by region_index, region_id)), dd as (select * from w where n > 1 and of <> region_index)
-          select r.region_id, case when dd.region_id is not null then '' else r.content end as content, case when dd.region_id is null then r.editorial_note when r.editorial_note is null or r.editorial_note = '' then 'Duplicate of region ' || of || ' — removed here.' when contains(r.editorial_note, 'Duplicate of region ' || of || ' — removed here.') then r.editorial_note else r.editorial_note || ' | Duplicate of region ' || of || ' — removed here.' end editorial_note, case when dd.region_id is not null then 'duplicate_text' end issue from {R} r left join dd using (region_id)""",
-        "detections": f"select page_id, (row_number() over (partition by page_id order by region_index, region_id) - 1)::int region_index, region_type, case when mp = 'opposite' then false else t end has_text, mp as marginal_position from (select page_id, region_index, region_id, region_type, content is not null t, case when region_type = 'marginal_note' then case when lower(trim(marginal_position)) in ('left','right','top','bottom','opposite','interlinear') then lower(trim(marginal_position)) else 'left' end end mp from {R})",
+          select r.region_id, r.region_type, case when dd.region_id is not null then '' else r.content end as content, case when dd.region_id is null then r.editorial_note when r.editorial_note is null or r.editorial_note = '' then 'Duplicate of region ' || of || ' — removed here.' when contains(r.editorial_note, 'Duplicate of region ' || of || ' — removed here.') then r.editorial_note else r.editorial_note || ' | Duplicate of region ' || of || ' — removed here.' end editorial_note, case when dd.region_id is not null then 'duplicate_text' end issue,
+          case when dd.region_id is not null then 'warning' end severity, case when dd.region_id is not null then 0 else coalesce(len(r.uncertain_readings), 0)::int end uncertain from {R} r left join dd using (region_id)""",
+        "detections": f"""with a as (select page_id, region_index, region_id, region_type, content is not null t, lower(['Left margin', 'top left', 'upper edge, at the TOP', 'bottom', 'bleed-through', 'opposite page', 'interlinear', ''][1 + region_id % 8]) said,
+            case region_id % 3 when 0 then ['top', 'mTop', 'inline', 'Left', 'opposite', ' ', ''][1 + region_id % 7] when 1 then marginal_position end given from {R}),
+          b as (select *, case when (given is null or given = '') and region_type = 'marginal_note' then case when contains(said, 'left') then 'left' when contains(said, 'right') then 'right' when contains(said, 'top') then 'mTop' when contains(said, 'bottom') then 'mBottom' when contains(said, 'opposite') or contains(said, 'bleed') then 'opposite' else given end when given is null or given in ('', 'left', 'right', 'mTop', 'mBottom', 'opposite', 'inline') then given end mp from a)
+          select page_id, (row_number() over (partition by page_id order by region_index, region_id) - 1)::int region_index, region_type, case when mp = 'opposite' then false else t end has_text, mp as marginal_position from b""",
         "valid_entities": f"select min(mention_id) mention_id from {M} where entity_type in ('Person','Location','Species','Instrument','Measurement','Publication','Indigenous_Group','Celestial_Object') and trim(text) <> '' group by page_id, text, entity_type",
         "names_to_resolve": f"select distinct name from (select {_PLACE_NAME} as name from {M} where entity_type = 'Location') where name <> '' and name not in (select trim(label) from register where kind = 'place')",
         "resolved_places": f"select distinct n.name, g.lat, g.lon, case when g.name is not null then 'register' end source, g.name is not null as found from (select {_PLACE_NAME} as name from {M} where entity_type = 'Location') n left join {_GAZ} g on g.name = n.name where n.name <> ''",

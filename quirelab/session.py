@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import zipfile
 
@@ -36,16 +37,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names in spark.checkpoint.dir; make one only where none is set (tests)."""
+    """Use the folder the cluster names in spark.checkpoint.dir; make one only where none is set and all runs on this machine (tests)."""
     jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isDefined():
         return
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines of the cluster share")
     spark.sparkContext.setCheckpointDir(named or tempfile.mkdtemp(prefix="quirelab-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
     """`df` written to the checkpoint folder and read back: lineage ends there and survives lost executors."""
+    ship(df.sparkSession)
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 

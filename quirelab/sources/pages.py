@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.text import folio_label, page_sort_key
+from ..functions.text import folio_label, last_token, norm_key, page_sort_key
 
 ENTITY = (
     "text STRING, entity_type STRING, start_char INT, end_char INT, context STRING, normalized_form STRING, language STRING, ehd_id STRING, ehd_url STRING, "
@@ -68,20 +68,30 @@ def entity_csv(mentions: DataFrame, path: str) -> None:
 
 
 def read_register(spark: SparkSession, path: str, tag: str) -> DataFrame:
-    """Register entries of an XML folder: rowTag `person`, `place` or `item`; malformed files are skipped."""
+    """Register entries of an XML folder: rowTag `person`, `place` or `item`; malformed files and entries without a label are left out.
+
+    Of entries with one id the first by file and place counts, and the names of the others are added to its own."""
     named = "ARRAY<STRUCT<_type: STRING, _VALUE: STRING, surname: STRING, forename: STRING>>"
     schema = f"`_xml:id` STRING, persName {named}, placeName {named}, label {named}, idno ARRAY<STRUCT<_type: STRING, _VALUE: STRING>>, note STRING, birth STRING, death STRING, linkGrp ARRAY<STRUCT<desc: STRING, ptr: STRUCT<_target: STRING, _n: STRING>>>"
     d = spark.read.format("xml").option("rowTag", tag).option("mode", "DROPMALFORMED").schema(schema).load(path).withColumn("file", F.regexp_extract(F.input_file_name(), r"([^/]+)\.xml$", 1))
-    names = F.coalesce("persName", "placeName", "label")
-    of = lambda t: F.filter(names, lambda x: x["_type"] == t)
-    full = lambda x: F.coalesce(F.nullif(F.trim(x["_VALUE"]), F.lit("")), F.concat_ws(", ", x["surname"], x["forename"]))
-    gbif = F.filter("linkGrp", lambda g: g["desc"].contains("GBIF") & g["ptr"]["_target"].isNotNull())
-    uri = F.coalesce(F.get(F.filter("idno", lambda i: i["_type"] == "uri"), 0)["_VALUE"], F.get(gbif, 0)["ptr"]["_target"])
-    label = F.coalesce(full(F.get(of("reg"), 0)), full(F.get(names, 0)))
+    person = tag == "person"
+    names = F.coalesce({"person": "persName", "place": "placeName"}.get(tag, "label"), F.array().cast(named))
+    full = lambda x: F.coalesce(F.nullif(F.trim(x["_VALUE"]), F.lit("")), F.nullif(F.concat_ws(", ", F.nullif(F.trim(x["surname"]), F.lit("")), F.nullif(F.trim(x["forename"]), F.lit(""))), F.lit("")))
+    reg = F.get(F.filter(names, lambda x: x["_type"] == "reg"), 0)
+    with_parts = F.get(F.filter(names, lambda x: x["surname"].isNotNull() | x["forename"].isNotNull()), 0)
+    label = F.coalesce(full(reg), full(with_parts)) if person else full(reg)
+    # all other names of a person count, of places and plants those marked as such
+    others = F.filter(names, lambda x: ~F.coalesce(x["_type"] == "reg", F.lit(False)) if person else x["_type"] == "alt")
+    gbif = F.get(F.filter("linkGrp", lambda g: g["desc"].contains("GBIF") & g["ptr"]["_target"].isNotNull()), 0)["ptr"]
+    uri = F.coalesce(F.get(F.filter("idno", lambda i: i["_type"] == "uri"), 0)["_VALUE"], gbif["_target"])
     kind = {"person": "person", "place": "place", "item": "plant"}.get(tag, tag)
+    plant_id = F.coalesce(F.concat(F.lit("plant:gbif:"), F.substring_index(gbif["_target"], "/", -1)), F.concat(F.lit("plant:"), F.replace(norm_key(label), F.lit(" "), F.lit("_"))))
     r = d.select(
-        F.coalesce("`_xml:id`", F.when(F.lit(kind == "plant"), F.coalesce(F.concat(F.lit("gbif-"), F.regexp_extract(uri, r"(\d+)$", 1)), label)), "file").alias("ehd_id"), F.lit(kind).alias("kind"), label.alias("label"),
-        uri.alias("authority_uri"), F.transform(of("alt"), full).alias("alt_labels"), F.get(F.filter(names, lambda x: x["surname"].isNotNull()), 0)["surname"].alias("surname"), "birth", "death", "note",
-    )
-    first = F.min_by(F.struct("label", "authority_uri", "surname", "birth", "death", "note"), "label").alias("f")
-    return r.groupBy("ehd_id", "kind").agg(first, F.array_distinct(F.flatten(F.collect_list("alt_labels"))).alias("alt_labels")).select("ehd_id", "kind", "f.*", "alt_labels")
+        (plant_id if kind == "plant" else F.coalesce("`_xml:id`", "file")).alias("ehd_id"), F.lit(kind).alias("kind"), label.alias("label"), uri.alias("authority_uri"), gbif["_n"].alias("authority_label"),
+        F.filter(F.transform(others, full), lambda x: x.isNotNull()).alias("alt_labels"), F.coalesce(F.nullif(F.trim(with_parts["surname"]), F.lit("")), F.when(F.lit(person), last_token(label))).alias("surname"),
+        "birth", "death", "note", F.struct("file", F.monotonically_increasing_id().alias("at")).alias("ord"),
+    ).filter("label is not null")
+    first = F.min_by(F.struct("label", "authority_uri", "authority_label", "surname", "birth", "death", "note"), "ord").alias("f")
+    every = F.array_sort(F.collect_list(F.struct("ord", F.concat(F.array("label"), "alt_labels").alias("names"))))
+    merged = r.groupBy("ehd_id", "kind").agg(first, F.array_distinct(F.flatten(F.transform(every, lambda x: x["names"]))).alias("names"))
+    return merged.select("ehd_id", "kind", "f.*", F.filter("names", lambda x: x != F.col("f.label")).alias("alt_labels"))

@@ -30,14 +30,15 @@ def flow(node: ET.Element):
         name = local(n.tag)
         if name == "pb":
             yield "page", n
+        elif name in ("anchor", "metamark") or n.get("type") == "editorial":
+            return  # marks without text of the page, and what editors say about it
         elif name in ("note", "figure", "fw"):
-            if not (name == "note" and n.get("type") == "editorial"):
-                yield name, n
+            yield name, n
         elif name == "lb":
             yield "text", "\n"
         elif name == "gap":
-            q = " ".join(x for x in (n.get("quantity") or n.get("extent"), n.get("unit")) if x)
-            yield "text", f"[{q} unleserlich]" if q else "[...]"
+            quantity, unit = n.get("quantity"), n.get("unit")
+            yield "text", f"[{quantity} {unit} unleserlich]" if quantity and unit else "[...]"
         elif name == "supplied":
             yield "text", "[...]"
         elif name == "choice":
@@ -46,9 +47,8 @@ def flow(node: ET.Element):
             if pick is not None:
                 yield from inside(pick)
         elif name == "del":
-            yield "text", "~~"
-            yield from inside(n)
-            yield "text", "~~"
+            if struck := " ".join("".join(n.itertext()).split()):
+                yield "text", f"~~{struck}~~"
         elif name == "unclear":
             yield from inside(n)
             yield "text", "[?]"
@@ -123,7 +123,8 @@ def parse(xml: str | None) -> list[dict]:
             position = place if place in PLACES else next((s for s in ("left", "right") if s in place), None)
             add("pasted_slip" if "sticked" in n.get("rend", "") else "marginal_note", plain(n), position, languages(n) or ["de"])
         for n in p["figure"]:
-            labels = [t for c in n.iter() if local(c.tag) == "figDesc" and (t := plain(c))]
+            found = next((x for tag in ("figDesc", "label", "p") if (x := [c for c in n.iter() if c is not n and local(c.tag) == tag])), [])
+            labels = [t for c in found if (t := plain(c))]
             add("sketch", " ".join(labels) or "Hand-drawn illustration", None, (), True)
         held = p["entity"] + [e for n in p["note"] + p["figure"] for e in n.iter() if local(e.tag) in ENTITIES]
         seen = set()
@@ -188,6 +189,20 @@ _WRAP = {
 }
 
 
+def _field(r, name: str):
+    """A field of a row that may lack it."""
+    try:
+        return r[name]
+    except (KeyError, ValueError):
+        return None
+
+
+def _table_lines(table) -> str | None:
+    """Cells two blanks apart, rows as lines; null cells are left out; None for a table without rows."""
+    rows = (_field(table, "cells") if table is not None else None) or []
+    return "\n".join("  ".join(c for c in row if c is not None) for row in rows if row is not None) if rows else None
+
+
 def fragment(folio: str | None, facs: str | None, regions, entities) -> str:
     """One page: break, page furniture, then a division at each heading; regions come in reading order."""
     tags = {v: k for k, v in ENTITIES.items()}
@@ -197,6 +212,10 @@ def fragment(folio: str | None, facs: str | None, regions, entities) -> str:
         kind, text, place = r["region_type"], r["content"] or "", r["marginal_position"]
         if place == "opposite" and not text.strip():
             continue
+        if _field(r, "is_visual") and kind not in ("page_number", "catch_phrase", "entry_heading", "marginal_note", "pasted_slip"):
+            kind = "sketch"
+        if kind in ("observation_table", "instrument_list") and (lines := _table_lines(_field(r, "table_data"))) is not None:
+            text = lines
         body = escape(text or "Hand-drawn illustration") if kind == "sketch" else inline(text, names)
         if kind == "marginal_note":
             one = '<note hand="#author"' + (f" place={quoteattr(place)}" if place in PLACES else "") + f"><p>{body}</p></note>"
@@ -232,7 +251,7 @@ def document(fragments: DataFrame, title: str, path: str) -> None:
 def page_structs(pages: DataFrame, regions: DataFrame, mentions: DataFrame) -> DataFrame:
     """Pages with ordered regions (top to bottom, then left to right) and their entities, as `write` takes them."""
     box = F.col("bbox")
-    order = F.struct((~F.coalesce(F.size(box) == 4, F.lit(False))).alias("boxless"), box[0].alias("y"), box[1].alias("x"), "region_index", "region_id", "region_type", "content", "marginal_position")
+    order = F.struct((~F.coalesce(F.size(box) == 4, F.lit(False))).alias("boxless"), box[0].alias("y"), box[1].alias("x"), "region_index", "region_id", "region_type", "content", "marginal_position", "is_visual", "table_data")
     r = regions.groupBy("page_id").agg(F.array_sort(F.collect_list(order)).alias("regions"))
     m = mentions.filter(F.col("entity_type").isin(*ENTITIES.values())).groupBy("page_id").agg(F.array_sort(F.collect_set(F.struct("text", "entity_type"))).alias("entities"))
     return pages.join(r, "page_id", "left").join(m, "page_id", "left")
