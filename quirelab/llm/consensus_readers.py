@@ -58,11 +58,57 @@ def _costs(a: str, b: str) -> tuple[list[list[int]], int]:
         t *= 2
 
 
+def _run(a: str, i: int, b: str, j: int) -> int:
+    """How many characters are equal from places i and j on."""
+    start, step = i, 32
+    while a[i : i + step] == b[j : j + step] and i + step <= len(a) and j + step <= len(b):
+        i, j = i + step, j + step
+    while i < len(a) and j < len(b) and a[i] == b[j]:
+        i, j = i + 1, j + 1
+    return i - start
+
+
+def _diagonals(a: str, b: str) -> list[tuple[int, int]]:
+    """(true, read) character codes of a cheapest alignment, from the end, by the furthest places reached with 0, 1, 2, ... edits on each diagonal.
+
+    Time grows with the length and the square of the distance: long readings mostly differ in little."""
+    n, m = len(a), len(b)
+    reached = [{0: _run(a, 0, b, 0)}]
+    while reached[-1].get(m - n, -1) < n:
+        last, row = reached[-1], {}
+        for k in range(-len(reached), len(reached) + 1):  # k: place in b less place in a
+            i = max(last.get(k, -2) + 1, last.get(k + 1, -2) + 1, last.get(k - 1, -1))
+            i = min(i, n, m - k)
+            if i >= 0 and i + k >= 0:
+                row[k] = i + _run(a, i, b, i + k)
+        reached.append(row)
+    out: list[tuple[int, int]] = []
+    i, k = n, m - n
+    for d in range(len(reached) - 1, 0, -1):
+        last = reached[d - 1]
+        change, gone, more = last.get(k, -2) + 1, last.get(k + 1, -2) + 1, last.get(k - 1, -1)
+        at = min(max(change, gone, more), n, m - k)
+        out += [(ord(c), ord(c)) for c in reversed(a[at:i])]
+        if change >= at and at >= 1 and at + k >= 1:
+            i = at - 1
+            out.append((ord(a[i]), ord(b[i + k])))
+        elif gone >= at and at >= 1:
+            i, k = at - 1, k + 1
+            out.append((ord(a[i]), 0))
+        else:
+            i, k = at, k - 1
+            out.append((0, ord(b[i + k])))
+    return out + [(ord(c), ord(c)) for c in reversed(a[:i])]
+
+
 def events(truth: str, reading: str) -> tuple[int, ...]:
     """Pairs (true character, read character) of the cheapest alignment; 0 stands for nothing.
 
     A gap between characters where nothing was put in is the pair (0, 0)."""
     n, m = len(truth), len(reading)
+    if max(n, m) > SHORT:
+        pairs = [(t << _SHIFT) | r for t, r in _diagonals(truth, reading)]
+        return (*pairs, *[0] * max(0, n + 1 - sum(e < 1 << _SHIFT for e in pairs)))
     i = 0
     while i < min(n, m) and truth[i] == reading[i]:
         i += 1
@@ -103,6 +149,15 @@ def _short(truth: str, reading: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
     return _counted(truth, reading)
 
 
+def _turned(counted: tuple[tuple[int, ...], tuple[int, ...]], n: int) -> tuple[tuple[int, ...], tuple[int, ...]]:
+    """The counts with truth (n characters) and reading exchanged."""
+    low = (1 << _SHIFT) - 1
+    found = {((e & low) << _SHIFT) | (e >> _SHIFT): x for e, x in zip(*counted, strict=True) if e}
+    if free := max(0, n + 1 - sum(x for e, x in found.items() if e < 1 << _SHIFT)):
+        found[0] = free
+    return tuple(found), tuple(found.values())
+
+
 def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         for k in range(0, len(b), PIECE):
@@ -205,9 +260,18 @@ def _aligned(labels: DataFrame) -> DataFrame:
                 candidates = sorted(set(readings), key=lambda x: (-list(readings).count(x), -len(x), x))
                 place = {c: i for i, c in enumerate(candidates)}
                 cand, who, what, times = [], [], [], []
+                # each two different readings are aligned once
+                pairs = {}
                 for c, truth in enumerate(candidates):
+                    for k in range(c + 1):
+                        if max(len(truth), len(candidates[k])) <= SHORT:
+                            pairs[c, k], pairs[k, c] = _short(truth, candidates[k]), _short(candidates[k], truth)
+                        else:
+                            pairs[c, k] = _counted(truth, candidates[k])
+                            pairs[k, c] = pairs[c, k] if k == c else _turned(pairs[c, k], len(candidates[k]))
+                for c in range(len(candidates)):
                     for i, reading in enumerate(readings):
-                        e, n = (_short if len(truth) <= SHORT and len(reading) <= SHORT else _counted)(truth, reading)
+                        e, n = pairs[c, place[reading]]
                         cand += [c] * len(e)
                         who += [i] * len(e)
                         what += e
@@ -233,10 +297,11 @@ def _weights(b: pd.DataFrame, twins: dict[str, dict[str, float]]) -> list[float]
 
 def _dependence(aligned: DataFrame, state: dict) -> dict[str, dict[str, float]]:
     """For pairs of annotators, how much more often than usual two wrong labels are the same one (0 to 1)."""
+    shared = aligned.sparkSession.sparkContext.broadcast(state)  # annotators x pairs of characters
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in _pieces(batches):
-            *_, first, p = _posterior(b, state)
+            *_, first, p = _posterior(b, shared.value)
             seen: dict[tuple[str, str], list[int]] = {}
             for i, (names, chose) in enumerate(zip(b["names"], b["chose"], strict=True)):
                 best = int(p[first[i] : first[i + 1]].argmax())
@@ -297,10 +362,11 @@ def fit(aligned: DataFrame, communities: int = 8, rounds: int = 6) -> Communitie
     counts_of = lambda rows: {(r["name"], r["event"]): r["x"] for r in rows}
     model, state, twins = None, None, {}
     for turn in range(rounds):
+        shared = aligned.sparkSession.sparkContext.broadcast(state)  # annotators x pairs of characters
 
-        def run(batches: Iterator[pd.DataFrame], model=state) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
             for b in _pieces(batches):
-                names, reader, what, times, slot, _, _, p = _posterior(b, model)
+                names, reader, what, times, slot, _, _, p = _posterior(b, shared.value)
                 if len(what):
                     out = pd.DataFrame({"name": reader, "event": what, "x": p[slot] * times}).groupby(["name", "event"], as_index=False)["x"].sum()
                     yield out.assign(name=np.array(names, object)[out["name"].to_numpy()])
@@ -328,11 +394,11 @@ def consensus(regions: DataFrame, communities: int = 8, rounds: int = 6, types:
     Items are the regions of `types`; None means all."""
     aligned = cut(_aligned(_labels(regions, types)))
     model = fit(aligned, communities, rounds)
-    state = getattr(model, "state", None)
+    shared = regions.sparkSession.sparkContext.broadcast(getattr(model, "state", None))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in _pieces(batches):
-            *_, owner, first, p = _posterior(b, state)
+            *_, owner, first, p = _posterior(b, shared.value)
             rows = []
             for i, (c, v) in enumerate(zip(b["candidates"], b["votes"], strict=True)):
                 own = p[first[i] : first[i + 1]]
