@@ -69,7 +69,8 @@ def _keys(register: DataFrame) -> DataFrame:
 def _variants(values: DataFrame) -> DataFrame:
     """kind, raw, s, less (how much was taken away), dot (s is cut off by a full stop)."""
     v = values.select("kind", "raw", clean(F.col("raw")).alias("c"))
-    v = v.filter("c not like '%...' and c <> ''")
+    # a value the writer broke off (`Klost...`) is a beginning, like an abbreviation
+    v = v.withColumn("c", F.regexp_replace("c", r"\.{2,}$", ".")).filter("c <> ''")
     v = v.withColumn("c", F.regexp_replace("c", TRAILING, ""))
     bare = F.regexp_replace("c", LEADING, "")
     comma = F.regexp_extract(F.col("c"), r"^([^,]+), ?([^,]+)$", 2)
@@ -78,7 +79,7 @@ def _variants(values: DataFrame) -> DataFrame:
     v = v.select("kind", "raw", F.posexplode("base").alias("less", "s"))
     first = F.regexp_extract("s", r"^(\S+\.) \S", 1)
     longer = F.create_map(*[x for k, full in ABBREVIATED.items() for x in (F.lit(k), F.array(*map(F.lit, full)))])
-    written = F.transform(F.coalesce(F.try_element_at(longer, first), F.array().cast("array<string>")), lambda w: F.concat(w, F.substring(F.col("s"), F.length(first) + 1, 1000)))
+    written = F.transform(F.coalesce(F.try_element_at(longer, first), F.array().cast("array<string>")), lambda w: F.concat(w, F.substring(F.col("s"), F.length(first) + 1, F.length("s"))))
     v = v.select("kind", "raw", "less", F.explode(F.concat(F.array("s"), F.when(F.col("kind") == "place", written).otherwise(F.array().cast("array<string>")))).alias("s"))
     without = F.regexp_replace("s", ADDITION, "")
     v = v.select("kind", "raw", F.explode(F.array_compact(F.array(F.struct("less", "s"), F.when(without != F.col("s"), F.struct((F.col("less") + 3).alias("less"), without.alias("s")))))).alias("x")).select("kind", "raw", "x.*")
@@ -119,8 +120,11 @@ def _segments(keys: DataFrame) -> DataFrame:
 
 
 def _fuzzy(v: DataFrame, keys: DataFrame) -> DataFrame:
+    small = keys.count() <= SMALL
     segments = _segments(keys)
     layout = F.broadcast(segments.select("len_k", "tol", "i", "at", "size").distinct())  # at most 4 rows for each length
+    if small:
+        segments = F.broadcast(segments)  # at most 4 for each spelling
     p = v.filter("length(s) >= 4").select("kind", "s").distinct().withColumn("len_s", F.length("s"))
     p = p.withColumn("len_k", F.explode(F.sequence(F.col("len_s") - 3, F.col("len_s") + 3))).join(layout, "len_k").filter("abs(len_s - len_k) <= tol")
     # a match in segment i leaves i edits before it and tol - i behind it
@@ -139,9 +143,15 @@ def _fuzzy(v: DataFrame, keys: DataFrame) -> DataFrame:
     return c.join(v, ["kind", "s"]).select("kind", "raw", "ehd_id", (F.col("less") + 10 * F.col("edits")).alias("rank"))
 
 
+#: Spellings of the reference list up to which it is sent to the tasks; longer lists are joined by shuffle.
+SMALL = 50_000
+
+
 def match_values(values: DataFrame, register: DataFrame) -> DataFrame:
     """kind, raw, ehd_id, rank: the closest entry of each value (kind, raw) that has one."""
     keys = cut(_keys(register))
+    if keys.count() <= SMALL:
+        keys = F.broadcast(keys)
     v = cut(_variants(values.select("kind", "raw").filter("raw is not null").distinct()))
     exact = cut(_exact(v, keys))
     rest = v.join(exact.select("kind", "raw").distinct(), ["kind", "raw"], "left_anti")

@@ -2,7 +2,8 @@
 
 Words carry lexicon, affix and n-gram features; learned transitions tie neighbours, and forward-backward
 gives each word a probability for each language. Sentences take the language that holds the greater part of
-them; a text has the languages of its sentences, a page those of its text regions.
+them, with a confidence that grows with their length; a text has the languages of its confident sentences, a
+page those of its text regions.
 
 The model is trained here, on the labels as they come: a bounded sample (SAMPLE texts by hash of the id)
 gives word counts by label, a Markov chain over them relabels the words (two rounds, which outvotes wrong
@@ -32,8 +33,9 @@ CODES = ("de", "en", "es", "fr", "la")
 TEXT_TYPES = ("main_text", "marginal_note", "pasted_slip", "crossed_out")
 #: Bound of the training sample, in texts.
 SAMPLE = 2500
-#: Words of the lexicon that the shortest sentence has; running headers have fewer.
-SHORTEST = 5
+#: Confidence from which on a sentence gives a text its language. The confidence of a sentence in which x words of
+#: the lexicon are expected to be of its language is x / (x + 1): few words are little evidence.
+CONFIDENT = 0.79
 #: A word must stand in so many training texts to enter the lexicon.
 LEAST = 4
 _WORD = re.compile(r"[^\W\d_]+|[.!?](?=\s|$)")
@@ -186,7 +188,7 @@ def train(rows: list[tuple[str, list[str]]], rounds: int = 15) -> Field:
 
 
 def sentences(field: Field, texts: list[str | None]) -> Iterator[list[tuple[int, float, int, int]]]:
-    """For each text its sentences as (code number, confidence, first token, last token)."""
+    """For each text its sentences with a word of the lexicon, as (code number, confidence, first token, last token)."""
     ids, lengths, ends = [], [], []
     if len(field.rows) > 400_000:
         field.clear()
@@ -228,8 +230,9 @@ def sentences(field: Field, texts: list[str | None]) -> Iterator[list[tuple[int,
     share = sums[b[:, 1]] - sums[b[:, 0]]
     words = np.array(so_far)[b[:, 1]] - np.array(so_far)[b[:, 0]]
     best = share.argmax(1)
-    sure = share[np.arange(len(b)), best] / np.maximum(words, 1)
-    found = list(zip(best.tolist(), sure.tolist(), (b[:, 0] - b[:, 2]).tolist(), (b[:, 1] - b[:, 2]).tolist(), (words >= SHORTEST).tolist(), strict=True))
+    expected = share[np.arange(len(b)), best]
+    sure = expected / (expected + 1)
+    found = list(zip(best.tolist(), sure.tolist(), (b[:, 0] - b[:, 2]).tolist(), (b[:, 1] - b[:, 2]).tolist(), (words > 0).tolist(), strict=True))
     for first, stop in per_text:
         yield [f[:4] for f in found[first:stop] if f[4]]
 
@@ -260,6 +263,8 @@ def detect(regions: DataFrame, model: Field | None = None) -> DataFrame:
             for s in sentences(own, b["content"].tolist()):
                 by = defaultdict(float)
                 for code, c, _, _ in s:
+                    if c < CONFIDENT:
+                        continue
                     by[CODES[code]] = max(by[CODES[code]], c)
                 langs.append(sorted(by))
                 sure.append(min(by.values()) if by else None)
@@ -272,7 +277,7 @@ def detect(regions: DataFrame, model: Field | None = None) -> DataFrame:
 
 
 def segments(regions: DataFrame, model: Field | None = None) -> DataFrame:
-    """region_id, segment, lang, confidence, first_word, last_word: runs of sentences in one language."""
+    """region_id, segment, lang, confidence, first_word, last_word: runs of sentences in one language, short ones with their low confidence."""
     field = model or train(sample(regions))
     shared = regions.sparkSession.sparkContext.broadcast((field.weights, field.steps))
     held: dict[int, Field] = {}
@@ -297,13 +302,19 @@ def segments(regions: DataFrame, model: Field | None = None) -> DataFrame:
     return spread(r).mapInPandas(run, "region_id long, segment int, lang string, confidence double, first_word int, last_word int").dropDuplicates(["region_id", "segment"])
 
 
-def wrong_labels(regions: DataFrame, pages: DataFrame) -> DataFrame:
-    """holder, record_id, lang: the languages of every text region and page whose label is missing or wrong."""
+def holders(regions: DataFrame, pages: DataFrame) -> DataFrame:
+    """holder, record_id, label, langs, confidence of every text region and page; of a page, the least certain language of its regions."""
     from ..session import cut
 
     found = cut(detect(regions))
-    own = found.filter("label <> langs").select(F.lit("region").alias("holder"), F.col("region_id").alias("record_id"), F.explode("langs").alias("lang"))
-    by_page = found.filter("page_id is not null").select("page_id", F.explode("langs").alias("lang")).groupBy("page_id").agg(F.array_sort(F.collect_set("lang")).alias("langs"))
+    own = found.select(F.lit("region").alias("holder"), F.col("region_id").alias("record_id"), "label", "langs", "confidence")
+    each = found.filter("page_id is not null").select("page_id", "confidence", F.explode("langs").alias("lang")).groupBy("page_id", "lang").agg(F.max("confidence").alias("c"))
+    by_page = each.groupBy("page_id").agg(F.array_sort(F.collect_list("lang")).alias("langs"), F.min("c").alias("confidence"))
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), _label(F.col("page_languages")).alias("label")).filter("page_id is not null").dropDuplicates(["page_id"])
-    page = p.join(by_page, "page_id").filter("label <> langs").select(F.lit("page").alias("holder"), F.col("page_id").alias("record_id"), F.explode("langs").alias("lang"))
-    return own.unionByName(page)
+    none = F.array().cast("array<string>")
+    return own.unionByName(p.join(by_page, "page_id", "left").select(F.lit("page").alias("holder"), F.col("page_id").alias("record_id"), "label", F.coalesce("langs", none).alias("langs"), "confidence"))
+
+
+def wrong_labels(regions: DataFrame, pages: DataFrame) -> DataFrame:
+    """holder, record_id, lang: the languages of every text region and page whose label is missing or wrong."""
+    return holders(regions, pages).filter("label <> langs").select("holder", "record_id", F.explode("langs").alias("lang"))

@@ -27,6 +27,12 @@ def p3_found(spark, d):
     return languages.wrong_labels(_text_regions(spark, d), table(spark, d, "pages").select("page_id", "page_languages"))
 
 
+def p3_holders(spark, d):
+    """Languages and confidence of every text region and page."""
+    h = languages.holders(_text_regions(spark, d), table(spark, d, "pages").select("page_id", "page_languages"))
+    return h.select("holder", "record_id", F.array_join("label", ",").alias("label"), F.array_join("langs", ",").alias("langs"), "confidence")
+
+
 def p3_segments(spark, d):
     return languages.segments(_text_regions(spark, d))
 
@@ -116,7 +122,7 @@ def p10_normalized(spark, d):
 
 
 def queries():
-    return {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_segments, p4_found, p4_consensus, p4_readers, p5_found, p5_shares, p5_intervals, p6_found, p6_repaired, p7_found, p7_clusters, p8_ids, p8_round_trip, p9_mix, p9_shares, p9_shares_whole_corpus, p10_found, p10_normalized)}
+    return {f.__name__: f for f in (p1_found, p1_unmatched, p3_found, p3_holders, p3_segments, p4_found, p4_consensus, p4_readers, p5_found, p5_shares, p5_intervals, p6_found, p6_repaired, p7_found, p7_clusters, p8_ids, p8_round_trip, p9_mix, p9_shares, p9_shares_whole_corpus, p10_found, p10_normalized)}
 
 
 def oracle_sql():

@@ -148,6 +148,21 @@ def test_alignment_within_a_band_is_cheapest():
         assert rows[-1][-1] == full[-1] == sum(e >> 21 != e & ((1 << 21) - 1) for e in paired)
 
 
+def test_long_readings_align_at_the_same_cost():
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abc") for _ in range(n))
+    low = (1 << 21) - 1
+    for n in range(200):
+        a = word(rng.randint(0, 90))
+        b = word(rng.randint(41, 90)) if n % 3 else "".join(c for c in a if rng.random() > 0.1) + word(3)
+        rows, _ = consensus_readers._costs(a, b)
+        pairs = consensus_readers._diagonals(a, b)
+        assert sum(t != r for t, r in pairs) == rows[-1][-1]
+        assert "".join(chr(t) for t, _ in reversed(pairs) if t) == a and "".join(chr(r) for _, r in reversed(pairs) if r) == b
+        turned = dict(zip(*consensus_readers._turned(consensus_readers._counted(a, b), len(b)), strict=True))
+        assert sum(x for e, x in turned.items() if e >> 21 != e & low) == rows[-1][-1] and turned.get(0, 0) == max(0, len(b) + 1 - sum(x for e, x in turned.items() if 0 < e < 1 << 21))
+
+
 # -- 5 ---------------------------------------------------------------------------------------------------------
 
 
