@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import kernels
 from ..functions.text import last_token, norm_key
+from ..session import cut
 
+#: Keys of the register up to which its pieces are sent to the tasks; of more they are joined by shuffle.
+SMALL = 50_000
 KINDS = {"Location": "place", "Species": "plant", "Person": "person"}
 
 
@@ -36,7 +39,11 @@ def candidates(mentions: DataFrame) -> DataFrame:
 
 def link_exact(mentions: DataFrame, register: DataFrame) -> DataFrame:
     """mention_id, ehd_id, method, score, matched_on, ambiguous, candidates of mentions the index resolves; the first stage wins."""
-    hits = candidates(mentions).join(register_keys(register), ["kind", "k"])
+    return _exact(candidates(mentions), register_keys(register))
+
+
+def _exact(tries: DataFrame, keys: DataFrame) -> DataFrame:
+    hits = tries.join(keys, ["kind", "k"])
     first = hits.groupBy("mention_id").agg(F.min(F.struct("stage", "method", "k", "ids")).alias("h"))
     return first.select("mention_id", F.col("h.ids")[0].alias("ehd_id"), F.col("h.method").alias("method"), F.lit(1.0).alias("score"), F.col("h.k").alias("matched_on"), (F.size("h.ids") > 1).alias("ambiguous"), F.slice("h.ids", 2, 1000000).alias("candidates"))
 
@@ -50,11 +57,14 @@ def near_pairs(values: DataFrame, keys: DataFrame, share: float = 0.1) -> DataFr
     pieces = keys.select("kind", "k", t.alias("t")).filter("length(k) > t").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("t"))))
     pieces = pieces.withColumn("size", F.expr("length(k) div (t + 1)")).withColumn("at", (F.col("i") * F.col("size") + 1).cast("int"))
     pieces = pieces.withColumn("size", F.when(F.col("i") == F.col("t"), F.length("k") - F.col("at") + 1).otherwise(F.col("size")).cast("int")).withColumn("piece", F.expr("substring(k, at, size)"))
+    small = keys.count() <= SMALL
+    pieces = cut(pieces)
     layout = F.broadcast(pieces.select("kind", F.length("k").alias("len"), "t", "i", "at", "size").distinct())  # bounded by lengths times pieces
     probes = values.select("kind", "s").distinct().withColumn("len", F.explode(F.sequence(F.length("s") - 4, F.length("s") + 4))).join(layout, ["kind", "len"])
     probes = probes.withColumn("shift", F.explode(F.sequence(-F.col("t"), F.col("t")))).filter("at + shift >= 1 and at + shift + size - 1 <= length(s)")
     probes = probes.select("kind", "s", "len", "i", F.expr("substring(s, at + shift, size)").alias("piece")).distinct()
-    found = probes.join(pieces.select("kind", "k", "i", "piece", F.length("k").alias("len")), ["kind", "len", "i", "piece"]).select("kind", "s", "k").distinct()
+    held = pieces.select("kind", "k", "i", "piece", F.length("k").alias("len"))
+    found = probes.join(F.broadcast(held) if small else held, ["kind", "len", "i", "piece"]).select("kind", "s", "k").distinct()
     return found.filter(F.levenshtein("s", "k") <= (F.length("s") + F.length("k")) * share)
 
 
@@ -62,9 +72,13 @@ def link_fuzzy(mentions: DataFrame, register: DataFrame, cutoff: float = 0.9) ->
     """mention_id, ehd_id, method, score, matched_on, ambiguous of mentions without an exact link.
 
     The likeness ratio must be above `cutoff`; the standard form wins ties, then the smaller key."""
-    keys = register_keys(register)
-    rest = candidates(mentions).join(link_exact(mentions, register).select("mention_id"), "mention_id", "left_anti")
-    pairs = near_pairs(rest.select("kind", F.col("k").alias("s")), keys, 2 * (1 - cutoff) / 2)
+    keys, tries = cut(register_keys(register)), cut(candidates(mentions))
+    return _fuzzy(tries.join(tries.join(keys, ["kind", "k"], "left_semi").select("mention_id").distinct(), "mention_id", "left_anti"), keys, cutoff)
+
+
+def _fuzzy(rest: DataFrame, keys: DataFrame, cutoff: float) -> DataFrame:
+    """Links by likeness of the names `rest` to the register's keys."""
+    pairs = near_pairs(rest.select("kind", F.col("k").alias("s")), keys, 1 - cutoff)
     rated = pairs.withColumn("score", kernels.u_ratio(F.col("s"), F.col("k"))).filter(F.col("score") > cutoff)
     hits = rest.withColumnRenamed("k", "s").join(rated, ["kind", "s"]).join(keys, ["kind", "k"])
     best = hits.groupBy("mention_id").agg(F.min(F.struct((-F.col("score")).alias("minus"), "stage", "k", "ids")).alias("h"))
@@ -74,9 +88,11 @@ def link_fuzzy(mentions: DataFrame, register: DataFrame, cutoff: float = 0.9) ->
 
 def link(mentions: DataFrame, register: DataFrame, fuzzy: bool = True, cutoff: float = 0.9) -> DataFrame:
     """Mentions with their link columns, null where nothing matched."""
-    found = link_exact(mentions, register).drop("candidates")
+    keys, tries = cut(register_keys(register)), cut(candidates(mentions))
+    found = _exact(tries, keys).drop("candidates")
     if fuzzy:
-        found = found.unionByName(link_fuzzy(mentions, register, cutoff))
+        found = cut(found)
+        found = found.unionByName(_fuzzy(tries.join(found.select("mention_id"), "mention_id", "left_anti"), keys, cutoff))
     return mentions.join(found, "mention_id", "left")
 
 

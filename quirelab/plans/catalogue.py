@@ -4,11 +4,11 @@ Every query reads its whole tables; records sent twice are counted once (dropDup
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from ..functions import kernels
 from ..functions.text import append_note, authority_label, folio_label, folio_variants, genus, last_token, line_numbers, metric_norm, norm_key, notebook_norm, page_sort_key, preview, register_url, strip_editorial, uncertain_readings, wkt_point
-from ..operators import audit, ensemble, ground_truth, linking, metrics, pages, reports, shred, stages
+from ..operators import audit, ensemble, ground_truth, linking, metrics, pages, providers, reports, runs, shred, stages, views
 from ..session import spread, table
 from ..sources import tei
 
@@ -442,6 +442,110 @@ def tei_round_trip(s, d):
     return tei.read(x).select(F.explode("regions").alias("r")).groupBy("r.region_type").agg(F.count("*").alias("n"))
 
 
+# -- runs, providers, views ------------------------------------------------------------------------------------------------
+
+
+def page_slice(s, d):
+    """The pages of a journal without the first two and the last three."""
+    p = once(s, d, "pages", "page_id", "journal_id", "page_number")
+    return runs.slice_sorted(p, ["journal_id"], ["page_number", "page_id"], 2, -3).select("journal_id", "page_id")
+
+
+def run_union(s, d):
+    """Pages of two runs one after the other, the second without folio labels."""
+    p = once(s, d, "pages", "page_id", "run_id", "folio_label")
+    return runs.union_runs(p.filter("page_id % 2 = 0"), p.filter("page_id % 2 = 1").drop("folio_label")).groupBy("run_id").agg(F.count("*").alias("pages"), F.count("folio_label").alias("labelled"))
+
+
+def run_scores(s, d):
+    r = _regions(s, d)
+    out = runs.score_run(r, ground_truth.canonical_text(_regions(s, d, WITH_TRUTH)), once(s, d, "pages", "page_id", "run_id"))
+    return out.select("run_id", *[F.round(c, 6).alias(c) for c in out.columns[1:]])
+
+
+def legacy_cer(s, d):
+    """The stored page text against the text put together from its regions, by the older evaluation."""
+    return runs.macro_cer(once(s, d, "pages", "page_id", "full_text"), pages.full_text(_regions(s, d))).select("pages", F.round("cer", 6).alias("cer"))
+
+
+def variant_scores(s, d):
+    """Merge variants against ground truth: the text as it is, and the first reading."""
+    first = lambda r: F.coalesce(F.get(F.filter("ensemble_readings", lambda x: F.trim(x) != ""), 0), F.col("content"))
+    return runs.variant_scores(_regions(s, d, WITH_TRUTH), {"content": lambda r: F.col("content"), "first": first}).select("variant", F.round("cer", 6).alias("cer"), F.round("wer", 6).alias("wer"))
+
+
+def swapped_content(s, d):
+    """Regions with the majority of their readings in place of their content."""
+    r = _regions(s, d)
+    merged = ensemble.majority(r.filter(READ)).join(r.select("region_id", "page_id", "region_index"), "region_id").select("page_id", "region_index", F.col("reading").alias("text"))
+    return runs.swap_content(r, merged).select("region_id", "content")
+
+
+def slip_counts(s, d):
+    """Pasted slips of each page with text, against those with a text before the layout pass."""
+    r = once(s, d, "regions", "region_id", "page_id", "region_type", "content", "content_pre_consistency")
+    return runs.slips(r.filter("content <> ''"), r.filter("content_pre_consistency <> ''"))
+
+
+def link_and_check(s, d):
+    """Counts of issues after all stages of linking, persons by surname included."""
+    n = once(s, d, "person_names", "name_id", "page_id", "entity_type", "origin", "text", "normalized_form", "surname")
+    return audit.rollup(runs.link_and_check(_mentions(s, d), n, _register(s, d), once(s, d, "pages", "page_id", "page_number"))[1])
+
+
+def unmatched_folios(s, d):
+    """Pages whose folio no page with ground truth has."""
+    return once(s, d, "pages", "page_id", "folio_label").join(gt_lookup(s, d), "page_id", "left_anti")
+
+
+def retryable_texts(s, d):
+    """Texts that would count as messages of passing failures, with the tries they would be given."""
+    t = table(s, d, "documents").select("doc_id", "text")
+    return t.select("doc_id", providers.is_retryable(F.col("text")).alias("passing"), providers.attempts_left(F.lit(3), F.col("text")).alias("again"))
+
+
+def recorded_answers(s, d):
+    """Payloads as recorded answers to the pages of the same number; what does not parse is answered by the default."""
+    asked = once(s, d, "pages", "page_id").select(F.col("page_id").alias("request"))
+    said = table(s, d, "page_records").select(F.col("record_id").alias("request"), F.col("received_at").alias("ord"), F.col("payload").alias("reply"))
+    return providers.answered(asked, said).select("request", "ok", F.when(F.col("ok"), F.md5(F.col("answer").cast("binary"))).otherwise(F.col("answer")).alias("answer"))
+
+
+def prompt_rows(s, d):
+    """How many rows each page shows a model, and how long they are."""
+    r = once(s, d, "regions", "page_id", "region_id", "region_index", "region_type")
+    return providers.prompt_rows(r, "region_index", "region_type").select("page_id", F.length("rows").alias("chars"))
+
+
+def reconstructed_regions(s, d):
+    r = _regions(s, d).withColumn("i", F.row_number().over(W.partitionBy("page_id").orderBy("region_index", "region_id")))
+    found = r.select("page_id", F.col("i").alias("region_index"), "region_type", (F.col("region_id") % 5 != 0).alias("has_text"), F.when(F.col("region_id") % 7 == 0, "opposite").otherwise(F.col("marginal_position")).alias("marginal_position"), "bbox")
+    read = r.filter("region_id % 3 <> 0").select("page_id", F.col("i").alias("region_index"), "content", "languages", F.when(F.col("region_id") % 2 == 0, F.col("is_visual")).alias("is_visual"), "editorial_note")
+    x = providers.reconstruct(found, read)
+    return x.select("page_id", "region_index", "content", "is_visual", "editorial_note", F.array_join("languages", ",").alias("languages"), F.size("uncertain_readings").alias("uncertain"))
+
+
+def legend(s, d):
+    return views.legend(once(s, d, "regions", "region_id", "journal_id", "region_type")).select("journal_id", F.array_join("types", ",").alias("types"))
+
+
+def register_labels(s, d):
+    """Labels of the entries links point to, every third id made unknown."""
+    ids = linking.link_exact(_mentions(s, d), _register(s, d)).select("mention_id", F.when(F.col("mention_id") % 3 == 0, F.concat(F.lit("X"), "ehd_id")).otherwise(F.col("ehd_id")).alias("ehd_id"))
+    return views.with_labels(ids, _register(s, d)).select("mention_id", "label")
+
+
+def pages_with_image(s, d):
+    """Pages whose image is listed; the listing is that of every second page."""
+    p = once(s, d, "pages", "page_id", "image_filename")
+    return views.with_image(p, table(s, d, "pages").filter("page_id % 2 = 0").select(F.col("image_filename").alias("name"))).select("page_id")
+
+
+def panels(s, d):
+    p = views.panels(once(s, d, "pages", "page_id", "folio_label"), _regions(s, d))
+    return p.select("page_id", "folio_label", "heading", F.length("text").alias("chars"), F.coalesce(F.size("boxes"), F.lit(0)).alias("boxes"))
+
+
 def p2_found(spark, d):
     return shred.found(spread(table(spark, d, "page_records").select("record_id", "payload")))
 
@@ -457,7 +561,9 @@ _NAMES = """link_coverage link_methods link_exact link_fuzzy surname_links regis
 name_keys metric_text legacy_text plain_text folio_keys page_text region_languages entry_numbers table_text reading_order rectangles crop_boxes mask_boxes contents page_copy gt_lookup gt_coverage
 unprocessed_pages carried_folios type_runs majority_reading reading_votes merged_readings oracle_readings label_union aligned_truth filled_truth truth_entities canonical_truth snapped_truth truth_diff
 entity_spans error_rates book_error_rates run_error_rates run_spread confidence_quartiles entity_scores margin_recall layout_duplicates detections valid_entities names_to_resolve resolved_places
-place_centroid json_answers repaired_json event_props entity_frequency entities_by_page totals region_types register_counts word_search authorities tei_fragments tei_round_trip""".split()
+place_centroid json_answers repaired_json event_props entity_frequency entities_by_page totals region_types register_counts word_search authorities tei_fragments tei_round_trip
+page_slice run_union run_scores legacy_cer variant_scores swapped_content slip_counts link_and_check unmatched_folios retryable_texts recorded_answers prompt_rows reconstructed_regions legend register_labels
+pages_with_image panels""".split()
 
 
 def queries():
@@ -554,6 +660,20 @@ def oracle_sql():
             case region_id % 3 when 0 then ['top', 'mTop', 'inline', 'Left', 'opposite', ' ', ''][1 + region_id % 7] when 1 then marginal_position end given from {R}),
           b as (select *, case when (given is null or given = '') and region_type = 'marginal_note' then case when contains(said, 'left') then 'left' when contains(said, 'right') then 'right' when contains(said, 'top') then 'mTop' when contains(said, 'bottom') then 'mBottom' when contains(said, 'opposite') or contains(said, 'bleed') then 'opposite' else given end when given is null or given in ('', 'left', 'right', 'mTop', 'mBottom', 'opposite', 'inline') then given end mp from a)
           select page_id, (row_number() over (partition by page_id order by region_index, region_id) - 1)::int region_index, region_type, case when mp = 'opposite' then false else t end has_text, mp as marginal_position from b""",
+        "page_slice": f"select journal_id, page_id from (select journal_id, page_id, row_number() over (partition by journal_id order by page_number, page_id) - 1 i, count(*) over (partition by journal_id) n from {P}) where i >= 2 and i < greatest(n - 3, 0)",
+        "run_union": f"select run_id, count(*) pages, count(case when page_id % 2 = 0 then folio_label end) labelled from {P} where page_id % 2 in (0, 1) group by 1",
+        "swapped_content": f"with {_VOTES}, m as (select region_id, arg_max(reading, (n, length(reading), -first)) reading from v group by 1), t as (select page_id, region_index, min(reading) t from m join {R} using (region_id) group by 1, 2) select r.region_id, coalesce(t.t, r.content) as content from {R} r left join t using (page_id, region_index)",
+        "slip_counts": f"select * from (select page_id, count_if(region_type = 'pasted_slip') found from {R} where content <> '' group by 1) join (select page_id, count_if(region_type = 'pasted_slip') wanted from {R} where content_pre_consistency <> '' group by 1) using (page_id)",
+        "unmatched_folios": f"with t as (select distinct journal_id, {_FOLIO} k from {P} where page_id in (select page_id from regions where {_TRUTH}) and {_FOLIO} <> ''), q as (select page_id, journal_id, unnest([{_FOLIO}, {_BARE}, {_NUMBER}]) k from {P}) select page_id, folio_label from {P} where page_id not in (select q.page_id from q join t on q.journal_id = t.journal_id and q.k = t.k and q.k <> '')",
+        "retryable_texts": f"select doc_id, p as passing, 3 < case when p then 5 else 3 end again from (select doc_id, {' or '.join(f"contains(lower(coalesce(text, '')), '{x}')" for x in providers.RETRYABLE)} p from documents)",
+        "recorded_answers": f"select page_id request, a.r is not null ok, coalesce(md5(a.r), '[]') answer from {P} left join (select record_id, arg_max(payload, received_at) r from page_records where json_valid(payload) group by 1) a on a.record_id = page_id",
+        "prompt_rows": f"""select page_id, length('[' || string_agg('{{"region_index":' || region_index || ',"region_type":"' || region_type || '"}}', ',' order by region_index, region_id) || ']')::int chars from {R} group by 1""",
+        "reconstructed_regions": f"""with r as (select *, row_number() over (partition by page_id order by region_index, region_id)::int i, coalesce(case when region_id % 7 = 0 then 'opposite' else marginal_position end = 'opposite', false) o, region_id % 3 <> 0 got from {R}), c as (select *, case when o or not got then '' else coalesce(content, '') end c from r)
+          select page_id, i region_index, c as content, case when o then false when got and region_id % 2 = 0 and is_visual is not null then is_visual else region_type = 'sketch' or region_id % 5 = 0 end is_visual, case when o then 'Bleedthrough from opposite folio — not transcribed.' when got then editorial_note end editorial_note,
+          case when o or not got then '' else coalesce(array_to_string(list_filter(languages, lambda z: z is not null), ','), '') end languages, len(regexp_extract_all(c, '[\\p{{L}}\\p{{N}}_]*\\[\\?\\]'))::int uncertain from c""",
+        "legend": f"select journal_id, string_agg(t, ',' order by coalesce(list_position({list(views.LEGEND)}, t), 1000), t) as types from (select distinct journal_id, region_type t from {R} where region_type is not null) group by 1",
+        "register_labels": f"with {_LINK_SQL}, i as (select mention_id, case when mention_id % 3 = 0 then 'X' || ids[1] else ids[1] end e from l where ids is not null) select mention_id, coalesce(b.label, e) as label from i left join (select ehd_id, min(trim(label)) as label from register group by 1) b on b.ehd_id = e",
+        "pages_with_image": f"select page_id from {P} where image_filename in (select image_filename from pages where page_id % 2 = 0)",
         "valid_entities": f"select min(mention_id) mention_id from {M} where entity_type in ('Person','Location','Species','Instrument','Measurement','Publication','Indigenous_Group','Celestial_Object') and trim(text) <> '' group by page_id, text, entity_type",
         "names_to_resolve": f"select distinct name from (select {_PLACE_NAME} as name from {M} where entity_type = 'Location') where name <> '' and name not in (select trim(label) from register where kind = 'place')",
         "resolved_places": f"select distinct n.name, g.lat, g.lon, case when g.name is not null then 'register' end source, g.name is not null as found from (select {_PLACE_NAME} as name from {M} where entity_type = 'Location') n left join {_GAZ} g on g.name = n.name where n.name <> ''",
