@@ -19,6 +19,7 @@ three-letter labels are missing; rows sent twice count once; null ids are left o
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import spread
 from .sampling import first_by_hash
+from .workers import held
 
 CODES = ("de", "en", "es", "fr", "la")
 TEXT_TYPES = ("main_text", "marginal_note", "pasted_slip", "crossed_out")
@@ -254,10 +256,10 @@ def detect(regions: DataFrame, model: Field | None = None) -> DataFrame:
     """region_id, page_id, label, langs, confidence of each text region; langs ordered, confidence of the least certain."""
     field = model or train(sample(regions))
     shared = regions.sparkSession.sparkContext.broadcast((field.weights, field.steps))  # bounded by SAMPLE
-    held: dict[int, Field] = {}
+    key = str(uuid.uuid4())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = held.setdefault(0, Field(*shared.value))
+        own = held(key, lambda: Field(*shared.value))
         for b in batches:
             langs, sure = [], []
             for s in sentences(own, b["content"].tolist()):
@@ -280,10 +282,10 @@ def segments(regions: DataFrame, model: Field | None = None) -> DataFrame:
     """region_id, segment, lang, confidence, first_word, last_word: runs of sentences in one language, short ones with their low confidence."""
     field = model or train(sample(regions))
     shared = regions.sparkSession.sparkContext.broadcast((field.weights, field.steps))
-    held: dict[int, Field] = {}
+    key = str(uuid.uuid4())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = held.setdefault(0, Field(*shared.value))
+        own = held(key, lambda: Field(*shared.value))
         for b in batches:
             rows = []
             for region, s in zip(b["region_id"], sentences(own, b["content"].tolist()), strict=True):

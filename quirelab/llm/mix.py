@@ -21,38 +21,55 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..session import cut
 from . import bpe
+from .sampling import bounded
 
-#: Sources by domain; others form a domain of their own.
-DOMAINS = {
-    "journal_transcript": "transcription", "tei_ground_truth": "transcription", "letter": "correspondence",
-    "register_note": "reference", "gazetteer": "reference", "bibliography": "reference", "editorial_comment": "editorial",
-    "travel_summary": "editorial", "instrument_log": "observation", "herbarium_label": "observation",
-}
 BUCKETS = 1 << 14
+#: A language is a code of two or three letters; anything else is `und`.
+CODE = r"^[a-z]{2,3}$"
+#: Leaves (sources x languages) the driver will work budgets out for, and targets it will read.
+LEAVES = 200_000
 
 
 def allot(leaves: dict[tuple, dict], total: float) -> None:
-    """Set `budget` of each leaf (keys are paths domain, language, source; needs weight, room)."""
-    for leaf in leaves.values():
-        leaf["budget"] = 0.0
+    """Set `budget` of each leaf (keys are paths domain, language, source; needs weight, room).
 
-    def fill(prefix: tuple, amount: float) -> float:
-        """Place `amount` under `prefix`; what finds no room there is returned to the parent."""
-        below = [k for k in leaves if k[: len(prefix)] == prefix]
-        if len(prefix) == 3:
-            leaf = leaves[prefix]
-            put = min(amount, leaf["room"] - leaf["budget"])
-            leaf["budget"] += put
-            return amount - put
-        children = sorted({k[: len(prefix) + 1] for k in below})
-        while amount > 1e-6:
-            live = {c: sum(leaves[k]["weight"] for k in below if k[: len(c)] == c and leaves[k]["room"] - leaves[k]["budget"] > 1e-9) for c in children}
-            if not (whole := sum(live.values())):
-                break
-            amount = sum(fill(c, amount * w / whole) for c, w in live.items() if w > 0)
-        return amount
-
-    fill((), total)
+    A node shares what it is given among its children by weight; what finds no room in a child goes to the
+    others, and only what finds none in any goes up. Every pass over a node fills a child, so work grows with the
+    nodes and the depth."""
+    tree: dict[tuple, dict[tuple, None]] = {}
+    for k, leaf in leaves.items():
+        leaf["budget"] = 0.0
+        for n in range(len(k)):
+            tree.setdefault(k[:n], {})[k[: n + 1]] = None
+    # weight and room of what is not full, by node
+    weight: dict[tuple, float] = {}
+    room: dict[tuple, float] = {}
+    for k, leaf in leaves.items():
+        for n in range(len(k) + 1):
+            weight[k[:n]] = weight.get(k[:n], 0.0) + leaf["weight"]
+            room[k[:n]] = room.get(k[:n], 0.0) + leaf["room"]
+
+    def fill(node: tuple, amount: float) -> None:
+        """Place `amount`, for which there is room, under `node`."""
+        if node in leaves:
+            leaves[node]["budget"] += amount
+            return
+        # children that would overflow are filled whole; the rest share what is left by weight
+        live = {c: None for c in sorted(tree[node]) if room[c] > 1e-9 and weight[c] > 0}
+        while live:
+            whole = sum(weight[c] for c in live)
+            full = [c for c in live if amount * weight[c] / whole >= room[c]]
+            if not full:
+                for c in live:
+                    fill(c, amount * weight[c] / whole)
+                return
+            for c in full:
+                fill(c, min(room[c], amount))
+                amount = max(0.0, amount - room[c])
+                del live[c]
+
+    if leaves:
+        fill((), min(total, room[()]))
 
 
 def feasible_total(sources: dict[str, dict]) -> float:
@@ -62,22 +79,23 @@ def feasible_total(sources: dict[str, dict]) -> float:
     return min(able, default=0.0) * reachable
 
 
-def mix(docs: DataFrame, targets: DataFrame, total: float | None = None, share_of_corpus: float | None = None, seed: int = 7, path: str = bpe.DEFAULT_VOCABULARY) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, targets: DataFrame, total: float | None = None, share_of_corpus: float | None = None, seed: int = 7, path: str = bpe.DEFAULT_VOCABULARY, domains: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(doc_id, source, domain, language, n_tokens, copies) of the drawn documents, and the report by source.
 
     `total`: tokens of the mix; `share_of_corpus`: the same as a multiple of all tokens; by default the
-    largest total at which every target is reached."""
+    largest total at which every target is reached. `domains`: domain of each source; a source it does not name is
+    a domain of its own."""
+    domains = domains or {}
     spark = docs.sparkSession
     lang = F.lower(F.trim(F.col("lang").cast("string")))
     base = docs.select(
         "doc_id", "text", F.col("source").cast("string").alias("source"),
-        F.when(lang.isin("de", "fr", "es", "la", "en"), lang).otherwise("und").alias("language"),
+        F.when(lang.rlike(CODE), lang).otherwise("und").alias("language"),
     )
     bucket = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(BUCKETS)).cast("int")
     counted = cut(bpe.count_tokens(base, path=path).filter("source is not null and n_tokens > 0").withColumn("bucket", bucket))
-    # sources x languages: bounded by the number of sources times six
-    held = counted.groupBy("source", "language").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs")).collect()
-    wanted = {r["source"]: r for r in targets.groupBy("source").agg(F.max("target_share").alias("t"), F.max("max_repeats").alias("m")).filter("source is not null").collect()}
+    held = bounded(counted.groupBy("source", "language").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs")), LEAVES, "sources and languages")
+    wanted = {r["source"]: r for r in bounded(targets.groupBy("source").agg(F.max("target_share").alias("t"), F.max("max_repeats").alias("m")).filter("source is not null"), LEAVES, "targets")}
     sources = {s: {"target": r["t"] or 0.0, "repeats": max(1, r["m"] if r["m"] is not None else 1), "tokens": 0, "docs": 0} for s, r in wanted.items()}
     for r in held:
         s = sources.setdefault(r["source"], {"target": 0.0, "repeats": 1, "tokens": 0, "docs": 0})
@@ -87,7 +105,7 @@ def mix(docs: DataFrame, targets: DataFrame, total: float | None = None, share_o
     for r in held:
         s = sources[r["source"]]
         if s["target"] > 0:
-            leaves[(DOMAINS.get(r["source"], r["source"]), r["language"], r["source"])] = {"weight": s["target"] * r["tokens"] / s["tokens"], "room": float(r["tokens"] * s["repeats"]), "tokens": r["tokens"], "repeats": s["repeats"]}
+            leaves[(domains.get(r["source"], r["source"]), r["language"], r["source"])] = {"weight": s["target"] * r["tokens"] / s["tokens"], "room": float(r["tokens"] * s["repeats"]), "tokens": r["tokens"], "repeats": s["repeats"]}
     corpus = sum(s["tokens"] for s in sources.values())
     goal = total if total is not None else share_of_corpus * corpus if share_of_corpus is not None else feasible_total(sources)
     allot(leaves, goal)

@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import random
 import re
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -35,7 +36,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import spread
-from .sampling import first_by_hash
+from .sampling import bounded, first_by_hash
+from .workers import held
 
 TEXT_TYPES = ("main_text", "marginal_note", "pasted_slip", "crossed_out")
 #: Bound of the training sample, in regions.
@@ -47,6 +49,10 @@ PAIRS = 8000
 SPELLING, SPELLING_COUNT = 0.03, 12
 #: Least share of all words, and least number of (hashed) journals, of a word of the lexicon.
 LEXICON, JOURNALS = 4e-5, 8
+#: How often a shape of line is shown to the furniture classifier in training at most.
+REPEATS = 6
+#: Titles the tasks are sent at most.
+JOURNALS_MOST = 500_000
 #: Share of the header examples that are shown again without their likeness to the title.
 HIDDEN = 0.4
 MARKS = "-=¬⸗­"
@@ -59,19 +65,14 @@ class Perceptron:
     """Averaged multi-class perceptron over named features; an example may be open to some classes only."""
 
     def __init__(self, classes: list[str]):
-        self.classes, self.w = classes, {}
+        self.classes, self.w, self.rows = classes, {}, None
 
     def fit(self, rows: list[tuple], epochs: int = 4, seed: int = 3) -> Perceptron:
         """Rows are (features, class) or (features, class, open classes)."""
-        total, last, w, t = defaultdict(float), defaultdict(int), defaultdict(float), 0
-        order = list(range(len(rows)))
+        w: dict[str, dict[str, float]] = {c: {} for c in self.classes}
+        summed: dict[str, dict[str, float]] = {c: {} for c in self.classes}  # weights times the steps they did not hold
+        order, t = list(range(len(rows))), 0
         shuffle = random.Random(seed).shuffle
-
-        def move(key, by):
-            total[key] += (t - last[key]) * w[key]
-            last[key] = t
-            w[key] += by
-
         for _ in range(epochs):
             shuffle(order)
             for i in order:
@@ -79,22 +80,21 @@ class Perceptron:
                 t += 1
                 guess, top = None, None
                 for c in rest[0] if rest else self.classes:
-                    score = 0.0
-                    for f in fs:
-                        if (x := w.get((f, c))) is not None:
-                            score += x
+                    of = w[c]
+                    score = sum([of[f] for f in fs if f in of])
                     if top is None or (score, c) > top:
                         guess, top = c, (score, c)
                 if guess != gold:
-                    for f in fs:
-                        move((f, gold), 1.0)
-                        move((f, guess), -1.0)
-        out: dict[str, dict[str, float]] = {}
-        for (f, c), x in w.items():
-            average = (total[f, c] + (t - last[f, c]) * x) / max(t, 1)
-            if abs(average) > 1e-3:
-                out.setdefault(c, {})[f] = average
-        self.w = out
+                    for c, by in ((gold, 1.0), (guess, -1.0)):
+                        of, late = w[c], summed[c]
+                        for f in fs:
+                            of[f] = of.get(f, 0.0) + by
+                            late[f] = late.get(f, 0.0) + by * (t - 1)
+        self.w, self.rows = {}, None
+        for c, of in w.items():
+            averages = {f: x - summed[c][f] / max(t, 1) for f, x in of.items()}
+            if kept := {f: x for f, x in averages.items() if abs(x) > 1e-3}:
+                self.w[c] = kept
         return self
 
     def score(self, fs: list[str], c: str) -> float:
@@ -102,7 +102,13 @@ class Perceptron:
         return sum([w[f] for f in fs if f in w]) if w else 0.0
 
     def best(self, fs: list[str]) -> str:
-        return max(self.classes, key=lambda c: (self.score(fs, c), c))
+        """The class of the highest score; of equal ones the last by name."""
+        if self.rows is None:
+            self.rows = {f: tuple(self.w.get(c, {}).get(f, 0.0) for c in self.classes) for f in {f for w in self.w.values() for f in w}}
+        rows = self.rows
+        found = [rows[f] for f in fs if f in rows]
+        totals = map(sum, zip(*found, strict=True)) if found else [0.0] * len(self.classes)
+        return max(zip(totals, self.classes, strict=True))[1]
 
 
 def difference(clean: str, seen: str) -> tuple[int, str, str]:
@@ -207,6 +213,8 @@ class Editor:
     def __init__(self, lexicon: frozenset[str], characters: Perceptron, furniture: Perceptron, titles: dict[str, str], confusions: frozenset[tuple[str, str]] = frozenset()):
         self.confusions, self.lexicon, self.characters, self.furniture = confusions, lexicon, characters, furniture
         self.changes, self.titles, self.memo, self.names, self.shapes, self.cells = Changes(confusions), titles, {}, {}, {}, {}
+        self.kinds: dict[str, tuple[int, str, str | None]] = {}
+        self.alike: dict[tuple[str, ...], dict[str, int]] = {}
 
     def edit(self, word: str) -> tuple[int, str] | None:
         """(place of the first change, repaired word in lower case) of a misread word, else None."""
@@ -215,10 +223,7 @@ class Editor:
         w, first, case = word.lower(), None, case_of(word)
         if len(w) >= 3 and not w.isdigit():
             for _ in range(len(w)):  # a word has at most so many characters to repair
-                best = None
-                for i, clean, ops, total in self.rated(w, case):
-                    if total > 0 and (best is None or (total, clean) > best[:2]):
-                        best = (total, clean, i)
+                best = self.best_change(w, case)
                 if best is None:
                     break
                 first = best[2] if first is None else min(first, best[2])
@@ -229,32 +234,43 @@ class Editor:
         self.memo[word] = out
         return out
 
-    def rated(self, w: str, case: str) -> Iterator[tuple[int, str, list, float]]:
-        """Every change that fits a word, with what the editor prefers its operations to keeping by.
+    def best_change(self, w: str, case: str) -> tuple[float, str, int] | None:
+        """(preference over keeping, word after it, place) of the change the editor prefers most, if it prefers any.
 
         What a place says apart from the lexicon depends on the five characters around it; that is remembered."""
-        found, weights, score = self.changes.of(w), self.characters.w, self.characters.score
-        known, digits, p = w in self.lexicon, digits_of(w), f"^^{w}$$"
-        says, held = (known, case, digits, min(len(w), 5)), {}
+        lexicon, cells, score = self.lexicon, self.cells, self.characters.score
+        digits = digits_of(w)
+        found, right = self.changes.of(w), {}
+        if not found:
+            return None
         for i, clean, ops in found:
-            if clean in self.lexicon:
+            if clean in lexicon:
                 for k, gap, op in ops:
-                    held.setdefault((i + k, gap), []).append("word " + op)
-        if len(self.cells) > 400_000:
-            self.cells.clear()
+                    right.setdefault((i + k, gap), []).append("word " + op)
+        if len(cells) > 400_000:
+            cells.clear()
+        known, p = w in lexicon, f"^^{w}$$"
+        says, best = f"{known}{case}{digits}{len(w) if len(w) < 5 else 5}", None
         for i, clean, ops in found:
             total = 0.0
             for k, gap, op in ops:
-                key = (p[i + k : i + k + 5], gap, says)
-                if (cell := self.cells.get(key)) is None:
-                    fs = context(w, i + k, gap, known, case, digits)
-                    cell = self.cells[key] = (fs, score(fs, KEEP), {})
-                if (margin := cell[2].get(op)) is None:
-                    margin = cell[2][op] = score(cell[0], op) - cell[1]
+                j = i + k
+                key = says + p[j : j + 5] + ("+" + op if gap else op)
+                margin = cells.get(key)
+                if margin is None:
+                    fs = context(w, j, gap, known, case, digits)
+                    margin = cells[key] = score(fs, op) - score(fs, KEEP)
                 total += margin
-                for f in held.get((i + k, gap), ()):
-                    total += weights.get(op, {}).get(f, 0.0) - weights.get(KEEP, {}).get(f, 0.0)
-            yield i, clean, ops, total
+                if right:
+                    for f in right.get((j, gap), ()):
+                        total += self.bonus(op, f)
+            if total > 0 and (best is None or (total, clean) > best[:2]):
+                best = (total, clean, i)
+        return best
+
+    def bonus(self, op: str, f: str) -> float:
+        w = self.characters.w
+        return w.get(op, {}).get(f, 0.0) - w.get(KEEP, {}).get(f, 0.0)
 
     def joins(self, part: str, mark: str, following: str) -> bool:
         """Whether the word before a mark at the line end goes on in the next line."""
@@ -279,6 +295,11 @@ def likeness(line: str, names: list[str]) -> int:
     return found
 
 
+def which_name(word: str, names: list[str]) -> int:
+    """Place of the title's name that a word is, or nearly is; -1 for none."""
+    return next((i for i, n in enumerate(names) if n in word or abs(len(word) - len(n)) <= 2 and word[0] == n[0] and _close(word, n)), -1)
+
+
 def _close(a: str, b: str) -> bool:
     """At most two letters apart once sorted, and alike in their pairs."""
     x, y = Counter(a), Counter(b)
@@ -297,18 +318,32 @@ def line_shape(e: Editor, line: str, k: int, n: int, before: str, after: str, na
     many, lexicon = len(words), e.lexicon
     known = named = 0
     lead = None
+    kinds, alike, matched = e.kinds, None, 0
+    if names and not hide:
+        alike = e.alike.setdefault(tuple(names), {})
+        if len(alike) > 100_000:
+            alike.clear()
     for w in words:
-        x = w.strip(",.;:()[]—–-").lower()
-        inside = x in lexicon
+        kind = kinds.get(w)
+        if kind is None:
+            if len(kinds) > 400_000:
+                kinds.clear()
+            x = w.strip(",.;:()[]—–-").lower()
+            capital = x if w[0].isupper() and x else None
+            kind = kinds[w] = (1, x, capital) if x in lexicon else (2 if capital else 0, "-", capital)
         if lead is None:
-            lead = x if inside else "-"
-        if inside:
+            lead = kind[1]
+        if kind[0] == 1:
             known += 1
-        elif w[0].isupper():
+        elif kind[0]:
             named += 1
-    found = 0
-    if names and not hide:
-        found = likeness(s, names) if named and many <= 12 else sum(x in s.lower() for x in names)
+        if alike is not None and (x := kind[2]) is not None:
+            at = alike.get(x)
+            if at is None:
+                at = alike[x] = which_name(x, names)
+            if at >= 0:
+                matched |= 1 << at
+    found = matched.bit_count()
     part = "all" if names and found == len(names) else "some" if found else "none"
     end = s[-1]
     common = (
@@ -316,7 +351,8 @@ def line_shape(e: Editor, line: str, k: int, n: int, before: str, after: str, na
         not before or before.rstrip()[-1:] in ".!?", "low" if after[:1].islower() else "up" if after else "none", "a" if end.isalpha() else "9" if end.isdigit() else end,
     )
     holder, index, top, number, folio = place
-    where = (holder, -1 if index is None else min(int(index), 3), -1 if top is None else int(top) // 125)
+    # the place of the field tells of its first and last line
+    where = (holder, -1, -1) if 0 < k < n - 1 else (holder, -1 if index is None else min(int(index), 3), -1 if top is None else int(top) // 125)
     if many > 12:
         return common
     if many > 4:
@@ -453,8 +489,9 @@ _NUMBER = re.compile(r"^[^\w]{0,3}(?:[a-zA-Z]{1,4}\.? ?)?\d{1,4} ?[rv]?[^\w]{0,3
 def train(regions: DataFrame, journals: DataFrame, size: int = SAMPLE) -> Editor:
     """Models from the lexicon of all text and a bounded sample of regions by hash of the id."""
     lexicon = lexicon_of(regions)
-    titles = {r["journal_id"]: r["title"] for r in journals.select("journal_id", "title").collect()}  # fixed table
-    rows = first_by_hash(regions.filter("content is not null and region_id is not null").select("region_id", "region_type", "journal_id", "content", *_place_columns(regions, "region")), "region_id", size).collect()
+    titles = {r["journal_id"]: r["title"] for r in bounded(journals.select("journal_id", "title"), JOURNALS_MOST, "journals")}
+    cells = F.flatten("table_data.cells") if "table_data" in regions.columns else F.lit(None).cast("array<string>")
+    rows = first_by_hash(regions.filter("content is not null and region_id is not null").select("region_id", "region_type", "journal_id", "content", cells.alias("cells"), *_place_columns(regions, "region")), "region_id", size).collect()
     texts = [(r["content"], r["journal_id"], _place(r)) for r in rows if r["region_type"] in TEXT_TYPES]
     characters, confusions = _train_characters(lexicon, [t for t, *_ in texts])
     e = Editor(lexicon, characters, Perceptron(["text"]), titles, confusions)
@@ -572,6 +609,10 @@ def _train_furniture(e: Editor, rows: list, texts: list[tuple[str, str, tuple]])
             placed.append((k, len(lines), lines[k - 1] if k else "", lines[k] if k < len(lines) else "", place))
     for r in rows:
         kind, c = r["region_type"], r["content"].strip()
+        # on a page the cells of a table are lines
+        for x in r["cells"] or ():
+            if x and x.strip() and not _NUMBER.match(x.strip()):
+                out.append((features(e, x, 1, 3, "", "", [], ("page", None, None, r["page_number"], r["folio_label"])), "text"))
         if kind not in ("page_number", "entry_heading", "calculation") or not c:
             continue
         label = "page_number" if kind == "page_number" else "text"
@@ -590,7 +631,9 @@ def _train_furniture(e: Editor, rows: list, texts: list[tuple[str, str, tuple]])
                     out.append((features(e, x, k + 1, n + 3, up, down, [], ("page", None, None, *place[3:])), label))
     # ends of measured values on a line of their own are text
     out += [(features(e, f"{n}{end}", k, 3, "", "", []), "text") for n in (3, 14, 82) for end in ("'.", "°.", " °.", " '.", "½", "° R..") for k in (0, 1, 2)]
-    return Perceptron(["header", "page_number", "text"]).fit(out)
+    # more than REPEATS lines of one shape say nothing new
+    shown = Counter((tuple(fs), kind) for fs, kind in out)
+    return Perceptron(["header", "page_number", "text"]).fit([(list(fs), kind) for (fs, kind), n in shown.items() for _ in range(min(n, REPEATS))])
 
 
 def _place_columns(df: DataFrame, holder: str) -> list:
@@ -626,10 +669,10 @@ def _rows(b: pd.DataFrame):
 
 def find(regions: DataFrame, pages: DataFrame, journals: DataFrame, editor: Editor | None = None) -> DataFrame:
     """holder, record_id, line_no, flaw of every faulty line."""
-    shared, held = _shared(editor or train(regions, journals), regions.sparkSession), {}
+    shared, key = _shared(editor or train(regions, journals), regions.sparkSession), str(uuid.uuid4())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        e = held.setdefault(0, Editor(*shared.value))
+        e = held(key, lambda: Editor(*shared.value))
         for b in batches:
             out = []
             for holder, record, journal, text, place in _rows(b):
@@ -641,10 +684,10 @@ def find(regions: DataFrame, pages: DataFrame, journals: DataFrame, editor: Edit
 
 def repair(regions: DataFrame, pages: DataFrame, journals: DataFrame, editor: Editor | None = None) -> DataFrame:
     """holder, record_id, text: continuous paragraphs without furniture, breaks and misread words."""
-    shared, held = _shared(editor or train(regions, journals), regions.sparkSession), {}
+    shared, key = _shared(editor or train(regions, journals), regions.sparkSession), str(uuid.uuid4())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        e = held.setdefault(0, Editor(*shared.value))
+        e = held(key, lambda: Editor(*shared.value))
         for b in batches:
             texts = []
             for _, _, journal, text, place in _rows(b):

@@ -37,6 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut
+from .sampling import bounded
 
 # Forenames and their short and foreign forms, titles, particles and epithets.
 FORENAMES = {
@@ -197,6 +198,10 @@ _FIELDS = "type string, spellings array<string>, firsts array<string>, seconds a
 _SETS = ("spellings", "firsts", "seconds", "initials", "births", "deaths", "callings")
 
 
+#: Pairs of forename forms the driver will read.
+NICKNAMES = 1_000_000
+
+
 def nicknames(rows: DataFrame) -> dict[str, str]:
     """Forename forms beyond the table, from rows whose two names share the surname and differ in the forename.
 
@@ -216,9 +221,9 @@ def nicknames(rows: DataFrame) -> dict[str, str]:
                     seen[a[0], g[0]] += 1
             yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["short", "full", "n"])
 
-    found = rows.select("text", "normalized_form").mapInPandas(run, "short string, full string, n long").groupBy("short", "full").agg(F.sum("n").alias("n")).filter("n >= 5").collect()
+    found = rows.select("text", "normalized_form").mapInPandas(run, "short string, full string, n long").groupBy("short", "full").agg(F.sum("n").alias("n")).filter("n >= 5")
     by = defaultdict(dict)
-    for r in found:
+    for r in bounded(found, NICKNAMES, "nicknames"):
         by[r["short"]][r["full"]] = r["n"]
     return {s: max(f, key=f.get) for s, f in by.items() if max(f.values()) >= 0.8 * sum(f.values())}
 

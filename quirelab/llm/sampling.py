@@ -1,4 +1,4 @@
-"""A bounded sample by hash of the key, without gathering more than it."""
+"""What may come to the driver: a bounded sample by hash of the key, and tables known to be small."""
 
 from __future__ import annotations
 
@@ -15,3 +15,11 @@ def first_by_hash(df: DataFrame, key: str, size: int) -> DataFrame:
     if total > 4 * size:
         df = df.filter(h < F.lit(-(1 << 63) + int(2 * size / total * (1 << 64))))
     return df.orderBy(h, key).limit(size)
+
+
+def bounded(rows: DataFrame, most: int, what: str) -> list:
+    """The rows of a table that must be small, for the driver; an error where it is larger than `most`."""
+    out = rows.limit(most + 1).collect()
+    if len(out) > most:
+        raise ValueError(f"more than {most} {what}")
+    return out

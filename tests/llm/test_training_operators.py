@@ -329,8 +329,11 @@ def test_operations_rebuild_the_word():
 
 def test_headers_by_place_and_shape(spark):
     """A header with other names than the title's is found by where it stands and how it looks; long lines are tried too."""
-    r = frame(spark, scans(), "region_id long, region_type string, journal_id string, content string")
-    e = repair.train(r, spark.createDataFrame([(f"J{i}", "Reise von Rikalrode nach Kozartartal") for i in range(9)], "journal_id string, title string"))
+    title = lambda j: f"Reise von {'Rikal Zimal Bodes Fizur Klond Tirel Glana Vorto Stago'.split()[j]}rode nach {'Kozar Pelmer Judol Biliho Nufin Grond Sesas Dodir Lizbu'.split()[j]}tal"
+    data = [(i, k, f"J{i % 9}", c.replace("Reise von Rikalrode nach Kozartartal", title(i % 9))) for i, k, _, c in scans()]
+    r = frame(spark, data, "region_id long, region_type string, journal_id string, content string")
+    e = repair.train(r, spark.createDataFrame([(f"J{i}", title(i)) for i in range(9)], "journal_id string, title string"))
+    assert "rikalrode" not in e.lexicon and "reise" in e.lexicon
     text = "Reise von Bodesrode nach Pelmertal\nder fluss war kalt und die brücke stand im wasser\nnach dem regen wurde das gestein dunkler"
     assert repair.flaws(e, text, "J1")[1] == [(1, "header")]
     assert repair.flaws(e, "der fluss war sehr kalt " * 30 + "\n" + " " * 20 + "47" + " " * 20 + "\nund die brücke", None)[1] == [(2, "page_number")]
@@ -411,7 +414,14 @@ def test_encoding_matches_the_public_library(spark):
 def test_budget_flows_to_siblings_first():
     leaves = {("d", "de", "a"): {"weight": 0.4, "room": 10.0}, ("d", "de", "b"): {"weight": 0.2, "room": 100.0}, ("e", "fr", "c"): {"weight": 0.4, "room": 100.0}}
     mix.allot(leaves, 100.0)
+    # the shortage of `a` goes to its sibling `b`, not to the other domain
     assert [round(x["budget"]) for x in leaves.values()] == [10, 50, 40]
+    mix.allot(leaves, 1000.0)
+    assert [round(x["budget"]) for x in leaves.values()] == [10, 100, 100]
+    many = {("web", f"l{i % 40}", f"s{i}"): {"weight": 1 + i % 7, "room": float(i % 11)} for i in range(50_000)}
+    mix.allot(many, 150_000.0)
+    assert abs(sum(x["budget"] for x in many.values()) - 150_000) < 1 and all(x["budget"] <= x["room"] + 1e-6 for x in many.values())
+    mix.allot({}, 5.0)
 
 
 def test_mixing(spark):
@@ -424,6 +434,8 @@ def test_mixing(spark):
     assert docs.count() == docs.select("doc_id").distinct().count()
     again = mix.mix(d, t)[0]
     assert rows(again) == rows(docs)
+    tree = {r["domain"] for r in mix.mix(d, t, domains={"letter": "post", "gazetteer": "books"})[0].select("domain").distinct().collect()}
+    assert tree == {"post", "books"}
     far = {r["source"]: r for r in mix.mix(d, t, total=1e6)[1].collect()}
     assert far["letter"]["out_of_reach"] and far["letter"]["most_copies"] == 1
     assert mix.mix(d.limit(0), t)[0].count() == 0
