@@ -154,10 +154,6 @@ def append_note(existing: Column, fragment: Column) -> Column:
     return F.when(~has, existing).when(existing.isNull() | (existing == ""), fragment).when(existing.contains(fragment), existing).otherwise(F.concat_ws(" | ", existing, fragment))
 
 
-def person_label(surname: Column, forename: Column, full: Column) -> Column:
-    return F.coalesce(F.nullif(F.trim(full), F.lit("")), F.nullif(F.concat_ws(", ", F.nullif(F.trim(surname), F.lit("")), F.nullif(F.trim(forename), F.lit(""))), F.lit("")))
-
-
 def strip(c: Column) -> Column:
     """Without blanks and line breaks at both ends."""
     return F.regexp_replace(c, r"^[\s\x{A0}]+|[\s\x{A0}]+$", "")

@@ -98,15 +98,3 @@ def linked_mentions(mentions: DataFrame, links: DataFrame, pages: DataFrame) ->
     got = links.select("mention_id", "ehd_id", F.col("method").alias("link_method"), F.col("score").alias("link_score"), F.col("ambiguous").alias("link_ambiguous"))
     m = mentions.select("mention_id", "page_id", "entity_type", "text", "normalized_form").join(got, "mention_id", "left")
     return m.join(pages.select("page_id", F.col("page_number").alias("page")), "page_id", "left")
-
-
-def first_seen(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The first row of each key, by `order`; nulls last."""
-    w = W.partitionBy(*keys).orderBy(F.col(order).asc_nulls_last())
-    return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
-
-
-def last_seen(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The last row of each key, by `order`; nulls first."""
-    w = W.partitionBy(*keys).orderBy(F.col(order).desc_nulls_last())
-    return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")

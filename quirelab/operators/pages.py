@@ -10,11 +10,6 @@ from ..functions.text import entry_numbers, folio_variants, norm_folio, preview,
 TABLE = "observation_table"
 
 
-def is_opposite(position: Column) -> Column:
-    """A margin that belongs to the facing page; false for null."""
-    return F.coalesce(position == "opposite", F.lit(False))
-
-
 def region_text_parts(r: Column) -> Column:
     """Text parts of one region: the non-blank cells of a table, else its content."""
     cells = F.filter(F.flatten(r["table_data"]["cells"]), lambda c: F.trim(c) != "")

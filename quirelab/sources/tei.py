@@ -153,7 +153,7 @@ def read(documents: DataFrame, xml: str = "xml") -> DataFrame:
 
 
 def read_files(spark, path: str) -> DataFrame:
-    return read(spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), F.col("value").alias("xml")))
+    return read(spark.read.text(path, wholetext=True).select(F.input_file_name().alias("path"), F.col("value").alias("xml")))
 
 
 _MARK = re.compile(r"~~(?P<struck>.+?)~~|<u>(?P<under>.+?)</u>|(?P<unsure>\w+)\[\?\]|\[(?P<gap>\.\.\.|[^\]]*unleserlich)\]|\[(?P<given>[^\]\s]+)\]", re.S)
