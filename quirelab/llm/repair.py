@@ -55,6 +55,7 @@ REPEATS = 6
 JOURNALS_MOST = 500_000
 #: Share of the header examples that are shown again without their likeness to the title.
 HIDDEN = 0.4
+_MARK_SET = frozenset("-=¬⸗­")
 MARKS = "-=¬⸗­"
 _WORD = re.compile(r"[^\W_]+")
 _NAME = re.compile(r"[^\W\d_]{4,}")
@@ -213,7 +214,18 @@ class Editor:
     def __init__(self, lexicon: frozenset[str], characters: Perceptron, furniture: Perceptron, titles: dict[str, str], confusions: frozenset[tuple[str, str]] = frozenset()):
         self.confusions, self.lexicon, self.characters, self.furniture = confusions, lexicon, characters, furniture
         self.changes, self.titles, self.memo, self.names, self.shapes, self.cells = Changes(confusions), titles, {}, {}, {}, {}
+        # by first letter: each change and the most the lexicon could add to it
+        self.open: dict[str, list] = {}
+        self.pair = {}
+        reach = {c: {op for _, _, ops in row for _, _, op in ops} for c, row in self.changes.by_first.items()}
+        anything = set().union(*reach.values())
+        for c, row in self.changes.by_first.items():
+            for good, bad, ops in row:
+                most = sum(max(0.0, self.bonus(op, "word " + o)) for k, gap, op in ops for o in (reach[c] if k == 0 and not gap else anything))
+                self.open.setdefault(c, []).append((good, bad, ops, most))
+                self.pair[id(ops)] = (good, bad)
         self.kinds: dict[str, tuple[int, str, str | None]] = {}
+        self.short: dict[str, tuple] = {}
         self.alike: dict[tuple[str, ...], dict[str, int]] = {}
 
     def edit(self, word: str) -> tuple[int, str] | None:
@@ -239,30 +251,39 @@ class Editor:
 
         What a place says apart from the lexicon depends on the five characters around it; that is remembered."""
         lexicon, cells, score = self.lexicon, self.cells, self.characters.score
-        digits = digits_of(w)
-        found, right = self.changes.of(w), {}
-        if not found:
+        digits, known, p = digits_of(w), w in self.lexicon, f"^^{w}$$"
+        says = f"{known}{case}{digits}{len(w) if len(w) < 5 else 5}"
+        if len(cells) > 400_000:
+            cells.clear()
+        rated: dict[tuple[int, str, str], float] = {}
+        hope = False
+        for i, c in enumerate(w):
+            for good, bad, ops, most in self.open.get(c, ()):
+                if len(bad) > 1 and not w.startswith(bad, i):
+                    continue
+                total = 0.0
+                for k, gap, op in ops:
+                    j = i + k
+                    key = says + p[j : j + 5] + ("+" + op if gap else op)
+                    margin = cells.get(key)
+                    if margin is None:
+                        fs = context(w, j, gap, known, case, digits)
+                        margin = cells[key] = score(fs, op) - score(fs, KEEP)
+                    total += margin
+                rated[i, good, bad] = total
+                hope = hope or total + most > 0
+        if not hope:  # not even with all the lexicon could say
             return None
+        found, right, best = self.changes.of(w), {}, None
         for i, clean, ops in found:
             if clean in lexicon:
                 for k, gap, op in ops:
                     right.setdefault((i + k, gap), []).append("word " + op)
-        if len(cells) > 400_000:
-            cells.clear()
-        known, p = w in lexicon, f"^^{w}$$"
-        says, best = f"{known}{case}{digits}{len(w) if len(w) < 5 else 5}", None
         for i, clean, ops in found:
-            total = 0.0
-            for k, gap, op in ops:
-                j = i + k
-                key = says + p[j : j + 5] + ("+" + op if gap else op)
-                margin = cells.get(key)
-                if margin is None:
-                    fs = context(w, j, gap, known, case, digits)
-                    margin = cells[key] = score(fs, op) - score(fs, KEEP)
-                total += margin
-                if right:
-                    for f in right.get((j, gap), ()):
+            total = rated[i, *self.pair[id(ops)]]
+            if right:
+                for k, gap, op in ops:
+                    for f in right.get((i + k, gap), ()):
                         total += self.bonus(op, f)
             if total > 0 and (best is None or (total, clean) > best[:2]):
                 best = (total, clean, i)
@@ -272,6 +293,13 @@ class Editor:
         w = self.characters.w
         return w.get(op, {}).get(f, 0.0) - w.get(KEEP, {}).get(f, 0.0)
 
+    def alike_to(self, names: list[str]) -> dict[str, int]:
+        """What is known of words against the names of a title."""
+        alike = self.alike.setdefault(tuple(names), {})
+        if len(alike) > 100_000:
+            alike.clear()
+        return alike
+
     def joins(self, part: str, mark: str, following: str) -> bool:
         """Whether the word before a mark at the line end goes on in the next line."""
         fs = join_features(self.lexicon, part, mark, following)
@@ -311,18 +339,16 @@ NOWHERE = ("region", None, None, None, None)
 _LETTERS, _DIGITS, _SIGNS, _PAGE = re.compile(r"[^\W\d_]+"), re.compile(r"\d+"), re.compile(r"[\w\s]"), re.compile(r"(?i)(?:fol|f|p|pag|s|bl)[rv]?")
 
 
-def line_shape(e: Editor, line: str, k: int, n: int, before: str, after: str, names: list[str], place: tuple = NOWHERE, hide: bool = False) -> tuple:
+def line_shape(e: Editor, line: str, k: int, n: int, before: str, after: str, names: list[str], place: tuple = NOWHERE, hide: bool = False, alike: dict[str, int] | None = None) -> tuple:
     """What the classifier sees of a line: its shape, its place in the field and on the page, and its likeness to the title (unless hidden)."""
     s = line.strip()
     words = s.replace("–", " ").replace("—", " ").split() or [s]
     many, lexicon = len(words), e.lexicon
     known = named = 0
     lead = None
-    kinds, alike, matched = e.kinds, None, 0
-    if names and not hide:
-        alike = e.alike.setdefault(tuple(names), {})
-        if len(alike) > 100_000:
-            alike.clear()
+    kinds, matched = e.kinds, 0
+    if alike is None and names and not hide:
+        alike = e.alike_to(names)
     for w in words:
         kind = kinds.get(w)
         if kind is None:
@@ -357,11 +383,16 @@ def line_shape(e: Editor, line: str, k: int, n: int, before: str, after: str, na
         return common
     if many > 4:
         return (*common, lead, where)
-    letters = "".join(_LETTERS.findall(s))
-    numbers = _DIGITS.findall(s)
-    signs = "".join(sorted(set(_SIGNS.sub("", s))))
-    kind = "none" if not letters else "rv" if letters.lower() in ("r", "v") else "page" if _PAGE.fullmatch(letters) else "other"
-    form = _LETTERS.sub("a", _DIGITS.sub("9", s)) if kind != "other" else kind
+    made = e.short.get(s)
+    if made is None:
+        if len(e.short) > 200_000:
+            e.short.clear()
+        letters = "".join(_LETTERS.findall(s))
+        numbers = _DIGITS.findall(s)
+        kind = "none" if not letters else "rv" if letters.lower() in ("r", "v") else "page" if _PAGE.fullmatch(letters) else "other"
+        form = _LETTERS.sub("a", _DIGITS.sub("9", s)) if kind != "other" else kind
+        made = e.short[s] = (kind, form, "".join(sorted(set(_SIGNS.sub("", s)))), numbers)
+    kind, form, signs, numbers = made
     same = None
     if len(numbers) == 1 and kind != "other":
         same = (numbers[0] == str(number), bool(folio) and folio.strip("[]. ").lower() == s.strip("[]-—–. ").lower())
@@ -392,11 +423,12 @@ def line_features(shape: tuple) -> list[str]:
 def furniture_lines(e: Editor, lines: list[str], journal: str | None, place: tuple = NOWHERE) -> list[str]:
     """Class of each line: text, header or page_number."""
     names, out = e.title_names(journal), []
+    alike = e.alike_to(names) if names else None
     for k, line in enumerate(lines):
-        if not line.strip():
+        if not line or line.isspace():
             out.append("text")
             continue
-        shape = line_shape(e, line, k, len(lines), lines[k - 1] if k else "", lines[k + 1] if k + 1 < len(lines) else "", names, place)
+        shape = line_shape(e, line, k, len(lines), lines[k - 1] if k else "", lines[k + 1] if k + 1 < len(lines) else "", names, place, False, alike)
         if shape not in e.shapes:
             if len(e.shapes) > 400_000:
                 e.shapes.clear()
@@ -440,7 +472,7 @@ def flaws(e: Editor, text: str | None, journal: str | None, place: tuple = NOWHE
                 bad.add(at if hit[0] < len(part) else k)
             rest = words[1:]
         carried = None
-        m = _MARKED.search(line)
+        m = _MARKED.search(line) if line.rstrip(" ")[-1:] in _MARK_SET else None
         if m and words:
             j = k + 1
             while j < len(lines) and kinds[j] != "text":
@@ -582,7 +614,7 @@ def _train_characters(lexicon: frozenset[str], texts: list[str]) -> tuple[Percep
     # elliptic hyphens are rare at line ends: made from the lexicon
     for w in rng.sample(known, min(40, len(known))):
         examples += [(join_features(lexicon, part, "-", f"{c} {w}"), KEEP, [KEEP, JOIN]) for c in sorted(CONJUNCTIONS)[::3] for part in (w, w[::-1])]
-    return Perceptron(sorted({op for _, gold, open_ in examples for op in open_} | {KEEP, JOIN})).fit(examples, epochs=6), confusions
+    return Perceptron(sorted({op for _, gold, open_ in examples for op in open_} | {KEEP, JOIN})).fit(examples, epochs=4), confusions
 
 
 def _train_furniture(e: Editor, rows: list, texts: list[tuple[str, str, tuple]]) -> Perceptron:
@@ -633,7 +665,7 @@ def _train_furniture(e: Editor, rows: list, texts: list[tuple[str, str, tuple]])
     out += [(features(e, f"{n}{end}", k, 3, "", "", []), "text") for n in (3, 14, 82) for end in ("'.", "°.", " °.", " '.", "½", "° R..") for k in (0, 1, 2)]
     # more than REPEATS lines of one shape say nothing new
     shown = Counter((tuple(fs), kind) for fs, kind in out)
-    return Perceptron(["header", "page_number", "text"]).fit([(list(fs), kind) for (fs, kind), n in shown.items() for _ in range(min(n, REPEATS))])
+    return Perceptron(["header", "page_number", "text"]).fit([(list(fs), kind) for (fs, kind), n in shown.items() for _ in range(min(n, REPEATS))], epochs=3)
 
 
 def _place_columns(df: DataFrame, holder: str) -> list:
@@ -662,9 +694,9 @@ def _shared(e: Editor, spark):
 
 def _rows(b: pd.DataFrame):
     """holder, record_id, journal, text, place of each row."""
-    none = lambda x: None if pd.isna(x) else x
-    for holder, record, journal, text, index, top, number, folio in zip(b["holder"], b["record_id"], b["journal_id"], b["text"], b["region_index"], b["top"], b["page_number"], b["folio_label"], strict=True):
-        yield holder, record, journal, text, (holder, none(index), none(top), none(number) if number is None or pd.isna(number) else int(number), folio)
+    known = lambda c: b[c].astype(object).where(b[c].notna(), None).tolist()
+    number = [None if x is None else int(x) for x in known("page_number")]
+    yield from zip(b["holder"], b["record_id"].tolist(), b["journal_id"], b["text"], zip(b["holder"], known("region_index"), known("top"), number, known("folio_label"), strict=True), strict=True)
 
 
 def find(regions: DataFrame, pages: DataFrame, journals: DataFrame, editor: Editor | None = None) -> DataFrame:
