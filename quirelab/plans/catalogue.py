@@ -349,14 +349,17 @@ def layout_duplicates(s, d):
     return stages.apply_layout(r, stages.duplicate_decisions(r)).select("region_id", "region_type", "content", "editorial_note", "issue", "severity", F.coalesce(F.size("uncertain_readings"), F.lit(0)).alias("uncertain"))
 
 
-#: Position texts and given positions by region_id, so that missing, invalid and contradicting ones occur.
-_SAID = F.get(F.array(*map(F.lit, ("Left margin", "top left", "upper edge, at the TOP", "bottom", "bleed-through", "opposite page", "interlinear", ""))), (F.col("region_id") % 8).cast("int"))
-_GIVEN = F.when(F.col("region_id") % 3 == 0, F.get(F.array(*map(F.lit, ("top", "mTop", "inline", "Left", "opposite", " ", ""))), (F.col("region_id") % 7).cast("int"))).when(F.col("region_id") % 3 == 1, F.col("marginal_position"))
+def _positions():
+    """Position texts and given positions by region_id, so that missing, invalid and contradicting ones occur."""
+    pick = lambda values: F.get(F.array(*map(F.lit, values)), (F.col("region_id") % len(values)).cast("int"))
+    said = pick(("Left margin", "top left", "upper edge, at the TOP", "bottom", "bleed-through", "opposite page", "interlinear", ""))
+    given = F.when(F.col("region_id") % 3 == 0, pick(("top", "mTop", "inline", "Left", "opposite", " ", ""))).when(F.col("region_id") % 3 == 1, F.col("marginal_position"))
+    return said.alias("position"), given.alias("marginal_position")
 
 
 def detections(s, d):
     """Detections with the kinds of positions that models answer."""
-    r = _regions(s, d).select("page_id", F.col("region_index").alias("i"), "region_id", "region_type", F.col("content").isNotNull().alias("has_text"), _SAID.alias("position"), _GIVEN.alias("marginal_position"), "bbox")
+    r = _regions(s, d).select("page_id", F.col("region_index").alias("i"), "region_id", "region_type", F.col("content").isNotNull().alias("has_text"), *_positions(), "bbox")
     raw = r.withColumn("ord", F.struct("i", "region_id"))
     return stages.clean_detections(raw).select("page_id", "region_index", "region_type", "has_text", "marginal_position")
 

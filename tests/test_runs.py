@@ -1,4 +1,7 @@
 import json
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,3 +175,9 @@ def test_margins_are_paired_best_first():
     theirs = [("a b c d", None), ("a b c z", "left"), ("k", "right"), ("l", "right"), ("m", "right")]
     assert kernels.pair_margins(ours, theirs) == {0: 0, 1: 1, 2: 2, 3: 3}
     assert kernels.pair_margins([], theirs) == {}
+
+
+def test_the_entry_imports_without_a_session():
+    """Queries are listed before any session is there."""
+    code = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert len(q) > 100 and not set(o) - set(q)"
+    assert subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__)))).returncode == 0
