@@ -43,7 +43,7 @@ TEXT_TYPES = ("main_text", "marginal_note", "pasted_slip", "crossed_out")
 #: Bound of the training sample, in regions.
 SAMPLE = 12000
 #: Bound of the misread words the editor is trained on.
-PAIRS = 8000
+PAIRS = 6000
 #: A rarer word one replacement away from a word of the lexicon is an older spelling, not a misreading, from
 #: this share of the other's count (and count) on.
 SPELLING, SPELLING_COUNT = 0.03, 12
@@ -233,7 +233,7 @@ class Editor:
         if word in self.memo:
             return self.memo[word]
         w, first, case = word.lower(), None, case_of(word)
-        if len(w) >= 3 and not w.isdigit():
+        if len(w) >= 3 and not w.isnumeric():  # fractions count as digits
             for _ in range(len(w)):  # a word has at most so many characters to repair
                 best = self.best_change(w, case)
                 if best is None:
@@ -449,8 +449,8 @@ def join_features(lexicon, part: str, mark: str, following: str) -> list[str]:
     return ["j", "mark " + mark, f"part {a}", f"next {b}", f"whole {c}", f"{a} {b} {c}", "low" if nxt[:1].islower() else "other", f"short {len(nxt) < 3}", f"conjunction {nxt in CONJUNCTIONS} {c}"]
 
 
-def flaws(e: Editor, text: str | None, journal: str | None, place: tuple = NOWHERE) -> tuple[list[str], list[tuple[int, str]], list[str]]:
-    """Lines, their flaws (line number from 1, flaw), and the repaired running lines."""
+def flaws(e: Editor, text: str | None, journal: str | None, place: tuple = NOWHERE, mend: bool = True) -> tuple[list[str], list[tuple[int, str]], list[str]]:
+    """Lines, their flaws (line number from 1, flaw), and the repaired running lines (unless `mend` is false)."""
     if not text or not text.strip():
         return [], [], []
     lines = text.split("\n")
@@ -462,6 +462,10 @@ def flaws(e: Editor, text: str | None, journal: str | None, place: tuple = NOWHE
         if kinds[k] != "text":
             out.append((k + 1, kinds[k]))
             continue
+        if not line or line.isspace():
+            carried = None
+            repaired.append(line + "\n")
+            continue
         words = _WORD.findall(line)
         rest = words
         bad: set[int] = set()
@@ -490,9 +494,11 @@ def flaws(e: Editor, text: str | None, journal: str | None, place: tuple = NOWHE
                 bad.add(k)
                 fixed[w] = hit[1].capitalize() if w[0].isupper() else hit[1]
         out += [(i + 1, "misread") for i in bad]
+        if not mend:
+            continue
         if fixed:
             line = _WORD.sub(lambda x: fixed.get(x[0], x[0]), line)
-        repaired.append(line[: m.start(1)] if carried else line + ("\n" if not line.strip() else " "))
+        repaired.append(line[: m.start(1)] if carried else line + " ")
     return lines, sorted(set(out)), repaired
 
 
@@ -539,7 +545,7 @@ def _train_characters(lexicon: frozenset[str], texts: list[str]) -> tuple[Percep
     others, mined = [], []
     for word in dict.fromkeys(w for t in texts for w in _WORD.findall(re.sub(rf"[{MARKS}] *\n", "", t))):
         w = word.lower()
-        if w in lexicon or w.isdigit() or len(w) < 3:
+        if w in lexicon or w.isnumeric() or len(w) < 3:
             continue
         found = near.of(w) if len(w) > 3 else ()
         if len(found) == 1:
@@ -708,7 +714,7 @@ def find(regions: DataFrame, pages: DataFrame, journals: DataFrame, editor: Edit
         for b in batches:
             out = []
             for holder, record, journal, text, place in _rows(b):
-                out += [(holder, record, n, flaw) for n, flaw in flaws(e, text, journal, place)[1]]
+                out += [(holder, record, n, flaw) for n, flaw in flaws(e, text, journal, place, mend=False)[1]]
             yield pd.DataFrame(out, columns=["holder", "record_id", "line_no", "flaw"])
 
     return spread(_holders(regions, pages)).mapInPandas(run, "holder string, record_id long, line_no long, flaw string").distinct()
