@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..functions import kernels
 from ..functions.text import append_note, confidence
 
 # Accepted margin positions, writing layers and entity types.
@@ -130,12 +131,21 @@ def list_answer(raw: Column) -> Column:
     """A model's list as array of JSON texts, also when an object holds it.
 
     Of an object: the list under the first known key that has one, else the first list that is empty or begins with
-    an object, else the object itself if it has a region_index. Anything else is the empty list."""
-    v = F.try_parse_json(raw)
+    an object, else the object itself if it has a region_index. Anything else is the empty list. Of a key that is
+    repeated the last value counts; what the built-in parser refuses (that, NaN) goes to Python."""
     as_list = lambda x: F.try_variant_get(x, "$", "array<variant>")
-    known = F.coalesce(*[F.try_variant_get(v, f"$.{k}", "array<variant>") for k in ANSWER_KEYS])
-    # the order of keys is that of the text
-    fields = F.map_values(F.from_json(F.when(v.isNotNull() & raw.rlike(r"^\s*\{"), raw), "map<string,string>"))
-    any_list = as_list(F.try_parse_json(F.get(F.filter(fields, lambda x: x.rlike(r"^\s*\[\s*(\{|\])")), 0)))
-    single = F.when(F.try_variant_get(v, "$.region_index", "variant").isNotNull(), F.array(v))
-    return F.transform(F.coalesce(as_list(v), known, any_list, single, F.array().cast("array<variant>")), lambda x: F.to_json(x))
+    as_map = lambda x: F.try_variant_get(x, "$", "map<string,variant>")
+
+    def items(v):
+        known = [F.try_variant_get(v, f"$.{k}", "array<variant>") for k in ANSWER_KEYS]
+        lists = F.map_filter(as_map(v), lambda k, x: (F.size(as_list(x)) == 0) | as_map(F.get(as_list(x), 0)).isNotNull())
+        # the order of keys is that of the text
+        any_list = as_list(F.try_element_at(lists, F.get(F.array_intersect(F.json_object_keys(raw), F.map_keys(lists)), 0)))
+        single = F.when(F.try_variant_get(v, "$.region_index", "variant").isNotNull(), F.array(v))
+        return F.transform(F.coalesce(as_list(v), *known, any_list, single, F.array().cast("array<variant>")), lambda x: F.to_json(x))
+
+    # the parser passes over what follows a value: here a mark must follow that no text holds by chance
+    pair = as_list(F.try_parse_json(F.concat(F.lit("["), raw, F.lit(',"'), F.md5(raw), F.lit('"]'))))
+    whole = F.coalesce((F.size(pair) == 2) & (F.try_variant_get(F.get(pair, 1), "$", "string") == F.md5(raw)), F.lit(False))
+    native = F.when(whole, F.get(F.transform(F.slice(pair, 1, 1), items), 0))
+    return F.coalesce(native, kernels.u_list_answer(F.when(~whole, raw), F.lit(",".join(ANSWER_KEYS))), F.array().cast("array<string>"))

@@ -82,6 +82,18 @@ def test_answers_of_all_shapes(spark):
     assert got == {0: [{"a": 1}], 1: [3], 2: [{"b": 2}], 3: [{"region_index": 4}], 4: [], 5: [], 6: [], 7: [], 8: [], 9: []}
 
 
+def test_answers_that_look_like_lists(spark):
+    """Texts are no lists, what follows a value spoils it, of a repeated key the last value counts, the first list of a text counts."""
+    raw = [
+        '{"note": "[]", "x": [{"a": 1}]}', '{"note": "[{}, {}]"}', '{"note": "[{ x", "region_index": 2}', '[1] 2', '[1],0] x', '[1]],[2', '{"x": [{}]} y',
+        '{"matches": [1], "matches": [2, 3]}', '[{"k": 1, "k": "ü"}]', '{"regions": {}, "z": [{"a": 1}, {"b": 2}], "a": []}', '{"a\\"b.c": [{"d": [NaN]}]}', '{"x": [[{}]], "y": [null, {}]}', "[" * 100_000, " ", ",",
+    ]
+    d = spark.createDataFrame([(i, r) for i, r in enumerate(raw)], "i int, raw string")
+    got = [[json.loads(x) for x in r["x"]] for r in d.select("i", stages.list_answer(F.col("raw")).alias("x")).orderBy("i").collect()]
+    assert got[:10] == [[{"a": 1}], [], [{"note": "[{ x", "region_index": 2}], [], [], [], [], [2, 3], [{"k": "ü"}], [{"a": 1}, {"b": 2}]]
+    assert len(got[10]) == 1 and got[11:] == [[], [], [], []]
+
+
 def test_margin_positions(spark):
     given = [("marginal_note", None, "LEFT side"), ("marginal_note", "", "at the bottom"), ("marginal_note", "Left", "right"), ("marginal_note", "mTop", "left"), ("main_text", None, "left"), ("main_text", "weird", None), ("marginal_note", None, "bleed"), ("marginal_note", None, None)]
     d = spark.createDataFrame([(1, i, t, True, p, m, None) for i, (t, m, p) in enumerate(given)], "page_id long, ord int, region_type string, has_text boolean, position string, marginal_position string, bbox array<double>")
